@@ -180,3 +180,24 @@ def datetime_text(cell: Column) -> Column:
 def year_value(cell: Column) -> Column:
     v = be_int(cell, 1, 1)
     return F.when(v == 0, v).otherwise(v + 1900)
+
+
+def _ieee(bits: Column, exponent_bits: int, mantissa_bits: int) -> Column:
+    """IEEE-754 value of its bits; powers of two are exact, so is the product."""
+    top = 1 << exponent_bits
+    mantissa = bits.bitwiseAND((1 << mantissa_bits) - 1)
+    exponent = F.shiftright(bits, mantissa_bits).bitwiseAND(top - 1)
+    sign = F.when(F.getbit(bits, F.lit(exponent_bits + mantissa_bits)) == 1, -1.0).otherwise(1.0)
+    bias = (top >> 1) - 1 + mantissa_bits
+    normal = (mantissa + (1 << mantissa_bits)) * F.pow(F.lit(2.0), exponent - bias)
+    tiny = mantissa * F.pow(F.lit(2.0), F.lit(1 - bias))
+    special = F.when(mantissa == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
+    return sign * F.when(exponent == top - 1, special).when(exponent == 0, tiny).otherwise(normal)
+
+
+def double_value(cell: Column) -> Column:
+    return _ieee(le_int(cell, 1, 8, signed=True), 11, 52)
+
+
+def float_value(cell: Column) -> Column:
+    return _ieee(le_int(cell, 1, 4), 8, 23).cast("float")

@@ -1,6 +1,12 @@
 """Registered queries, the views they read and their oracle SQL."""
 
-from tidelog.plans import catalog_queries, decode_queries, gtid_queries, log_queries  # noqa: F401
+from tidelog.plans import (  # noqa: F401
+    archive_queries,
+    catalog_queries,
+    decode_queries,
+    gtid_queries,
+    log_queries,
+)
 from tidelog.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

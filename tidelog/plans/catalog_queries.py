@@ -47,7 +47,7 @@ SELECT event_id, ordinal, type, meta, real_type, class, nullable,
   CASE WHEN class = 'numeric' THEN (event_id * 7 + k * 3) % 5 < 2 END AS unsigned,
   CASE WHEN named THEN 'c' || CAST(ordinal AS VARCHAR) END AS name,
   CASE WHEN class = 'character' THEN CASE WHEN event_id % 3 = 0 THEN CASE k WHEN 0 THEN 45 WHEN 2 THEN 63 ELSE 8 END ELSE 33 + k END
-       WHEN class IN ('enum', 'set') THEN CASE WHEN event_id % 3 = 0 THEN 100 + kes ELSE CASE kes WHEN 1 THEN 48 ELSE 9 END END END AS collation,
+       WHEN class IN ('enum', 'set') THEN CASE WHEN event_id % 3 = 0 THEN 100 + kes ELSE CASE kes WHEN 1 THEN 48 ELSE 9 END END END AS "collation",
   CASE WHEN class = 'enum' THEN 'e' || CAST(k AS VARCHAR) || 'a,e' || CAST(k AS VARCHAR) || 'b'
        WHEN class = 'set' THEN 's' || CAST(k AS VARCHAR) || 'x,s' || CAST(k AS VARCHAR) || 'y,s' || CAST(k AS VARCHAR) || 'z' END AS labels,
   CASE WHEN class = 'geometry' THEN k + 1 END AS geometry,
@@ -124,7 +124,7 @@ def _oracle(columns: str, where: str = "true") -> str:
 
 @query(
     "column_catalog",
-    _oracle("event_id, ordinal, type, meta, nullable, unsigned, name, collation, labels, geometry, pk_ord, pk_prefix"),
+    _oracle('event_id, ordinal, type, meta, nullable, unsigned, name, "collation", labels, geometry, pk_ord, pk_prefix'),
 )
 def column_catalog(spark, sf):
     return columns_of(spark, sf).drop("real_type", "class")
@@ -156,7 +156,7 @@ def metadata_align(spark, sf):
     )
 
 
-@query("collation_resolve", _oracle("event_id, ordinal, collation", "collation IS NOT NULL"))
+@query("collation_resolve", _oracle('event_id, ordinal, "collation"', '"collation" IS NOT NULL'))
 def collation_resolve(spark, sf):
     found = columns_of(spark, sf).filter(F.col("collation").isNotNull())
     return found.select("event_id", "ordinal", "collation")
@@ -233,8 +233,8 @@ _YES = "CASE WHEN {0} IS NULL THEN '<n/a>' WHEN {0} THEN 'yes' ELSE 'no ' END"
     _oracle(
         f"""event_id, ordinal, '  ' || coalesce(name, '<n/a>') || '  type=' || rpad(CAST(real_type AS VARCHAR), 3, ' ')
         || CASE WHEN class = 'numeric' THEN '  unsigned=' || {_YES.format("unsigned")} ELSE '' END
-        || CASE WHEN class = 'character' THEN '  collation=' || CAST(collation AS VARCHAR) || ' ' ELSE '' END
-        || CASE WHEN class IN ('enum', 'set') THEN '  ' || class || '_collation=' || CAST(collation AS VARCHAR) || '  ' || class || '=["' || replace(labels, ',', '", "') || '"]' ELSE '' END
+        || CASE WHEN class = 'character' THEN '  collation=' || CAST("collation" AS VARCHAR) || ' ' ELSE '' END
+        || CASE WHEN class IN ('enum', 'set') THEN '  ' || class || '_collation=' || CAST("collation" AS VARCHAR) || '  ' || class || '=["' || replace(labels, ',', '", "') || '"]' ELSE '' END
         || CASE WHEN class = 'geometry' THEN '  geometry_type=' || CAST(geometry AS VARCHAR) ELSE '' END
         || '  null=' || {_YES.format("nullable")} || CASE WHEN pk_ord IS NOT NULL THEN '  pri' ELSE '' END AS line"""
     ),
