@@ -26,21 +26,23 @@ def hex_int(digits: Column) -> Column:
 
 
 def _swap(digits: Column, width: int) -> Column:
-    return F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(width))])
+    """Reverse the byte order of hex text. One node over one input: expressions
+    that repeat their input grow past what code generation accepts."""
+    if width == 1:
+        return digits
+    groups = "".join(f"${i}" for i in range(width, 0, -1))
+    return F.regexp_replace(digits, "(..)" * width, groups)
 
 
 def _number(digits: Column, width: int, signed: bool) -> Column:
-    if width < 8:
-        value = hex_int(digits)
-        if not signed:
-            return value
-        return F.when(value >= 1 << (8 * width - 1), value - (1 << (8 * width))).otherwise(value)
-    wide = F.conv(digits, 16, 10).cast(U64)
+    if width == 8:
+        # A negative target base makes conv read 64 bits as signed.
+        return F.conv(digits, 16, -10).cast("bigint") if signed else F.conv(digits, 16, 10).cast(U64)
+    value = hex_int(digits)
     if not signed:
-        return wide
-    top = F.lit(str(1 << 63)).cast(U64)
-    wrap = F.lit(str(1 << 64)).cast(U64)
-    return F.when(wide >= top, wide - wrap).otherwise(wide).cast("bigint")
+        return value
+    sign = F.lit(1 << (8 * width - 1)).cast("bigint")
+    return value.bitwiseXOR(sign) - sign
 
 
 def le_int(col: Column, pos: int | Column, width: int, signed: bool = False) -> Column:

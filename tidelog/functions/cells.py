@@ -15,54 +15,40 @@ from tidelog.functions.temporal import frac_text, render_time, zero_time
 HEX, INVERTED = "0123456789ABCDEF", "FEDCBA9876543210"
 # Bytes that hold 0..9 left-over decimal digits (fixed values of the format).
 DIGIT_BYTES = [0, 1, 1, 2, 2, 3, 3, 4, 4, 4]
-# 9-digit groups in the widest DECIMAL(65,30).
-MAX_INT_GROUPS, MAX_FRAC_GROUPS = 7, 3
 
 
 def _idiv(a: Column, n: int) -> Column:
     return F.floor(a / n).cast("bigint")
 
 
-def _digit_bytes(n: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(b) for b in DIGIT_BYTES]), (n + 1).cast("int"))
+def decimal_text(cell: Column, precision: int, scale: int) -> Column:
+    """Exact decimal text, trailing zeros kept.
 
-
-def decimal_text(cell: Column, precision: int | Column, scale: int | Column) -> Column:
-    """Exact decimal text, trailing zeros kept."""
-    precision, scale = _c(precision).cast("int"), _c(scale).cast("int")
-    whole = precision - scale
-    groups, lead = _idiv(whole, 9).cast("int"), whole % 9
-    fgroups, tail = _idiv(scale, 9).cast("int"), scale % 9
+    Digits are stored in groups of nine (4 bytes) around the point, the
+    left-over digits in fewer bytes; negative values have all bits inverted and
+    the first bit tells the sign.
+    """
+    groups, lead = divmod(precision - scale, 9)
+    fgroups, tail = divmod(scale, 9)
     raw = F.hex(cell)
     negative = F.substring(raw, 1, 1) < "8"
     body = F.when(negative, F.translate(raw, HEX, INVERTED)).otherwise(raw)
-    # The sign bit is set by now in either case; drop it.
-    body = F.concat(F.translate(F.substring(body, 1, 1), "89ABCDEF", "01234567"), F.substring(body, F.lit(2), F.length(body)))
-
-    def group(at: Column, width: Column | int, digits: Column | int) -> Column:
-        number = F.conv(F.substring(body, (at * 2 + 1).cast("int"), (_c(width) * 2).cast("int")), 16, 10)
-        return F.lpad(number, _c(digits).cast("int"), F.lit("0"))
-
-    lead_bytes = _digit_bytes(lead)
-    int_parts = [F.when(lead > 0, group(F.lit(0), lead_bytes, lead)).otherwise("")]
-    int_parts += [
-        F.when(groups > g, group(lead_bytes + 4 * g, 4, 9)).otherwise("")
-        for g in range(MAX_INT_GROUPS)
-    ]
-    at = lead_bytes + groups * 4
-    frac_parts = [
-        F.when(fgroups > g, group(at + 4 * g, 4, 9)).otherwise("") for g in range(MAX_FRAC_GROUPS)
-    ]
-    frac_parts.append(
-        F.when(tail > 0, group(at + fgroups * 4, _digit_bytes(tail), tail)).otherwise("")
-    )
-    integer = F.ltrim(F.concat(*int_parts), F.lit("0"))
-    integer = F.when(integer == "", "0").otherwise(integer)
-    return F.concat(
-        F.when(negative, "-").otherwise(""),
-        integer,
-        F.when(scale > 0, F.concat(F.lit("."), *frac_parts)).otherwise(""),
-    )
+    parts, at = [], 1
+    plan = ([lead] if lead else []) + [9] * (groups + fgroups) + ([tail] if tail else [])
+    for n in plan:
+        width = 2 * DIGIT_BYTES[n]
+        digits = F.substring(body, at, width)
+        if at == 1:
+            # The sign bit is set by now in either case; drop it.
+            first = F.translate(F.substring(digits, 1, 1), "89ABCDEF", "01234567")
+            digits = F.concat(first, F.substring(digits, 2, width - 1))
+        parts.append(F.lpad(F.conv(digits, 16, 10), n, "0"))
+        at += width
+    digits = F.concat(*parts)
+    shown = F.regexp_replace(digits, rf"^0*(\d*?)(\d{{{scale}}})$", "$1.$2") if scale else F.ltrim(digits, F.lit("0"))
+    # A value below one has no digit left in front of the point.
+    shown = F.regexp_replace(shown, r"^(?=\.|$)", "0")
+    return F.when(negative, F.concat(F.lit("-"), shown)).otherwise(shown)
 
 
 def bit_value(cell: Column) -> Column:
@@ -82,17 +68,12 @@ def frac_micros(cell: Column, skip: int, fsp: Column) -> Column:
     return F.when(n == 1, raw * 10000).when(n == 2, raw * 100).otherwise(raw)
 
 
-def _two(n: Column, width: int = 2) -> Column:
-    s = n.cast("string")
-    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
-
-
 def _clock(h: Column, m: Column, s: Column) -> Column:
-    return F.concat_ws(":", _two(h), _two(m), _two(s))
+    return F.format_string("%02d:%02d:%02d", h, m, s)
 
 
 def _calendar(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", _two(y, 4), _two(m), _two(d))
+    return F.format_string("%04d-%02d-%02d", y, m, d)
 
 
 def datetime2_text(cell: Column, fsp: int | Column = 0) -> Column:

@@ -83,45 +83,45 @@ def has_checksum_field(version: Column) -> Column:
 
 # -- families -------------------------------------------------------------------
 
-def _format(b: Column) -> list[Column]:
+def _format(b: Column) -> dict[str, Column]:
     size = F.length(b)
     version = F.rtrim(text(F.substring(b, 3, 50)), F.lit("\x00"))
     aware = has_checksum_field(version)
     n_types = size - 57 - F.when(aware, 5).otherwise(0)
     codes = F.when(n_types > 0, F.sequence(F.lit(1), n_types)).otherwise(F.array().cast("array<int>"))
-    return [
-        le_int(b, 1, 2).alias("version"),
-        version.alias("server_version"),
-        le_int(b, 53, 4).alias("create_ts"),
-        be_int(b, 57, 1).alias("header_length"),
-        F.when(aware, be_int(b, size - 4, 1)).otherwise(F.lit(255)).alias("log_checksum_alg"),
-        F.transform(codes, lambda i: be_int(b, 57 + i, 1)).alias("post_header_lengths"),
-        F.when(be_int(b, 57, 1) != HEADER_SIZE, "unexpected header length").alias("error"),
-    ]
+    return {
+        "version": le_int(b, 1, 2),
+        "server_version": version,
+        "create_ts": le_int(b, 53, 4),
+        "header_length": be_int(b, 57, 1),
+        "log_checksum_alg": F.when(aware, be_int(b, size - 4, 1)).otherwise(F.lit(255)),
+        "post_header_lengths": F.transform(codes, lambda i: be_int(b, 57 + i, 1)),
+        "error": F.when(be_int(b, 57, 1) != HEADER_SIZE, "unexpected header length"),
+    }
 
 
-def _rotate(b: Column) -> list[Column]:
-    return [le_int(b, 1, 8).alias("position"), text(rest(b, 9)).alias("next_file")]
+def _rotate(b: Column) -> dict[str, Column]:
+    return {"position": le_int(b, 1, 8), "next_file": text(rest(b, 9))}
 
 
-def _query(b: Column) -> list[Column]:
+def _query(b: Column) -> dict[str, Column]:
     schema_len, status_len = be_int(b, 9, 1), le_int(b, 12, 2)
     at = (status_len + 14).cast("int")
-    return [
-        le_int(b, 1, 4).alias("proxy_id"),
-        le_int(b, 5, 4).alias("exec_time"),
-        le_int(b, 10, 2).alias("error_code"),
-        F.substring(b, F.lit(14), status_len.cast("int")).alias("status_vars"),
-        text(F.substring(b, at, schema_len.cast("int"))).alias("schema_name"),
-        text(rest(b, at + schema_len + 1)).alias("query"),
-    ]
+    return {
+        "proxy_id": le_int(b, 1, 4),
+        "exec_time": le_int(b, 5, 4),
+        "error_code": le_int(b, 10, 2),
+        "status_vars": F.substring(b, F.lit(14), status_len.cast("int")),
+        "schema_name": text(F.substring(b, at, schema_len.cast("int"))),
+        "query": text(rest(b, at + schema_len + 1)),
+    }
 
 
-def _xid(b: Column) -> list[Column]:
-    return [le_int(b, 1, 8).alias("xid")]
+def _xid(b: Column) -> dict[str, Column]:
+    return {"xid": le_int(b, 1, 8)}
 
 
-def _gtid(b: Column) -> list[Column]:
+def _gtid(b: Column) -> dict[str, Column]:
     """Fields beyond the gno came with later servers; missing ones stay 0."""
     size, zero = F.length(b), F.lit(0).cast("bigint")
     logical = (size >= 42) & (be_int(b, 26, 1) == 2)
@@ -143,33 +143,33 @@ def _gtid(b: Column) -> list[Column]:
     def given(present: Column, value: Column, default: Column = zero) -> Column:
         return F.when(present, value).otherwise(default).cast("bigint")
 
-    return [
-        be_int(b, 1, 1).alias("commit_flag"),
-        uuid_text(F.substring(b, 2, 16)).alias("sid"),
-        le_int(b, 18, 8, signed=True).alias("gno"),
-        given(logical, le_int(b, 27, 8, True)).alias("last_committed"),
-        given(logical, le_int(b, 35, 8, True)).alias("sequence_number"),
-        given(has_time, immediate).alias("immediate_commit_us"),
-        given(has_time, original_time).alias("original_commit_us"),
-        given(has_length, length["value"]).alias("transaction_length"),
-        given(has_version, version_raw.bitwiseAND((1 << 31) - 1), undefined).alias("immediate_version"),
-        given(has_version, original_version, undefined).alias("original_version"),
-    ]
-
-
-def _mariadb_gtid(b: Column) -> list[Column]:
+    return {
+        "commit_flag": be_int(b, 1, 1),
+        "sid": uuid_text(F.substring(b, 2, 16)),
+        "gno": le_int(b, 18, 8, signed=True),
+        "last_committed": given(logical, le_int(b, 27, 8, True)),
+        "sequence_number": given(logical, le_int(b, 35, 8, True)),
+        "immediate_commit_us": given(has_time, immediate),
+        "original_commit_us": given(has_time, original_time),
+        "transaction_length": given(has_length, length["value"]),
+        "immediate_version": given(has_version, version_raw.bitwiseAND((1 << 31) - 1), undefined),
+        "original_version": given(has_version, original_version, undefined),
+    }
+
+
+def _mariadb_gtid(b: Column) -> dict[str, Column]:
     flags = be_int(b, 13, 1)
-    return [
-        le_int(b, 9, 4).alias("domain_id"),
-        le_int(b, 1, 8).alias("seq"),
-        flags.alias("gtid_flags"),
-        (flags.bitwiseAND(32) != 0).alias("is_ddl"),
-        (flags.bitwiseAND(1) != 0).alias("is_standalone"),
-        F.when(flags.bitwiseAND(2) != 0, le_int(b, 14, 8)).alias("commit_id"),
-    ]
+    return {
+        "domain_id": le_int(b, 9, 4),
+        "seq": le_int(b, 1, 8),
+        "gtid_flags": flags,
+        "is_ddl": flags.bitwiseAND(32) != 0,
+        "is_standalone": flags.bitwiseAND(1) != 0,
+        "commit_id": F.when(flags.bitwiseAND(2) != 0, le_int(b, 14, 8)),
+    }
 
 
-def _mariadb_gtid_list(b: Column) -> list[Column]:
+def _mariadb_gtid_list(b: Column) -> dict[str, Column]:
     count = le_int(b, 1, 4).bitwiseAND((1 << 28) - 1)
     slots = F.when(count > 0, F.sequence(F.lit(0), (count - 1).cast("int"))).otherwise(
         F.array().cast("array<int>")
@@ -184,39 +184,39 @@ def _mariadb_gtid_list(b: Column) -> list[Column]:
             le_int(b, at + 8, 8).alias("seq"),
         )
 
-    return [F.inline(F.transform(slots, entry))]
+    return {"": F.inline(F.transform(slots, entry))}
 
 
-def _load_block(b: Column) -> list[Column]:
-    return [le_int(b, 1, 4).alias("file_id"), rest(b, 5).alias("block")]
+def _load_block(b: Column) -> dict[str, Column]:
+    return {"file_id": le_int(b, 1, 4), "block": rest(b, 5)}
 
 
-def _load_query(b: Column) -> list[Column]:
-    return [
-        le_int(b, 1, 4).alias("proxy_id"),
-        le_int(b, 5, 4).alias("exec_time"),
-        be_int(b, 9, 1).alias("schema_length"),
-        le_int(b, 10, 2).alias("error_code"),
-        le_int(b, 12, 2).alias("status_length"),
-        le_int(b, 14, 4).alias("file_id"),
-        le_int(b, 18, 4).alias("start_pos_in_query"),
-        le_int(b, 22, 4).alias("end_pos_in_query"),
-        be_int(b, 26, 1).alias("dup_flags"),
-    ]
+def _load_query(b: Column) -> dict[str, Column]:
+    return {
+        "proxy_id": le_int(b, 1, 4),
+        "exec_time": le_int(b, 5, 4),
+        "schema_length": be_int(b, 9, 1),
+        "error_code": le_int(b, 10, 2),
+        "status_length": le_int(b, 12, 2),
+        "file_id": le_int(b, 14, 4),
+        "start_pos_in_query": le_int(b, 18, 4),
+        "end_pos_in_query": le_int(b, 22, 4),
+        "dup_flags": be_int(b, 26, 1),
+    }
 
 
-def _annotation(b: Column) -> list[Column]:
+def _annotation(b: Column) -> dict[str, Column]:
     skip = F.when(F.col("event_type") == 29, 2).otherwise(1)
-    return [text(rest(b, skip)).alias("info")]
+    return {"info": text(rest(b, skip))}
 
 
-def _intvar(b: Column) -> list[Column]:
+def _intvar(b: Column) -> dict[str, Column]:
     kind = be_int(b, 1, 1)
     name = F.when(kind == 1, "LAST_INSERT_ID").when(kind == 2, "INSERT_ID").otherwise("INVALID")
-    return [kind.alias("var_type"), name.alias("var_name"), le_int(b, 2, 8).alias("value")]
+    return {"var_type": kind, "var_name": name, "value": le_int(b, 2, 8)}
 
 
-def _previous_gtids(b: Column) -> list[Column]:
+def _previous_gtids(b: Column) -> dict[str, Column]:
     """Walk the sids (each says how many intervals follow), then open the intervals."""
     n_sids = le_int(b, 1, 2).cast("int")
     none = F.array().cast("array<struct<at:int,n:int>>")
@@ -246,10 +246,10 @@ def _previous_gtids(b: Column) -> list[Column]:
             ),
         )
 
-    return [F.inline(F.flatten(F.transform(walk, intervals)))]
+    return {"": F.inline(F.flatten(F.transform(walk, intervals)))}
 
 
-FAMILIES: dict[str, tuple[tuple[int, ...], Callable[[Column], list[Column]]]] = {
+FAMILIES: dict[str, tuple[tuple[int, ...], Callable[[Column], dict[str, Column]]]] = {
     "format_events": ((15,), _format),
     "rotate_events": ((4,), _rotate),
     "query_events": ((2, 165), _query),
@@ -275,7 +275,10 @@ def events(log: DataFrame, family: str) -> DataFrame:
     """
     types, layout = FAMILIES[family]
     kept = [c for c in log.columns if c not in ("body", "raw")]
-    return log.filter(F.col("event_type").isin(*types)).select(*kept, *layout(F.col("body")))
+    fields = layout(F.col("body"))
+    # A family that opens into several rows has one nameless generator.
+    typed = [c.alias(n) if n else c for n, c in fields.items()]
+    return log.filter(F.col("event_type").isin(*types)).select(*kept, *typed)
 
 
 def generic_events(log: DataFrame) -> DataFrame:

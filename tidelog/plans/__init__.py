@@ -6,6 +6,7 @@ from tidelog.plans import (  # noqa: F401
     decode_queries,
     gtid_queries,
     log_queries,
+    stream_queries,
 )
 from tidelog.plans.registry import ORACLES, QUERIES
 

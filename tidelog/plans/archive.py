@@ -180,7 +180,8 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.lit(T0) + F.col("file_no") * 60 + F.when(F.col("o") >= 0, F.col("o") % 60).otherwise(0)
     raw = enc.frame(F.col("event_type"), F.col("body"), ts, F.lit(1), F.col("start_pos"), F.lit(0))
     name = F.concat(F.lit("binlog."), F.lpad(F.col("file_no").cast("string"), 6, "0"))
-    return placed.select(name.alias("file"), "start_pos", raw.alias("raw"))
+    headed = placed.select(name.alias("file"), "start_pos", raw.alias("head"))
+    return headed.select("file", "start_pos", enc.with_crc(F.col("head")).alias("raw"))
 
 
 def write_files(events: DataFrame, folder: str) -> None:

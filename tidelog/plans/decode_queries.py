@@ -22,15 +22,14 @@ def seconds():
     return F.unix_seconds(F.col("ts").cast("timestamp"))
 
 
-def _log(spark, sf, event_type, body, *extra):
+def _log(spark, sf, event_type, body):
     """Events as a log: raw bytes framed from each row, then read back."""
-    rows = table(spark, sf, "events").select(
-        "event_id",
-        *extra,
-        enc.frame(F.lit(event_type), body, seconds(), F.col("user_id"), 4 + eid() * 64, eid() % 1024).alias("raw"),
-        F.lit(1).alias("checksum_alg"),
-    )
-    decoded = rows.select("*", *events.header(F.col("raw")))
+    # Staged projections, so that each step is computed once.
+    raw = enc.frame(F.lit(event_type), F.col("b"), F.col("s"), F.col("user_id"), 4 + eid() * 64, eid() % 1024)
+    bodies = table(spark, sf, "events").select("event_id", "user_id", seconds().alias("s"), body.alias("b"))
+    heads = bodies.select("event_id", raw.alias("h"))
+    framed = heads.select("event_id", enc.with_crc(F.col("h")).alias("raw"), F.lit(1).alias("checksum_alg"))
+    decoded = framed.select("*", *events.header(F.col("raw")))
     return decoded.withColumn(
         "body", events.body_of(F.col("raw"), F.col("event_type"), F.col("checksum_alg"))
     )

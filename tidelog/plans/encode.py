@@ -24,13 +24,16 @@ def frame(
     event_type: Column, body: Column, ts: Column, server_id: Column, start_pos: Column, flags: Column,
     checksum: bool = True,
 ) -> Column:
-    """Whole event: header, body, CRC32 trailer. ``ts`` is in seconds."""
+    """Header and body of an event, sized for a checksum to follow. ``ts`` is in seconds."""
     size = F.length(body) + 19 + (4 if checksum else 0)
-    head = F.concat(
+    return F.concat(
         to_le(ts, 4), to_le(event_type, 1), to_le(server_id, 4), to_le(size, 4),
         to_le(start_pos + size, 4), to_le(flags, 2), body,
     )
-    return F.concat(head, to_le(F.crc32(head), 4)) if checksum else head
+
+
+def with_crc(head: Column) -> Column:
+    return F.concat(head, to_le(F.crc32(head), 4))
 
 
 def decimal_cell(unscaled: Column, precision: int, scale: int) -> Column:

@@ -3,71 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.temporal import micros_to_ts
-from tidelog.operators.events import FAMILIES, events, type_name
+from tidelog.operators.events import FAMILIES, type_name
 
 
-def _lines(*pairs: tuple[str, Column | str]) -> Column:
-    return F.concat(
-        *[
-            F.concat(F.lit(f"{name}: "), F.coalesce((F.col(v) if isinstance(v, str) else v).cast("string"), F.lit("")), F.lit("\n"))
-            for name, v in pairs
-        ]
-    )
+Fields = dict[str, Column]
+
+
+def _lines(*pairs: tuple[str, Column]) -> Column:
+    # One node for all lines keeps the generated code small.
+    template = "".join(f"{name}: %s\n" for name, _ in pairs)
+    return F.format_string(template, *[value.cast("string") for _, value in pairs])
+
+
+def _commit_time(us: Column) -> Column:
+    shown = F.date_format(micros_to_ts(us), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.concat(us.cast("string"), F.lit(" ("), F.coalesce(shown, F.lit("<n/a>")), F.lit(")"))
 
 
-def _commit_time(us: str) -> Column:
-    shown = F.date_format(micros_to_ts(F.col(us)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.concat(F.col(us).cast("string"), F.lit(" ("), F.coalesce(shown, F.lit("<n/a>")), F.lit(")"))
+def _named(**labels: str) -> Callable[[Fields], Column]:
+    """Lines ``label: value`` in the order given; keyword = field name."""
+    return lambda f: _lines(*[(label, f[name]) for name, label in labels.items()])
 
 
 # Body lines per family; families not listed are shown as hex.
-BODIES: dict[str, Callable[[], Column]] = {
-    "rotate_events": lambda: _lines(("Position", "position"), ("Next log name", "next_file")),
-    "query_events": lambda: _lines(
-        ("Slave proxy ID", "proxy_id"),
-        ("Execution time", "exec_time"),
-        ("Error code", "error_code"),
-        ("Schema", "schema_name"),
-        ("Query", "query"),
+BODIES: dict[str, Callable[[Fields], Column]] = {
+    "rotate_events": _named(position="Position", next_file="Next log name"),
+    "query_events": _named(
+        proxy_id="Slave proxy ID", exec_time="Execution time", error_code="Error code",
+        schema_name="Schema", query="Query",
     ),
-    "xid_events": lambda: _lines(("XID", "xid")),
-    "gtid_events": lambda: _lines(
-        ("Commit flag", "commit_flag"),
-        ("GTID_NEXT", F.concat_ws(":", "sid", "gno")),
-        ("LAST_COMMITTED", "last_committed"),
-        ("SEQUENCE_NUMBER", "sequence_number"),
-        ("Immediate commit timestamp", _commit_time("immediate_commit_us")),
-        ("Original commit timestamp", _commit_time("original_commit_us")),
-        ("Transaction length", "transaction_length"),
-        ("Immediate server version", "immediate_version"),
-        ("Original server version", "original_version"),
+    "xid_events": _named(xid="XID"),
+    "gtid_events": lambda f: _lines(
+        ("Commit flag", f["commit_flag"]),
+        ("GTID_NEXT", F.concat_ws(":", f["sid"], f["gno"])),
+        ("LAST_COMMITTED", f["last_committed"]),
+        ("SEQUENCE_NUMBER", f["sequence_number"]),
+        ("Immediate commit timestamp", _commit_time(f["immediate_commit_us"])),
+        ("Original commit timestamp", _commit_time(f["original_commit_us"])),
+        ("Transaction length", f["transaction_length"]),
+        ("Immediate server version", f["immediate_version"]),
+        ("Original server version", f["original_version"]),
     ),
-    "mariadb_gtid_events": lambda: _lines(
-        ("GTID", F.concat_ws("-", "domain_id", "server_id", "seq")),
-        ("Flags", "gtid_flags"),
-        ("CommitID", F.coalesce("commit_id", F.lit(0).cast("decimal(20,0)"))),
+    "mariadb_gtid_events": lambda f: _lines(
+        ("GTID", F.concat_ws("-", f["domain_id"], F.col("server_id"), f["seq"])),
+        ("Flags", f["gtid_flags"]),
+        ("CommitID", F.coalesce(f["commit_id"], F.lit(0).cast("decimal(20,0)"))),
     ),
-    "load_queries": lambda: _lines(
-        ("Slave proxy ID", "proxy_id"),
-        ("Execution time", "exec_time"),
-        ("Schema length", "schema_length"),
-        ("Error code", "error_code"),
-        ("Status vars length", "status_length"),
-        ("File ID", "file_id"),
-        ("Start pos", "start_pos_in_query"),
-        ("End pos", "end_pos_in_query"),
-        ("Dup handling flags", "dup_flags"),
+    "load_queries": _named(
+        proxy_id="Slave proxy ID", exec_time="Execution time", schema_length="Schema length",
+        error_code="Error code", status_length="Status vars length", file_id="File ID",
+        start_pos_in_query="Start pos", end_pos_in_query="End pos", dup_flags="Dup handling flags",
     ),
-    "annotations": lambda: _lines(("Query", "info")),
-    "intvar_events": lambda: _lines(("Type", "var_type"), ("Value", "value")),
-}
+    "annotations": _named(info="Query"),
+    "intvar_events": _named(var_type="Type", value="Value"),
+}
 
 
 def header_text() -> Column:
@@ -77,8 +72,8 @@ def header_text() -> Column:
         F.lit(" ===\n"),
         _lines(
             ("Date", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")),
-            ("Log position", "log_pos"),
-            ("Event size", "event_size"),
+            ("Log position", F.col("log_pos")),
+            ("Event size", F.col("event_size")),
         ),
         F.lit("\n"),
     )
@@ -87,19 +82,26 @@ def header_text() -> Column:
 def dump_text(log: DataFrame) -> DataFrame:
     """Readable text per event; the log key stays for ordering and writing.
 
-    Families are projected apart and united: scan, filter and concatenation
-    only, no shuffle. Events without a text layout show their body as hex.
+    A row evaluates the layout of its own type only. GTID events, whose layout
+    is by far the largest, are projected apart: as one expression the layouts
+    would outgrow what Spark compiles. Events without a text layout show hex.
     """
     kept = [c for c in log.columns if c not in ("body", "raw")]
-    covered: list[int] = []
-    parts = []
-    for family, body in BODIES.items():
-        covered += FAMILIES[family][0]
-        line = F.concat(header_text(), body(), F.lit("\n"))
-        parts.append(events(log, family).select(*kept, line.alias("text")))
-    others = log.filter(~F.col("event_type").isin(*covered))
-    hexed = F.concat(header_text(), F.lit("Body: "), F.hex("body"), F.lit("\n\n"))
-    return reduce(lambda a, b: a.unionByName(b), parts, others.select(*kept, hexed.alias("text")))
+    body = F.col("body")
+
+    def out(rows: DataFrame, shown: Column) -> DataFrame:
+        return rows.select(*kept, F.concat(header_text(), shown, F.lit("\n")).alias("text"))
+
+    gtid_types, gtid_layout = FAMILIES["gtid_events"]
+    is_gtid = F.col("event_type").isin(*gtid_types)
+    shown = F.when(F.lit(False), "")
+    for family, lines in BODIES.items():
+        types, layout = FAMILIES[family]
+        if types != gtid_types:
+            shown = shown.when(F.col("event_type").isin(*types), lines(layout(body)))
+    shown = shown.otherwise(F.concat(F.lit("Body: "), F.hex("body"), F.lit("\n")))
+    gtids = out(log.filter(is_gtid), BODIES["gtid_events"](gtid_layout(body)))
+    return out(log.filter(~is_gtid), shown).unionByName(gtids)
 
 
 def dump_values(typed: DataFrame, names: list[str], side: str) -> DataFrame:
