@@ -1,7 +1,7 @@
 """Integers, bits and identifiers in BINARY columns.
 
-Positions are 1-based as in SQL. ``reverse`` must not be used for byte order:
-it reverses UTF-8 characters, so bytes are reordered on the hex text.
+Positions are 1-based as in SQL. ``reverse`` on BINARY is no way to change the
+byte order (it reverses UTF-8 characters); it is applied to the hex text.
 """
 
 from __future__ import annotations
@@ -25,46 +25,49 @@ def hex_int(digits: Column) -> Column:
     return F.conv(digits, 16, 10).cast("bigint")
 
 
-def _swap(digits: Column, width: int) -> Column:
-    """Reverse the byte order of hex text. One node over one input: expressions
-    that repeat their input grow past what code generation accepts."""
-    if width == 1:
-        return digits
-    groups = "".join(f"${i}" for i in range(width, 0, -1))
-    return F.regexp_replace(digits, "(..)" * width, groups)
+# Byte order is reversed on the hex text by ``reverse``, which also swaps the
+# two digits of each byte; swapping them back is plain bit arithmetic.
+LOW_DIGITS = 0x0F0F0F0F0F0F0F0F
 
 
-def _number(digits: Column, width: int, signed: bool) -> Column:
+def _swap_digits(x: Column) -> Column:
+    low = F.lit(LOW_DIGITS)
+    return F.shiftleft(x.bitwiseAND(low), 4).bitwiseOR(F.shiftrightunsigned(x, 4).bitwiseAND(low))
+
+
+def _number(bits: Column, width: int, signed: bool) -> Column:
+    """64 bits read as signed, to the value of ``width`` bytes."""
     if width == 8:
-        # A negative target base makes conv read 64 bits as signed.
-        return F.conv(digits, 16, -10).cast("bigint") if signed else F.conv(digits, 16, 10).cast(U64)
-    value = hex_int(digits)
+        return bits if signed else F.pmod(bits.cast("decimal(21,0)"), F.lit(str(1 << 64)).cast("decimal(21,0)")).cast(U64)
     if not signed:
-        return value
+        return bits
     sign = F.lit(1 << (8 * width - 1)).cast("bigint")
-    return value.bitwiseXOR(sign) - sign
+    return bits.bitwiseXOR(sign) - sign
+
+
+def _bits(digits: Column) -> Column:
+    # A negative target base makes conv give 64 bits as signed.
+    return F.conv(digits, 16, -10).cast("bigint")
 
 
 def le_int(col: Column, pos: int | Column, width: int, signed: bool = False) -> Column:
     """Little-endian integer of 1-8 bytes; unsigned 8-byte values are DECIMAL(20,0)."""
-    return _number(_swap(F.hex(cut(col, pos, width)), width), width, signed)
+    return _number(_swap_digits(_bits(F.reverse(F.hex(cut(col, pos, width))))), width, signed)
 
 
 def be_int(col: Column, pos: int | Column, width: int, signed: bool = False) -> Column:
-    return _number(F.hex(cut(col, pos, width)), width, signed)
-
-
-def _digits(value: Column, width: int) -> Column:
-    return F.substring(F.lpad(F.hex(value.cast("bigint")), 16, "0"), 17 - 2 * width, 2 * width)
+    return _number(_bits(F.hex(cut(col, pos, width))), width, signed)
 
 
 def to_le(value: Column, width: int) -> Column:
     """The low ``width`` bytes of an integer, least significant first."""
-    return F.unhex(_swap(_digits(value, width), width))
+    digits = F.reverse(F.lpad(F.hex(_swap_digits(value.cast("bigint"))), 16, "0"))
+    return F.unhex(F.substring(digits, 1, 2 * width))
 
 
 def to_be(value: Column, width: int) -> Column:
-    return F.unhex(_digits(value, width))
+    digits = F.lpad(F.hex(value.cast("bigint")), 16, "0")
+    return F.unhex(F.substring(digits, 17 - 2 * width, 2 * width))
 
 
 def lenenc_int(col: Column, pos: int | Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.binary import to_le
 from tidelog.plans import encode as enc
 from tidelog.plans.views import div
-from tidelog.session import new_folder, settle, table
+from tidelog.session import new_folder, settle, spread, table
 from tidelog.sources.binlog import MAGIC, open_fs
 
 ORDERS_PER_FILE = 2000
@@ -99,8 +99,9 @@ def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     insert = F.concat(nulls, *full.values())
     update = F.concat(nulls, full["o_orderkey"], nulls, changed["o_orderstatus"], changed["o_totalprice"])
     key = F.col("o_orderkey")
-    images = table(spark, sf_dir, "orders").select(
-        div("o_orderkey", PER_TX).alias("g"),
+    orders = table(spark, sf_dir, "orders").withColumn("g", div("o_orderkey", PER_TX))
+    images = spread(orders, "g").select(
+        "g",
         key.alias("k"),
         insert.alias("insert"),
         F.when(key % PER_TX == 1, update).alias("update"),
