@@ -35,10 +35,16 @@ def owner_keys(intervals: DataFrame) -> list[str]:
 
 def normalize(intervals: DataFrame, width: int = SEGMENT) -> DataFrame:
     """Merge intervals that overlap or touch."""
+    longest = intervals.groupBy(*set_keys(intervals), "start").agg(F.max("stop").alias("stop"))
+    return _merge(longest, width)
+
+
+def _merge(intervals: DataFrame, width: int) -> DataFrame:
+    """Normalize intervals whose starts are distinct. They are settled first,
+    because the two scans read them four times."""
     keys = set_keys(intervals)
-    longest = settle(intervals.groupBy(*keys, "start").agg(F.max("stop").alias("stop")), "starts")
     scanned = ordered_scan(
-        longest,
+        settle(intervals, "intervals"),
         keys,
         ["start"],
         by_width("start", width),
@@ -47,9 +53,7 @@ def normalize(intervals: DataFrame, width: int = SEGMENT) -> DataFrame:
     )
     # A row opens an island unless something before it reaches its start; the
     # island ends where the reach stood when the next one opened.
-    heads = settle(
-        scanned.filter(F.col("reach").isNull() | (F.col("start") > F.col("reach"))), "islands"
-    )
+    heads = scanned.filter(F.col("reach").isNull() | (F.col("start") > F.col("reach")))
     closed = ordered_scan(
         heads, keys, ["start"], by_width("start", width), closing=following("reach")
     )
@@ -70,7 +74,7 @@ def executed_set(transactions: DataFrame, width: int = SEGMENT) -> DataFrame:
         .agg(F.min("gno").alias("start"), (F.max("gno") + 1).alias("stop"))
         .select(*keys, "start", "stop")
     )
-    return normalize(runs, width)
+    return _merge(runs, width)
 
 
 def union_sets(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
@@ -119,7 +123,7 @@ def sweep(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
 
 
 def _pick(a: DataFrame, b: DataFrame, keep: Column, width: int) -> DataFrame:
-    return normalize(sweep(a, b, width).filter(keep).drop("in_a", "in_b"), width)
+    return _merge(sweep(a, b, width).filter(keep).drop("in_a", "in_b"), width)
 
 
 def subtract_sets(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
@@ -171,12 +175,13 @@ def _covered(transactions: DataFrame, intervals: DataFrame, width: int) -> DataF
     linear whatever the number or the length of the intervals.
     """
     keys = set_keys(intervals)
-    starts = intervals.groupBy(*keys, "start").agg(F.max("stop").alias("__stop")).select(
+    longest = intervals.groupBy(*keys, "start").agg(F.max("stop").alias("__stop"))
+    starts = settle(longest, "starts").select(
         *keys, F.col("start").alias("gno"), "__stop", F.lit(0).alias("__probe")
     )
     probes = transactions.withColumn("__probe", F.lit(1))
     merged = ordered_scan(
-        settle(probes.unionByName(starts, allowMissingColumns=True), "probes"),
+        probes.unionByName(starts, allowMissingColumns=True),
         keys,
         ["gno", "__probe"],
         by_width("gno", width),

@@ -148,9 +148,10 @@ def row_changes(
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Columns(arrow)
         for batch in batches:
-            for row in batch.to_pylist():
-                key = [row[k] for k in keys]
-                for change in event_changes(row, ignore_json_errors):
+            columns = [batch.column(n).to_pylist() for n in (*keys, *needed)]
+            for row in zip(*columns):
+                key = row[: len(keys)]
+                for change in event_changes(row[len(keys) :], ignore_json_errors):
                     out.add(key, change)
                     if out.full():
                         yield out.flush()
@@ -160,19 +161,20 @@ def row_changes(
     return source.mapInArrow(decode, schema)
 
 
-def event_changes(row: dict, ignore_json_errors: bool) -> Iterator[tuple]:
-    tp, n = row["event_type"], row["n_cols"]
+def event_changes(row: tuple, ignore_json_errors: bool) -> Iterator[tuple]:
+    """Changes of one row event, given as (type, id size, columns, bitmaps, images, map)."""
+    tp, id_size, n, bitmap1, bitmap2, images, table_map = row
     op = "U" if tp in rowcodec.UPDATES else "D" if tp in rowcodec.DELETES else "I"
     schema = table = None
     try:
-        tm = rowcodec.parse_table_map(row["table_map"], row["table_id_size"])
+        tm = rowcodec.parse_table_map(table_map, id_size)
         schema, table = tm.schema, tm.table
         walker = rowcodec.ImageWalker(tm, tp, n, ignore_json_errors)
-        present1 = rowcodec.bit_positions(row["present1"], n)
-        present2 = rowcodec.bit_positions(row["present2"], n) if row["present2"] else present1
+        present1 = rowcodec.bit_positions(bitmap1, n)
+        present2 = rowcodec.bit_positions(bitmap2, n) if bitmap2 else present1
         skip1 = sorted(set(range(n)) - set(present1))
         skip2 = sorted(set(range(n)) - set(present2))
-        for no, (before, after, diffs) in enumerate(walker.changes(row["images"], present1, present2)):
+        for no, (before, after, diffs) in enumerate(walker.changes(images, present1, present2)):
             yield (
                 schema, table, no, op, before, after,
                 skip1 if before is not None else None,
@@ -194,13 +196,13 @@ class _Columns:
         self.columns = [[] for _ in self.schema]
         self.rows = self.bytes = 0
 
-    def add(self, key: list, values: tuple) -> None:
+    def add(self, key: tuple, values: tuple) -> None:
         for column, value in zip(self.columns, (*key, *values)):
             column.append(value)
         self.rows += 1
         for cells in (values[4], values[5]):
             if cells:
-                self.bytes += sum(len(c) for c in cells if c is not None)
+                self.bytes += sum(map(len, filter(None, cells)))
 
     def full(self) -> bool:
         return self.rows >= BATCH_ROWS or self.bytes >= BATCH_BYTES
@@ -329,7 +331,11 @@ def cell_value(cell: Column, spec: ColumnSpec, tz: str = "UTC") -> Column:
 def typed_changes(
     changes: DataFrame, schema_name: str, table_name: str, specs: Sequence[ColumnSpec], tz: str = "UTC"
 ) -> DataFrame:
-    """Changes of one table with ``before`` and ``after`` as typed structs."""
+    """Changes of one table with ``before`` and ``after`` as typed structs.
+
+    The fields of an absent image are NULL (``op`` tells which are there), so a
+    query that reads some fields makes Spark decode only those cells.
+    """
     mine = changes.filter((F.col("schema_name") == schema_name) & (F.col("table_name") == table_name))
 
     def typed(side: str) -> Column:
@@ -337,6 +343,6 @@ def typed_changes(
         values = [
             cell_value(F.try_element_at(cells, F.lit(s.ordinal + 1)), s, tz).alias(s.name) for s in specs
         ]
-        return F.when(cells.isNotNull(), F.struct(*values))
+        return F.struct(*values)
 
     return mine.withColumns({"before": typed("before"), "after": typed("after")})

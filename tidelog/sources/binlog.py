@@ -101,6 +101,28 @@ class FileSlice(InputPartition):
     with_format: bool = True
 
 
+@dataclass
+class FileGroup(InputPartition):
+    """Slices one task reads one after the other."""
+
+    slices: list[FileSlice]
+
+
+def grouped(slices: list[tuple[FileSlice, int]], target_bytes: int, least: int) -> list[FileGroup]:
+    """Small files share a task, up to the target size and as long as at least
+    ``least`` tasks remain; a large file is a task of its own."""
+    total = sum(size for _, size in slices)
+    target = min(target_bytes, total // max(least, 1) + 1)
+    groups, held = [], 0
+    for part, size in sorted(slices, key=lambda s: -s[1]):
+        if not groups or held + size > target:
+            groups.append(FileGroup([]))
+            held = 0
+        groups[-1].slices.append(part)
+        held += size
+    return groups
+
+
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     if "://" in path or path.startswith("file:"):
         return pafs.FileSystem.from_uri(path)
@@ -245,6 +267,8 @@ class BinlogReader(DataSourceReader):
         self.path = options["path"]
         self.start = int(options.get("startPos", 4))
         self.permissive = options.get("mode", "FAILFAST").upper() == "PERMISSIVE"
+        self.target = int(options.get("targetBytes", 128 << 20))
+        self.least = int(options.get("minPartitions", 1))
         self.keep = _Keep()
 
     def pushFilters(self, filters):
@@ -253,12 +277,12 @@ class BinlogReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> Sequence[InputPartition]:
-        # Biggest first, so that the longest task does not start last.
-        logs = sorted(list_logs(self.path), key=lambda f: -f[1])
-        return [FileSlice(p, self.start) for p, _ in logs]
+        slices = [(FileSlice(p, self.start), size) for p, size in list_logs(self.path)]
+        return grouped(slices, self.target, self.least)
 
     def read(self, partition):
-        return batches(partition, self.permissive, self.keep)
+        for part in partition.slices:
+            yield from batches(part, self.permissive, self.keep)
 
 
 class BinlogStreamReader(DataSourceStreamReader):
@@ -272,6 +296,8 @@ class BinlogStreamReader(DataSourceStreamReader):
         self.path = options["path"]
         self.permissive = options.get("mode", "FAILFAST").upper() == "PERMISSIVE"
         self.start = {"file": options.get("startFile", ""), "pos": int(options.get("startPos", 4))}
+        self.target = int(options.get("targetBytes", 128 << 20))
+        self.least = int(options.get("minPartitions", 1))
         self.known: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
@@ -309,18 +335,19 @@ class BinlogStreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         lo, hi = position_key(start["file"]), position_key(end["file"])
         parts = []
-        for path, _ in list_logs(self.path):
+        for path, size in list_logs(self.path):
             key = position_key(path.rpartition("/")[2])
             if key < lo or key > hi:
                 continue
             begin = start["pos"] if key == lo and start["file"] else 4
             stop = end["pos"] if key == hi else None
             if stop is None or begin < stop:
-                parts.append(FileSlice(path, begin, stop, with_format=begin <= 4))
-        return parts
+                parts.append((FileSlice(path, begin, stop, with_format=begin <= 4), (stop or size) - begin))
+        return grouped(parts, self.target, self.least)
 
     def read(self, partition):
-        return batches(partition, self.permissive, lambda ts, tp, at: True)
+        for part in partition.slices:
+            yield from batches(part, self.permissive, lambda ts, tp, at: True)
 
     def commit(self, end: dict) -> None:
         pass
@@ -381,7 +408,11 @@ def read_binlog(
     """Events of an archive folder or file as ``log_events``."""
     register(spark)
     reader = spark.read.format("binlog").option("startPos", start_pos).option("mode", mode)
-    return as_log(reader.load(path))
+    return as_log(_sized(spark, reader).load(path))
+
+
+def _sized(spark: SparkSession, reader):
+    return reader.option("minPartitions", spark.sparkContext.defaultParallelism)
 
 
 def raw_mode(log: DataFrame) -> DataFrame:
@@ -395,7 +426,7 @@ def stream_binlog(
 ) -> DataFrame:
     """Growing archive as a stream, optionally from a (file, position) on."""
     register(spark)
-    reader = spark.readStream.format("binlog").option("mode", mode)
+    reader = _sized(spark, spark.readStream.format("binlog").option("mode", mode))
     if starting:
         reader = reader.option("startFile", starting[0]).option("startPos", starting[1])
     return as_log(reader.load(path))
