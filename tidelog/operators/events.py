@@ -291,10 +291,14 @@ def verify_checksum(log: DataFrame) -> DataFrame:
 
     ``raw`` is the whole event; without a checksum (algorithm other than 1) it is NULL.
     """
-    raw, size = F.col("raw"), F.length("raw")
+    return log.withColumn("checksum_ok", checksum_ok(F.col("raw"), F.col("checksum_alg")))
+
+
+def checksum_ok(raw: Column, checksum_alg: Column) -> Column:
+    size = F.length(raw)
     stored = le_int(raw, size - 3, 4)
     actual = F.crc32(F.substring(raw, F.lit(1), size - 4))
-    return log.withColumn("checksum_ok", F.when(F.col("checksum_alg") == 1, actual == stored))
+    return F.when(checksum_alg == 1, actual == stored)
 
 
 def body_of(raw: Column, event_type: Column, checksum_alg: Column) -> Column:

@@ -15,7 +15,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.python.filterPushdown.enabled": "true",
     # Sessions of a busy key are merged before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -20,14 +20,10 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
     DataSourceStreamReader,
-    EqualTo,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
 )
 
-from tidelog.operators.events import body_of
+from tidelog.operators.events import body_of, checksum_ok
 from tidelog.operators.position import file_base, file_seq
 
 MAGIC = b"\xfebin"
@@ -224,7 +220,7 @@ def batches(part: FileSlice, permissive: bool, keep) -> Iterator[pa.RecordBatch]
 
     for at, (ts, tp, server, size, log_pos, flags), alg, id_size, raw, error in frames(part, permissive):
         bound = None if error else maps.see(tp, raw[19 : size - 4 if alg == 1 else size], id_size)
-        if not (error or keep(ts, tp, at)):
+        if not (error or keep(ts, tp)):
             continue
         stamp = ts * 1_000_000
         rows.append(
@@ -238,28 +234,21 @@ def batches(part: FileSlice, permissive: bool, keep) -> Iterator[pa.RecordBatch]
         yield flush()
 
 
-class _Keep:
-    """Filters taken over from Catalyst, checked before bytes leave the reader."""
+class Keep:
+    """Event types and start time asked for, checked before bytes leave the reader.
 
-    def __init__(self):
-        self.types: set[int] | None = None
-        self.since: int | None = None
-
-    def take(self, f) -> bool:
-        col = f.attribute[0] if len(f.attribute) == 1 else None
-        if col == "event_type" and isinstance(f, (EqualTo, In)):
-            wanted = {int(f.value)} if isinstance(f, EqualTo) else {int(x) for x in f.value}
-            self.types = wanted if self.types is None else self.types & wanted
-            return True
-        if col == "ts" and isinstance(f, (GreaterThanOrEqual, GreaterThan)):
-            second = int(f.value.timestamp())
-            self.since = second if self.since is None else max(self.since, second)
-            # Whole seconds only: Spark still checks the exact bound.
-            return False
-        return False
-
-    def __call__(self, ts: int, tp: int, at: int) -> bool:
-        return (self.types is None or tp in self.types) and (self.since is None or ts >= self.since)
+    These are options of the read and not pushed filters: Spark keeps the
+    filters pushed to a Python source with the source and not with the scan, so
+    a plan that reads one DataFrame twice with different filters would lose rows.
+    """
+
+    def __init__(self, options):
+        types = options.get("eventTypes", "")
+        self.types = {int(t) for t in types.split(",")} if types else None
+        self.since = int(options.get("since", 0))
+
+    def __call__(self, ts: int, tp: int) -> bool:
+        return (self.types is None or tp in self.types) and ts >= self.since
 
 
 class BinlogReader(DataSourceReader):
@@ -269,12 +258,7 @@ class BinlogReader(DataSourceReader):
         self.permissive = options.get("mode", "FAILFAST").upper() == "PERMISSIVE"
         self.target = int(options.get("targetBytes", 128 << 20))
         self.least = int(options.get("minPartitions", 1))
-        self.keep = _Keep()
-
-    def pushFilters(self, filters):
-        for f in filters:
-            if not (hasattr(f, "attribute") and self.keep.take(f)):
-                yield f
+        self.keep = Keep(options)
 
     def partitions(self) -> Sequence[InputPartition]:
         slices = [(FileSlice(p, self.start), size) for p, size in list_logs(self.path)]
@@ -298,6 +282,7 @@ class BinlogStreamReader(DataSourceStreamReader):
         self.start = {"file": options.get("startFile", ""), "pos": int(options.get("startPos", 4))}
         self.target = int(options.get("targetBytes", 128 << 20))
         self.least = int(options.get("minPartitions", 1))
+        self.keep = Keep(options)
         self.known: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
@@ -347,7 +332,7 @@ class BinlogStreamReader(DataSourceStreamReader):
 
     def read(self, partition):
         for part in partition.slices:
-            yield from batches(part, self.permissive, lambda ts, tp, at: True)
+            yield from batches(part, self.permissive, self.keep)
 
     def commit(self, end: dict) -> None:
         pass
@@ -374,9 +359,22 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BinlogDataSource)
 
 
-def as_log(framed: DataFrame) -> DataFrame:
-    """Framed events to ``log_events``: position columns, key and body."""
+def as_log(framed: DataFrame, mode: str = "FAILFAST", verify: bool = False) -> DataFrame:
+    """Framed events to ``log_events``: position columns, key and body.
+
+    With ``verify`` a wrong CRC32 is an error: it stops the job where the body
+    is read, or in PERMISSIVE mode sets ``error``.
+    """
     name = F.col("file")
+    body = body_of(F.col("raw"), F.col("event_type"), F.col("checksum_alg"))
+    error = F.col("error")
+    if verify:
+        bad = F.coalesce(~checksum_ok(F.col("raw"), F.col("checksum_alg")), F.lit(False))
+        if mode.upper() == "PERMISSIVE":
+            error = F.coalesce(error, F.when(bad, "checksum mismatch"))
+        else:
+            stop = F.raise_error(F.concat_ws(" ", F.lit("checksum mismatch in"), name, F.lit("at"), "start_pos"))
+            body = F.when(bad, stop.cast("binary")).otherwise(body)
     return framed.select(
         "source",
         "file",
@@ -393,8 +391,8 @@ def as_log(framed: DataFrame) -> DataFrame:
         "checksum_alg",
         "table_id_size",
         "table_map",
-        "error",
-        body_of(F.col("raw"), F.col("event_type"), F.col("checksum_alg")).alias("body"),
+        error.alias("error"),
+        body.alias("body"),
         "raw",
     )
 
@@ -404,11 +402,24 @@ def read_binlog(
     path: str,
     start_pos: int = 4,
     mode: str = "FAILFAST",
+    verify_checksum: bool = False,
+    event_types: Sequence[int] = (),
+    since: int = 0,
 ) -> DataFrame:
-    """Events of an archive folder or file as ``log_events``."""
+    """Events of an archive folder or file as ``log_events``.
+
+    ``event_types`` and ``since`` (seconds) drop other events inside the
+    reader; row events come with their table map all the same.
+
+    FAILFAST stops at the first damaged event; PERMISSIVE keeps it as a row
+    with ``error`` (see ``quality.split_quarantine``) and goes on with the next file.
+    """
     register(spark)
     reader = spark.read.format("binlog").option("startPos", start_pos).option("mode", mode)
-    return as_log(_sized(spark, reader).load(path))
+    if event_types:
+        reader = reader.option("eventTypes", ",".join(map(str, event_types)))
+    reader = reader.option("since", since)
+    return as_log(_sized(spark, reader).load(path), mode, verify_checksum)
 
 
 def _sized(spark: SparkSession, reader):
