@@ -125,8 +125,8 @@ def key_max(value: str | Column) -> Track:
 
 
 def by_width(position: str | Column, width: int = SEGMENT) -> Column:
-    """Segment of a numeric position."""
-    return F.floor(_col(position) / F.lit(width)).cast("bigint")
+    """Segment of an integer position (exact for all 64 bits)."""
+    return F.call_function("div", _col(position).cast("bigint"), F.lit(width).cast("bigint"))
 
 
 def ordered_scan(

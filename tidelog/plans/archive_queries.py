@@ -35,6 +35,11 @@ def _changes(log):
     return images.typed_changes(images.row_changes(log), "shop", "orders", ORDERS_SPEC)
 
 
+def _row_events(spark, sf):
+    """Row events only; the reader has bound them to their table maps."""
+    return binlog.read_binlog(spark, archive(spark, sf), event_types=events.ROWS)
+
+
 def _orders_out(side: str = "after"):
     c = F.col(side)
     return [
@@ -54,7 +59,7 @@ _ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice
 
 @query("scan_binlog_archive", _ORDERS)
 def scan_binlog_archive(spark, sf):
-    changes = _changes(binlog.read_binlog(spark, archive(spark, sf)))
+    changes = _changes(_row_events(spark, sf))
     return changes.filter(F.col("op") == "I").select(*_orders_out())
 
 
@@ -128,7 +133,7 @@ def archive_previous_gtids(spark, sf):
       (6, 'o_attrs', 245, 4, NULL, true, NULL, NULL)) t(ordinal, name, type, meta, unsigned, nullable, labels, pk_ord)""",
 )
 def evt_table_map(spark, sf):
-    maps = images.table_maps(binlog.read_binlog(spark, archive(spark, sf)))
+    maps = images.table_maps(binlog.read_binlog(spark, archive(spark, sf), event_types=[19]))
     columns = catalog.column_catalog(maps, [*events.LOG_KEY, "schema_name", "table_name"])
     shown = F.when(F.col("labels").isNotNull(), F.array_join("labels", ",")).alias("labels")
     keys = ["ordinal", "name", "type", "meta", "unsigned", "nullable", shown, "pk_ord"]
@@ -143,7 +148,7 @@ def evt_table_map(spark, sf):
        UNION ALL SELECT o_orderkey, 'DeleteBI', CAST(o_totalprice AS DECIMAL(12,2))::VARCHAR, 0, 0 FROM orders WHERE o_orderkey % 10 = 2""",
 )
 def row_images(spark, sf):
-    found = images.row_images(binlog.read_binlog(spark, archive(spark, sf)))
+    found = images.row_images(_row_events(spark, sf))
     cell = lambda i: images.cell_value(F.col("cells")[i], ORDERS_SPEC[i])
     return found.select(
         cell(0).alias("o_orderkey"),
@@ -161,7 +166,7 @@ def row_images(spark, sf):
        UNION ALL SELECT 'D', o_orderkey, NULL, 1 FROM orders WHERE o_orderkey % 10 = 2""",
 )
 def row_changes(spark, sf):
-    changes = _changes(binlog.read_binlog(spark, archive(spark, sf)))
+    changes = _changes(_row_events(spark, sf))
     key = F.coalesce(F.col("before.o_orderkey"), F.col("after.o_orderkey"))
     skipped = F.when(F.col("op") != "D", F.array_join("skipped_after", ","))
     return changes.groupBy("op", key.alias("key_before_or_after"), skipped.alias("skipped")).agg(F.count("*").alias("n"))
@@ -174,7 +179,7 @@ def row_changes(spark, sf):
        UNION ALL SELECT 32, 108, 1, true, 7, count(*) FROM orders WHERE o_orderkey % 10 = 2""",
 )
 def rows_header_only(spark, sf):
-    heads = images.row_images(binlog.read_binlog(spark, archive(spark, sf)), header_only=True)
+    heads = images.row_images(_row_events(spark, sf), header_only=True)
     return heads.groupBy("event_type", "table_id", "row_flags", "stmt_end", "n_cols").agg(F.count("*").alias("n"))
 
 
@@ -186,7 +191,7 @@ def rows_header_only(spark, sf):
 )
 def archive_replay(spark, sf):
     """Files to current table state; minimal images only overwrite what they carry."""
-    changes = _changes(binlog.read_binlog(spark, archive(spark, sf)))
+    changes = _changes(_row_events(spark, sf))
     at = F.struct("file_base", "file_seq", "start_pos", "change_no")
     names = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
     ordinal = {s.name: s.ordinal for s in ORDERS_SPEC}

@@ -140,16 +140,16 @@ def sink_foreach_batch(spark, sf):
 # -- event-time windows ---------------------------------------------------------------
 
 
-def _windowed(spark, sf, **how):
+def _windowed(spark, sf, output="update", **how):
     counted = feeds.activity(_events_stream(spark, sf), by=("event_type",), **how)
     folder, check = new_folder(spark, "windows"), new_folder(spark, "windows-checkpoint")
 
-    # Complete results per batch: the last version of a window is the final one.
+    # A batch stores the windows it changed; the last version of each is the final one.
     def store(batch, batch_id):
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{folder}/b={batch_id}")
 
     started = (
-        counted.writeStream.foreachBatch(store).outputMode("complete").option("checkpointLocation", check)
+        counted.writeStream.foreachBatch(store).outputMode(output).option("checkpointLocation", check)
         .trigger(availableNow=True).start()
     )
     started.awaitTermination()
@@ -187,4 +187,6 @@ def win_sliding(spark, sf):
     FROM g GROUP BY event_type, grp""".replace(", s AS", "WITH s AS", 1),
 )
 def win_session(spark, sf):
-    return _windowed(spark, sf, session_gap="20 minutes")
+    # Sessions cannot be emitted in update mode, and append mode would hold back
+    # those still open when the drain ends.
+    return _windowed(spark, sf, "complete", session_gap="20 minutes")
