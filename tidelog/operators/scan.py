@@ -154,9 +154,8 @@ def ordered_scan(
             *own, *seg, *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in mine.items()]
         )
         located = located.join(inherited, [*own, *seg])
-    for name, t in tracks.items():
-        inside = Window.partitionBy(*keys, *t.finer, *seg).orderBy(*order)
-        located = located.withColumn(f"__l_{name}", t.local(inside))
+    inside = {t.finer: Window.partitionBy(*keys, *t.finer, *seg).orderBy(*order) for t in tracks.values()}
+    located = located.withColumns({f"__l_{n}": t.local(inside[t.finer]) for n, t in tracks.items()})
     return located.select(
         *[F.col(c) for c in df.columns],
         *[t.combine(F.col(f"__c_{n}"), F.col(f"__l_{n}")).alias(n) for n, t in tracks.items()],

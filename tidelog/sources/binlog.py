@@ -8,6 +8,7 @@ native expressions. Any folder pyarrow can open (local, HDFS, object stores) wor
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -120,7 +121,9 @@ def grouped(slices: list[tuple[FileSlice, int]], target_bytes: int, least: int)
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:") :]
+    if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
 
@@ -131,14 +134,18 @@ def position_key(name: str) -> tuple[str, int]:
 
 
 def list_logs(path: str) -> list[tuple[str, int]]:
-    """(path, size) of the log files in a folder (or of one file), in log order."""
+    """(path, size) of the log files in a folder (or of one file), in log order.
+
+    Paths keep the scheme they were asked with, for the tasks to open.
+    """
     fs, root = open_fs(path)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
-        return [(root, info.size)]
+        return [(path, info.size)]
+    base, cut = path.rstrip("/"), len(root.rstrip("/"))
     found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
     logs = [
-        (f.path, f.size)
+        (base + f.path[cut:], f.size)
         for f in found
         if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_"))
     ]
@@ -161,14 +168,12 @@ def format_facts(raw: bytes) -> tuple[int, int]:
 def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
     """Walk one file: (start_pos, header fields, alg, id size, raw bytes, error)."""
     fs, path = open_fs(part.path)
-    with fs.open_input_file(path) as plain:
-        if plain.read(4) != MAGIC:
+    with io.BufferedReader(fs.open_input_file(path), 4 << 20) as stream:
+        if stream.read(4) != MAGIC:
             if not permissive:
                 raise CorruptLog(f"{path} is not a binary log")
             yield 0, (0, 0, 0, 0, 0, 0), 0, 6, b"", "not a binary log"
             return
-    with fs.open_input_stream(path, buffer_size=4 << 20) as stream:
-        stream.read(4)
         at, alg, id_size = 4, 0, 6
         start = max(part.start, 4)
         while part.stop is None or at < part.stop:
@@ -197,12 +202,7 @@ def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
             at += size
             if at < start and fields[1] == FORMAT:
                 # The format event is known; go on from the asked offset.
-                skip = start - at
-                while skip > 0:
-                    got = len(stream.read(min(skip, 4 << 20)))
-                    if not got:
-                        return
-                    skip -= got
+                stream.seek(start)
                 at = start
 
 
