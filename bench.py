@@ -12,8 +12,11 @@ import statistics
 import sys
 import time
 
+from tidelog.operators import images
 from tidelog.plans import QUERIES
+from tidelog.plans.archive import archive
 from tidelog.session import local_session
+from tidelog.sources.binlog import list_logs, read_binlog
 
 HEADLINE = [
     "replay_latest_state",
@@ -45,6 +48,18 @@ def timed(spark, key: str, sf: str) -> float:
     return time.perf_counter() - start
 
 
+def rates(spark, sf: str, times: dict[str, float]) -> dict[str, float]:
+    """Archive size against the scan and the row-change query."""
+    out = {}
+    size = sum(s for _, s in list_logs(archive(spark, sf)))
+    if "scan_raw_mode" in times:
+        out["scan_mb_per_sec"] = round(size / 1e6 / times["scan_raw_mode"], 2)
+    if "row_changes" in times:
+        changes = images.row_changes(read_binlog(spark, archive(spark, sf))).count()
+        out["row_changes_per_sec"] = round(changes / times["row_changes"])
+    return out
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "1"))
@@ -62,6 +77,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "rates": rates(spark, sf, times),
                 "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
             }
         )

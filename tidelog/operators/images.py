@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -161,6 +162,24 @@ def row_changes(
     return source.mapInArrow(decode, schema)
 
 
+# Events of a table repeat their map and bitmaps; a worker prepares them once.
+
+
+@lru_cache(maxsize=4096)
+def image_walker(
+    table_map: bytes, id_size: int, event_type: int, n_cols: int, ignore_json_errors: bool
+) -> rowcodec.ImageWalker:
+    tm = rowcodec.parse_table_map(table_map, id_size)
+    return rowcodec.ImageWalker(tm, event_type, n_cols, ignore_json_errors)
+
+
+@lru_cache(maxsize=4096)
+def columns_present(bitmap: bytes, n_cols: int) -> tuple[list[int], list[int]]:
+    """Ordinals in the image and ordinals left out of it."""
+    present = rowcodec.bit_positions(bitmap, n_cols)
+    return present, sorted(set(range(n_cols)) - set(present))
+
+
 def event_changes(row: tuple, ignore_json_errors: bool) -> Iterator[tuple]:
     """Changes of one row event, given as (type, id size, columns, bitmaps, images, map)."""
     tp, id_size, n, bitmap1, bitmap2, images, table_map = row
@@ -169,11 +188,9 @@ def event_changes(row: tuple, ignore_json_errors: bool) -> Iterator[tuple]:
     try:
         tm = rowcodec.parse_table_map(table_map, id_size)
         schema, table = tm.schema, tm.table
-        walker = rowcodec.ImageWalker(tm, tp, n, ignore_json_errors)
-        present1 = rowcodec.bit_positions(bitmap1, n)
-        present2 = rowcodec.bit_positions(bitmap2, n) if bitmap2 else present1
-        skip1 = sorted(set(range(n)) - set(present1))
-        skip2 = sorted(set(range(n)) - set(present2))
+        walker = image_walker(table_map, id_size, tp, n, ignore_json_errors)
+        present1, skip1 = columns_present(bitmap1, n)
+        present2, skip2 = columns_present(bitmap2 or bitmap1, n)
         for no, (before, after, diffs) in enumerate(walker.changes(images, present1, present2)):
             yield (
                 schema, table, no, op, before, after,

@@ -277,8 +277,11 @@ NUMBERS = {5: "<h", 6: "<H", 7: "<i", 8: "<I", 9: "<q", 10: "<Q", 11: "<d"}
 LITERALS = {0: None, 1: True, 2: False}
 
 
+_dump = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"), sort_keys=True).encode
+
+
 def dump_json(value) -> bytes:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True).encode()
+    return _dump(value).encode()
 
 
 def json_value(doc: bytes):
