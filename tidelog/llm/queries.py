@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tidelog.llm import chat_format, packing, pieces
+from tidelog.llm import chat_format, packing, pieces, quality_rules
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.OP1_SQL,
+}
