@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidelog.llm import chat_format, packing, pieces, quality_rules
+from tidelog.llm import chat_format, ngram_join, packing, pieces, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
@@ -13,4 +14,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op2_ngram_jaccard": ngram_join.OP2_SQL,
 }
