@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidelog.llm import chat_format, ngram_join, packing, pieces, quality_rules
+from tidelog.llm import chat_format, html_wrapper, ngram_join, packing, pieces, pq_dedup, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_html_extraction": html_wrapper.op5_html_extraction,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
+    "op9_embedding_near_dedup": pq_dedup.op9_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
