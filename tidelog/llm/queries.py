@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tidelog.llm import chat_format, html_wrapper, ngram_join, packing, pieces, pq_dedup, quality_rules
+from tidelog.llm import (
+    chat_format,
+    html_wrapper,
+    ngram_join,
+    packing,
+    pieces,
+    pq_dedup,
+    quality_rules,
+    substring_dedup,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,6 +19,7 @@ QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_html_extraction": html_wrapper.op5_html_extraction,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_embedding_near_dedup": pq_dedup.op9_embedding_near_dedup,
 }
