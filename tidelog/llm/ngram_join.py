@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tidelog.llm.common import arrow_type, gram_hashes, hashes, list_array, map_batches, mix, source
+from tidelog.llm.common import arrow_type, gram_hashes, hashes, list_array, map_batches, mix, ready, source
 from tidelog.llm.groups import components
 from tidelog.session import settle
 
@@ -153,23 +153,27 @@ def prefixes(docs: DataFrame, order: Order, n: int, num: int, den: int) -> DataF
     return map_batches(docs, run, "gram long, key binary, size int, pos int")
 
 
-def segments(docs: DataFrame, order: Order, n: int) -> DataFrame:
-    """(key, fragment, grams): each set cut along the order."""
+def segments(texts: DataFrame, order: Order, n: int) -> DataFrame:
+    """(key, fragment, grams): the set of each row (text, key) cut along the order.
+
+    A text that only shares its id with the one wanted has another key and is left out.
+    """
 
     def run(batch: pa.RecordBatch):
         keys, parts, grams = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = shingles(text, n)
-            if not len(own):
+            key = xxhash.xxh3_128_digest(own.tobytes())
+            if key != wanted:
                 continue
-            key, where = xxhash.xxh3_128_digest(own.tobytes()), order.fragments(own)
+            where = order.fragments(own)
             for f in np.unique(where).tolist():
                 keys.append(key)
                 parts.append(f)
                 grams.append(own[where == f].view(np.int64))
         return [keys, parts, list_array(grams, pa.int64())] if keys else None
 
-    return map_batches(docs, run, "key binary, fragment int, grams array<long>")
+    return map_batches(texts, run, "key binary, fragment int, grams array<long>")
 
 
 def _may_link(x: dict, y: dict, num: int, den: int):
@@ -181,56 +185,99 @@ def _may_link(x: dict, y: dict, num: int, den: int):
     return (small * den >= large * num) & (most >= need)
 
 
+def _bound(a: dict, b: dict, size_a: int, size_b: int, num: int, den: int) -> bool:
+    """Whether two sets may link, by what their first n-grams (gram: place) share.
+
+    Up to the last shared one all others before it differ; behind it the rest of one of
+    the two beginnings differs.
+    """
+    shared = a.keys() & b.keys()
+    need = -(-(size_a + size_b) * num // (num + den))
+    last_a, last_b = max(a[g] for g in shared), max(b[g] for g in shared)
+    rest_a = size_a - least_overlap(size_a, num, den) - last_a
+    rest_b = size_b - least_overlap(size_b, num, den) - last_b
+    differ = last_a + last_b + 2 - 2 * len(shared) + max(0, min(rest_a, rest_b))
+    return differ <= size_a + size_b - 2 * need
+
+
+def promising(pairs: DataFrame, lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose first n-grams differ no more than linked sets may differ in all.
+
+    This is the overlap of the first fragment, counted before the others are fetched.
+    """
+    firsts = lists.groupBy("key").agg(F.collect_list("gram").alias("grams"), F.collect_list("pos").alias("places"))
+    firsts = settle(firsts, "firsts")
+    one = firsts.withColumnsRenamed({"key": "a", "grams": "grams_a", "places": "places_a"})
+    two = firsts.withColumnsRenamed({"key": "b", "grams": "grams_b", "places": "places_b"})
+    met = pairs.select("a", "b", "size_a", "size_b").join(two, "b").join(one, "a")
+    met = met.select("a", "b", "size_a", "size_b", "grams_a", "places_a", "grams_b", "places_b")
+
+    def run(batch: pa.RecordBatch):
+        left, right = (
+            [dict(zip(g, p, strict=True)) for g, p in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist(), strict=True)]
+            for k in (4, 6)
+        )
+        sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        keep = pa.array([_bound(x, y, m, n, num, den) for x, y, (m, n) in zip(left, right, sizes, strict=True)], pa.bool_())
+        return [batch.column(k).filter(keep) for k in range(4)]
+
+    return map_batches(met, run, "a binary, b binary, size_a int, size_b int")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b, size_a, size_b) of classes that link."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = docs.join(classes.join(wanted, "key", "left_semi").select("doc_id"), "doc_id", "left_semi")
-    # A text that shares its id with a wanted one may come along; its key finds no pair.
-    parts = settle(segments(texts.select("doc_id", "text"), order, n).dropDuplicates(["key", "fragment"]), "segments")
+    wanted = settle(classes.join(wanted, "key", "left_semi"), "wanted")
+    # The comparison lets Spark test ids against a Bloom filter before texts are shuffled.
+    wanted = wanted.filter(F.col("doc_id") >= F.lit(-(1 << 63)))
+    texts = docs.join(wanted, "doc_id").select("text", "key")
+    parts = settle(segments(texts, order, n), "segments")
     one = parts.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     two = parts.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     partial = pairs.join(one, "b").join(two, ["a", "fragment"])
-    overlap = F.sum(F.size(F.array_intersect("grams_a", "grams_b")))
+    # Repeated rows give a segment twice, hence the maximum per fragment.
+    overlap = F.max(F.size(F.array_intersect("grams_a", "grams_b"))).alias("overlap")
     return (
-        partial.groupBy("a", "b", "size_a", "size_b")
-        .agg(overlap.alias("overlap"))
+        partial.groupBy("a", "fragment", "b", "size_a", "size_b")
+        .agg(overlap)
+        .groupBy("a", "b", "size_a", "size_b")
+        .agg(F.sum("overlap").alias("overlap"))
         .filter(F.col("overlap") * den >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * num)
         .select("a", "b")
     )
 
 
-def star_and_rest(items: DataFrame, may_link: Callable, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def star_and_rest(items: DataFrame, may_link: Callable, verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Links that give the exact groups of ``items`` (gram, key, size, pos).
 
     ``may_link`` rules pairs of one list out by what their rows hold; ``verify`` takes
-    pairs (a, b, size_a, size_b) and returns the (a, b) that link.
+    pairs (a, b, size_a, size_b) and the lists, and returns the (a, b) that link.
     """
     cols = ["key", "size", "pos"]
-    head = F.min(F.struct(*cols)).over(W.partitionBy("gram"))
-    lists = settle(
-        items.dropDuplicates(["gram", "key"])
-        .withColumn("head", head)
-        .withColumn("n", F.count(F.lit(1)).over(W.partitionBy("gram")))
-        .filter("n > 1")
-        .drop("n"),
-        "lists",
+    over = W.partitionBy("gram")
+    lists = (
+        items.withColumn("head", F.min(F.struct(*cols)).over(over))
+        .withColumn("last", F.max("key").over(over))
+        .filter("head.key <> last")
+        .dropDuplicates(["gram", "key"])
+        .drop("last")
     )
+    lists = settle(lists, "lists")
     x, y = {c: F.col(f"head.{c}") for c in cols}, {c: F.col(c) for c in cols}
     pair = [x["key"].alias("a"), y["key"].alias("b"), x["size"].alias("size_a"), y["size"].alias("size_b")]
     star = settle(lists.filter((x["key"] < y["key"]) & may_link(x, y)).select(*pair).distinct(), "star")
-    links = settle(verify(star), "links")
+    links = settle(verify(star, lists), "links")
     grouped = components(links).withColumnsRenamed({"id": "key", "component": "group"})
     marked = lists.drop("head").join(grouped, "key", "left").withColumn("group", F.coalesce("group", "key"))
-    over = W.partitionBy("gram")
-    mixed = marked.withColumn("mixed", F.min("group").over(over) != F.max("group").over(over)).filter("mixed")
-    mixed = settle(mixed.drop("mixed"), "mixed")
+    mixed = marked.withColumn("low", F.min("group").over(over)).withColumn("high", F.max("group").over(over))
+    mixed = settle(mixed.filter("low <> high").drop("low", "high"), "mixed")
     left, right = mixed.alias("x"), mixed.alias("y")
     x, y = {c: F.col(f"x.{c}") for c in cols}, {c: F.col(f"y.{c}") for c in cols}
     pair = [x["key"].alias("a"), y["key"].alias("b"), x["size"].alias("size_a"), y["size"].alias("size_b")]
     met = (F.col("x.gram") == F.col("y.gram")) & (x["key"] < y["key"]) & (F.col("x.group") != F.col("y.group"))
     rest = left.join(right, met & may_link(x, y)).select(*pair).distinct()
     rest = settle(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    return links if rest.isEmpty() else links.unionByName(verify(rest))
+    return links if rest.isEmpty() else links.unionByName(verify(rest, lists))
 
 
 def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, fragments: int = FRAGMENTS) -> DataFrame:
@@ -244,10 +291,16 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, f
     classes = settle(
         rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "classes"
     )
+    ready(docs.sparkSession).conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1MB")
+
+    def verify(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+        few = settle(promising(pairs, lists, num, den), "promising")
+        return verified(few, texts, classes, order, n, num, den)
+
     links = star_and_rest(
         prefixes(texts, order, n, num, den),
         lambda x, y: _may_link(x, y, num, den),
-        lambda pairs: verified(pairs, texts, classes, order, n, num, den),
+        verify,
     )
     grouped = components(links).withColumnRenamed("id", "key").join(classes, "key")
     smallest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
