@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tidelog.session import settle
 
@@ -34,3 +37,47 @@ def components(links: DataFrame) -> DataFrame:
         )
         if labels.filter("moved").isEmpty():
             return labels.select("id", F.col("label").alias("component"))
+
+
+def star_and_rest(
+    items: DataFrame, carry: list[str], may_link: Callable, verify: Callable[[DataFrame, DataFrame], DataFrame]
+) -> DataFrame:
+    """Links that give the exact groups of ``items`` (gram, key, *carry): keys may link if they share a gram.
+
+    A list is the keys of one gram. First only its smallest key is paired with the others,
+    and groups are formed; then pairs of one list that are still in different groups
+    are tried, unless they were. Pairs within a group change nothing, so a group of
+    near copies costs its size, not its square, and no link between groups is lost.
+
+    ``may_link`` rules a pair out by what its two rows carry (mappings of columns);
+    ``verify`` takes pairs (a, b, and each carried column with _a and _b) and the
+    lists, and returns the (a, b) that link.
+    """
+    cols = ["key", *carry]
+    over = W.partitionBy("gram")
+    lists = (
+        items.withColumn("head", F.min(F.struct(*cols)).over(over))
+        .withColumn("last", F.max("key").over(over))
+        .filter("head.key <> last")
+        .dropDuplicates(["gram", "key"])
+        .drop("last")
+    )
+    lists = settle(lists, "lists")
+
+    def paired(x: dict, y: dict) -> list:
+        sides = [(x, "a"), (y, "b")]
+        return [s["key"].alias(n) for s, n in sides] + [s[c].alias(f"{c}_{n}") for c in carry for s, n in sides]
+
+    x, y = {c: F.col(f"head.{c}") for c in cols}, {c: F.col(c) for c in cols}
+    star = settle(lists.filter((x["key"] < y["key"]) & may_link(x, y)).select(*paired(x, y)).dropDuplicates(["a", "b"]), "star")
+    links = settle(verify(star, lists), "links")
+    grouped = components(links).withColumnsRenamed({"id": "key", "component": "group"})
+    marked = lists.drop("head").join(grouped, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    mixed = marked.withColumn("low", F.min("group").over(over)).withColumn("high", F.max("group").over(over))
+    mixed = settle(mixed.filter("low <> high").drop("low", "high"), "mixed")
+    left, right = mixed.alias("x"), mixed.alias("y")
+    x, y = {c: F.col(f"x.{c}") for c in cols}, {c: F.col(f"y.{c}") for c in cols}
+    met = (F.col("x.gram") == F.col("y.gram")) & (x["key"] < y["key"]) & (F.col("x.group") != F.col("y.group"))
+    rest = left.join(right, met & may_link(x, y)).select(*paired(x, y)).dropDuplicates(["a", "b"])
+    rest = settle(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    return links if rest.isEmpty() else links.unionByName(verify(rest, lists))

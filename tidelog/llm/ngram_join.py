@@ -27,17 +27,14 @@ component. Repeated rows are one class. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from tidelog.llm.common import arrow_type, gram_hashes, hashes, list_array, map_batches, mix, ready, source
-from tidelog.llm.groups import components
+from tidelog.llm.groups import components, star_and_rest
 from tidelog.session import settle
 
 BITS = 18
@@ -209,7 +206,7 @@ def promising(pairs: DataFrame, lists: DataFrame, num: int, den: int) -> DataFra
     firsts = settle(firsts, "firsts")
     one = firsts.withColumnsRenamed({"key": "a", "grams": "grams_a", "places": "places_a"})
     two = firsts.withColumnsRenamed({"key": "b", "grams": "grams_b", "places": "places_b"})
-    met = pairs.select("a", "b", "size_a", "size_b").join(two, "b").join(one, "a")
+    met = pairs.join(two, "b").join(one, "a")
     met = met.select("a", "b", "size_a", "size_b", "grams_a", "places_a", "grams_b", "places_b")
 
     def run(batch: pa.RecordBatch):
@@ -247,39 +244,6 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: Order
     )
 
 
-def star_and_rest(items: DataFrame, may_link: Callable, verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Links that give the exact groups of ``items`` (gram, key, size, pos).
-
-    ``may_link`` rules pairs of one list out by what their rows hold; ``verify`` takes
-    pairs (a, b, size_a, size_b) and the lists, and returns the (a, b) that link.
-    """
-    cols = ["key", "size", "pos"]
-    over = W.partitionBy("gram")
-    lists = (
-        items.withColumn("head", F.min(F.struct(*cols)).over(over))
-        .withColumn("last", F.max("key").over(over))
-        .filter("head.key <> last")
-        .dropDuplicates(["gram", "key"])
-        .drop("last")
-    )
-    lists = settle(lists, "lists")
-    x, y = {c: F.col(f"head.{c}") for c in cols}, {c: F.col(c) for c in cols}
-    pair = [x["key"].alias("a"), y["key"].alias("b"), x["size"].alias("size_a"), y["size"].alias("size_b")]
-    star = settle(lists.filter((x["key"] < y["key"]) & may_link(x, y)).select(*pair).distinct(), "star")
-    links = settle(verify(star, lists), "links")
-    grouped = components(links).withColumnsRenamed({"id": "key", "component": "group"})
-    marked = lists.drop("head").join(grouped, "key", "left").withColumn("group", F.coalesce("group", "key"))
-    mixed = marked.withColumn("low", F.min("group").over(over)).withColumn("high", F.max("group").over(over))
-    mixed = settle(mixed.filter("low <> high").drop("low", "high"), "mixed")
-    left, right = mixed.alias("x"), mixed.alias("y")
-    x, y = {c: F.col(f"x.{c}") for c in cols}, {c: F.col(f"y.{c}") for c in cols}
-    pair = [x["key"].alias("a"), y["key"].alias("b"), x["size"].alias("size_a"), y["size"].alias("size_b")]
-    met = (F.col("x.gram") == F.col("y.gram")) & (x["key"] < y["key"]) & (F.col("x.group") != F.col("y.group"))
-    rest = left.join(right, met & may_link(x, y)).select(*pair).distinct()
-    rest = settle(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    return links if rest.isEmpty() else links.unionByName(verify(rest, lists))
-
-
 def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, fragments: int = FRAGMENTS) -> DataFrame:
     """Per row (doc_id, n_shingles, component_id): documents link when ``den`` times the
     intersection is at least ``num`` times the union of their n-word sets."""
@@ -299,6 +263,7 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, f
 
     links = star_and_rest(
         prefixes(texts, order, n, num, den),
+        ["size", "pos"],
         lambda x, y: _may_link(x, y, num, den),
         verify,
     )

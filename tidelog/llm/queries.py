@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidelog.llm import (
     chat_format,
+    fuzzy_lines,
     html_wrapper,
     ngram_join,
     packing,
@@ -14,6 +15,7 @@ from tidelog.llm import (
 )
 
 QUERIES = {
+    "op10_fuzzy_line_dedup": fuzzy_lines.op10_fuzzy_line_dedup,
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
     "op3_sentencepiece": pieces.op3_sentencepiece,

@@ -31,16 +31,16 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidelog.llm.common import gram_hashes, hashes, map_batches, mix, source, words_of
 from tidelog.llm.fm_index import FMIndex
+from tidelog.llm.rewrite import keyed, rewrite
 from tidelog.session import settle
 
 WIDTH = 50
@@ -99,13 +99,7 @@ def passages(docs: DataFrame, width: int, anchor: int) -> DataFrame:
         at = pa.array(np.repeat(np.arange(len(reps)), reps))
         return [batch.column(0).take(at), batch.column(1).take(at), first.astype(np.int32), last.astype(np.int32), anchors, own]
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _print(docs), F.col("text").cast("string").alias("text"))
-    ddl = "doc_id long, print long, first int, last int, anchor long, passage long"
-    return map_batches(rows.filter("doc_id is not null"), run, ddl)
-
-
-def _print(docs: DataFrame):
-    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("print")
+    return map_batches(keyed(docs), run, "doc_id long, print long, first int, last int, anchor long, passage long")
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -114,8 +108,7 @@ def _contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         F.collect_list("anchor").alias("anchors"), F.collect_list("passage").alias("own"),
         F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"), F.collect_list("hot").alias("hots"),
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _print(docs), F.col("text").cast("string").alias("text"))
-    met = rows.join(by_doc, ["doc_id", "print"])
+    met = keyed(docs).join(by_doc, ["doc_id", "print"])
 
     def run(batch: pa.RecordBatch):
         out = []
@@ -159,7 +152,7 @@ def search_shard(width: int) -> Callable:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD_WORDS) -> DataFrame:
-    """(doc_id, print, spans): the words [a, b) of each document that go."""
+    """(doc_id, print, marks): the words [a, b) of each document that go."""
     rows = settle(passages(docs, width, anchor), "passages")
     shared = rows.groupBy("anchor").agg((F.min("doc_id") != F.max("doc_id")).alias("shared")).filter("shared")
     rows = settle(rows.join(shared.select("anchor"), "anchor"), "shared")
@@ -189,7 +182,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, ho
     )
     parts = rows.join(found.distinct().withColumnRenamed("owner", "doc_id"), ["anchor", "passage", "doc_id"])
     parts = parts.select("doc_id", "print", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
-    return whole.unionByName(parts).groupBy("doc_id", "print").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return whole.unionByName(parts).groupBy("doc_id", "print").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
 
 
 def _without(text: str, spans: list[dict]) -> tuple[str, int, int, str]:
@@ -212,29 +205,8 @@ def _without(text: str, spans: list[dict]) -> tuple[str, int, int, str]:
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """The documents, columns as before, with what is left as ``text``; and ``n_words``
     (before), ``n_removed``, ``kept_sha256`` (of the kept words, joined by one space)."""
-    docs = docs.withColumn("text", docs["text"].cast("string"))
-    spans = repeated_spans(docs, **options)
-    spans = spans.withColumnsRenamed({"doc_id": "_doc", "print": "_print", "spans": "_spans"})
-    met = docs.join(
-        spans, (docs["doc_id"].cast("long") == F.col("_doc")) & (_print(docs) == F.col("_print")), "left"
-    )
-    schema = T.StructType(list(docs.schema.fields))
-    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
-    names, where = docs.columns, docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(where).to_pylist()
-            out = [_without(t or "", s or []) for t, s in zip(texts, batch.column(len(names)).to_pylist(), strict=True)]
-            text, n, gone, digest = list(zip(*out, strict=True)) or [[]] * 4
-            columns = list(batch.columns[: len(names)])
-            columns[where] = pa.array([None if t is None else new for t, new in zip(texts, text, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string())],
-                names=[*names, "n_words", "n_removed", "kept_sha256"],
-            )
-
-    return met.select(*[docs[c] for c in names], "_spans").mapInArrow(run, schema)
+    extra = [("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string")]
+    return rewrite(docs, repeated_spans(docs, **options), _without, extra)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
