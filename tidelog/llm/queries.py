@@ -6,6 +6,7 @@ from tidelog.llm import (
     chat_format,
     fuzzy_lines,
     html_wrapper,
+    license_scan,
     ngram_join,
     packing,
     pieces,
@@ -22,6 +23,7 @@ QUERIES = {
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_html_extraction": html_wrapper.op5_html_extraction,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_embedding_near_dedup": pq_dedup.op9_embedding_near_dedup,
 }
