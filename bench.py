@@ -62,7 +62,7 @@ def rates(spark, sf: str, times: dict[str, float]) -> dict[str, float]:
 
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     keys = sys.argv[1:] or HEADLINE
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "tidelog-bench")
     spark.conf.set("spark.sql.streaming.metricsEnabled", "false")

@@ -295,3 +295,58 @@ def test_custom_decoder(spark, folder):
     read = binlog.read_binlog(spark, str(folder))
     got = images.row_images(read, decoder=sizes, decoder_schema="n int").collect()
     assert [r.n for r in got] == [len(int_image(1, "a") + int_image(-2, None))]
+
+def test_two_servers_and_a_closing_payload_in_one_stream(spark, folder):
+    """Servers advance on their own; an event that needs no open map ends a batch."""
+    a, b = folder.parent / "a", folder.parent / "b"
+    aside = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    a.mkdir()
+    b.mkdir()
+    for k in range(1, 6):
+        simple_log().write(a / f"bin.{k:06d}")
+    log = simple_log()
+    log.add(40, b"\x02\x01\x00\x00")
+    log.write(b / "bin.000001")
+    whole = binlog.read_binlog(spark, str(folder.parent)).groupBy("source", "event_type").count().collect()
+
+    def run():
+        stream = binlog.stream_binlog(spark, str(folder.parent)).select("source", "event_type", "start_pos")
+        return feeds.drain(stream, "two", f"{aside}/out", f"{aside}/check")
+
+    got = run().groupBy("source", "event_type").count().collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
+    simple_log().write(b / "bin.000002")
+    assert run().filter("source = 'b'").count() == 9
+    late = binlog.stream_binlog(spark, str(folder.parent), starting={"a": ("bin.000005", 4), "b": ("bin.000002", 4)})
+    assert {(r.source, r.file) for r in feeds.drain(late.select("source", "file"), "late2").collect()} == {
+        ("a", "bin.000005"),
+        ("b", "bin.000002"),
+    }
+
+
+def test_checksums_are_tested_whatever_is_read(spark, folder):
+    log = simple_log()
+    log.data[-6] ^= 1
+    log.write(folder / "bin.000001")
+    with pytest.raises(Exception, match="checksum mismatch"):
+        binlog.read_binlog(spark, str(folder), verify_checksum=True).select("event_type").collect()
+
+
+def test_counts_of_previous_gtids_have_eight_bytes(spark, folder):
+    n = 65_537
+    spans = b"".join((3 * k + 1).to_bytes(8, "little") + (3 * k + 2).to_bytes(8, "little") for k in range(n))
+    log = simple_log()
+    log.add(35, (1).to_bytes(8, "little") + bytes(range(16)) + n.to_bytes(8, "little") + spans)
+    log.write(folder / "bin.000001")
+    got = events.events(binlog.read_binlog(spark, str(folder)), "previous_gtids")
+    assert got.count() == n and got.agg({"stop": "max"}).first()[0] == 3 * n - 1
+
+
+def test_damage_tells_what_is_left_out(spark, folder):
+    log = simple_log()
+    start = log.add(16, bytes(8))
+    log.data[start + 9 : start + 13] = (3).to_bytes(4, "little")
+    log.add(16, bytes(8))
+    log.write(folder / "bin.000001")
+    (bad,) = binlog.read_binlog(spark, str(folder), mode="PERMISSIVE").filter("error is not null").collect()
+    assert bad.error.startswith("event size below header size; ") and bad.error.endswith(" bytes of the file left out")

@@ -1,5 +1,6 @@
 """Replay, merge, pairing, minimal images, transactions, binding, positions - on small tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import changes, jsondiff, position, rows, transactions
@@ -95,3 +96,22 @@ def test_next_position_spans_files(spark):
     df = spark.createDataFrame([("s", *d) for d in data], "source string, n bigint, file string, log_pos bigint, rotate_file string, rotate_pos bigint")
     got = transactions.next_position(df, ["source"], "n", 2).orderBy("n").collect()
     assert [(r.next_file, r.next_pos) for r in got] == [("b.1", 100), ("b.1", 100), ("b.2", 4), ("b.2", 4), ("b.2", 60)]
+
+
+def test_base_rows_are_older_than_any_change(spark):
+    from tidelog.streaming.state import merged_state
+
+    base = spark.createDataFrame([(1, "old"), (2, "kept"), (3, "gone")], "k int, v string")
+    deltas = spark.createDataFrame([(1, -(1 << 31), "U", "new"), (3, 5, "D", None)], "k int, seq int, op string, v string")
+    assert sorted(map(tuple, merged_state(base, deltas, ["k"], "seq").collect())) == [(1, "new"), (2, "kept")]
+
+
+@pytest.mark.parametrize(
+    "code,name,state",
+    [(1042, "ER_BAD_HOST_ERROR", "08S01"), (1052, "ER_NON_UNIQ_ERROR", "23000"), (1058, "ER_WRONG_VALUE_COUNT", "21S01"),
+     (1060, "ER_DUP_FIELDNAME", "42S21"), (1146, "ER_NO_SUCH_TABLE", "42S02"), (1213, "ER_LOCK_DEADLOCK", "40001")],
+)
+def test_error_names(code, name, state):
+    from tidelog.operators.errors import error_rows
+
+    assert (code, name, state) in error_rows()

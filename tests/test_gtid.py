@@ -130,3 +130,12 @@ def test_flavors(spark):
         flavor.parse_sets(m, "sid", "other")
     zero = flavor.parse_sets(spark.createDataFrame([("",)], "t string"), "t", "mariadb")
     assert zero.select(F.col("domain_id")).collect()[0][0] == 0
+
+
+def test_null_transactions_are_not_members(spark):
+    rows = [("s", 1), ("s", 2), (None, 3), ("s", None)]
+    single = spark.createDataFrame(rows, "sid string, gno bigint")
+    one = spark.createDataFrame([("s", 1, 2)], "sid string, start bigint, stop bigint")
+    missing = {(r.sid, r.gno) for r in gtid.not_in_set(single, one).collect()}
+    assert missing == {("s", 2), (None, 3), ("s", None)}
+    assert [(r.sid, r.gno) for r in gtid.in_set(single, one).collect()] == [("s", 1)]

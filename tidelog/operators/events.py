@@ -218,16 +218,16 @@ def _intvar(b: Column) -> dict[str, Column]:
 
 def _previous_gtids(b: Column) -> dict[str, Column]:
     """Walk the sids (each says how many intervals follow), then open the intervals."""
-    n_sids = le_int(b, 1, 2).cast("int")
+    n_sids = le_int(b, 1, 8).cast("int")
     none = F.array().cast("array<struct<at:int,n:int>>")
     walk = F.aggregate(
         F.when(n_sids > 0, F.sequence(F.lit(1), n_sids)).otherwise(F.array().cast("array<int>")),
         F.struct(F.lit(9).alias("at"), none.alias("seen")),
         lambda s, _: F.struct(
-            (s["at"] + 24 + 16 * le_int(b, s["at"] + 16, 2).cast("int")).alias("at"),
+            (s["at"] + 24 + 16 * le_int(b, s["at"] + 16, 8).cast("int")).alias("at"),
             F.array_append(
                 s["seen"],
-                F.struct(s["at"].alias("at"), le_int(b, s["at"] + 16, 2).cast("int").alias("n")),
+                F.struct(s["at"].alias("at"), le_int(b, s["at"] + 16, 8).cast("int").alias("n")),
             ).alias("seen"),
         ),
         lambda s: s["seen"],

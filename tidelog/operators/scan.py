@@ -9,9 +9,9 @@ segments of a bounded position range instead:
 2. a window over those summaries gives what each segment inherits;
 3. the rows are windowed inside (key, segment) only and combined with it.
 
-The result equals the plain window exactly. ``segment`` must never decrease as
-``order`` grows, and ``order`` must be unique within a key. Key columns must be
-non-null. The input is read once per summary and once for the rows, so chains of
+The result equals the plain window exactly, also for null keys and positions (nulls
+are one key, and one segment before all others). ``segment`` must never decrease as
+``order`` grows, and ``order`` must be unique within a key. The input is read once per summary and once for the rows, so chains of
 scans settle what lies between them (``session.settle``) and the plan stays
 linear in the number of scans. In step 2 a key with 10^12 positions and segments of 2^18 positions
 leaves 4 million short rows, and those only as large as the tracked values.
@@ -150,10 +150,12 @@ def ordered_scan(
             *[t.summary(order_key).alias(f"__s_{n}") for n, t in mine.items()]
         )
         along = Window.partitionBy(*(own or [F.lit(0)])).orderBy(*seg)
+        met = [*own, *seg]
         inherited = summary.select(
-            *own, *seg, *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in mine.items()]
+            *[F.col(c).alias(f"__k{i}") for i, c in enumerate(met)], *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in mine.items()]
         )
-        located = located.join(inherited, [*own, *seg])
+        same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(met)]
+        located = located.join(inherited, same).drop(*[f"__k{i}" for i in range(len(met))])
     inside = {t.finer: Window.partitionBy(*keys, *t.finer, *seg).orderBy(*order) for t in tracks.values()}
     located = located.withColumns({f"__l_{n}": t.local(inside[t.finer]) for n, t in tracks.items()})
     return located.select(

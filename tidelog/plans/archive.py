@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tidelog.functions.binary import to_le
 from tidelog.plans import encode as enc
 from tidelog.plans.views import div
-from tidelog.session import new_folder, settle, spread, table
-from tidelog.sources.binlog import MAGIC, open_fs
+from tidelog.session import new_folder, settle, table
+from tidelog.sources.binlog import MAGIC, open_fs, qualified
 
 ORDERS_PER_FILE = 2000
 PER_TX = 10
@@ -100,7 +100,7 @@ def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     update = F.concat(nulls, full["o_orderkey"], nulls, changed["o_orderstatus"], changed["o_totalprice"])
     key = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders").withColumn("g", div("o_orderkey", PER_TX))
-    images = spread(orders, "g").select(
+    images = orders.select(
         "g",
         key.alias("k"),
         insert.alias("insert"),
@@ -164,7 +164,7 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         enc.raw("0100000000000000"), enc.uuid_bytes(F.lit(SID)), enc.raw("0100000000000000"),
         to_le(F.lit(1), 8), to_le(F.col("file_no") * per_file + 1, 8),
     )
-    successor = F.concat(F.lit("binlog."), F.lpad((F.col("file_no") + 1).cast("string"), 6, "0"))
+    successor = F.format_string("binlog.%06d", F.col("file_no") + 1)
     edge = F.array(
         event(-4, 15, const(format_body())),
         event(-3, 35, executed),
@@ -180,7 +180,7 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = events.withColumn("start_pos", F.coalesce(F.sum(size).over(before), F.lit(0)) + 4)
     ts = F.lit(T0) + F.col("file_no") * 60 + F.when(F.col("o") >= 0, F.col("o") % 60).otherwise(0)
     raw = enc.frame(F.col("event_type"), F.col("body"), ts, F.lit(1), F.col("start_pos"), F.lit(0))
-    name = F.concat(F.lit("binlog."), F.lpad(F.col("file_no").cast("string"), 6, "0"))
+    name = F.format_string("binlog.%06d", "file_no")
     headed = placed.select(name.alias("file"), "start_pos", raw.alias("head"))
     return headed.select("file", "start_pos", enc.with_crc(F.col("head")).alias("raw"))
 
@@ -229,6 +229,6 @@ def archive(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         folder = new_folder(spark, "archive") + "/srv1"
-        write_files(settle(archive_events(spark, sf_dir), "frames"), folder)
+        write_files(settle(archive_events(spark, sf_dir), "frames"), qualified(spark, folder))
         _written[key] = folder
     return _written[key]

@@ -11,7 +11,7 @@ from tidelog.operators import catalog, changes
 from tidelog.plans import views as v
 from tidelog.plans.registry import query
 from tidelog.plans.views import CTE, with_views
-from tidelog.session import spread, table
+from tidelog.session import table
 
 # Type codes the fixture draws columns from (fixed values).
 PALETTE = [1, 2, 3, 8, 9, 246, 4, 15, 252, 254, 245, 10, 255]
@@ -59,7 +59,7 @@ CATALOG = "map_cols map_real map_class map_ranked map_catalog"
 
 def table_maps(spark, sf) -> DataFrame:
     """Decoded table maps (as ``binlog.table_maps`` gives them) computed per event."""
-    rows = spread(table(spark, sf, "events"), "event_id")
+    rows = table(spark, sf, "events")
     ints = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
     palette = F.array(*[F.lit(t) for t in PALETTE])
 

@@ -10,7 +10,7 @@ from tidelog.operators import errors, events
 from tidelog.plans import encode as enc
 from tidelog.plans.registry import query
 from tidelog.plans.views import div, hex_uuid
-from tidelog.session import settle, spread, table
+from tidelog.session import settle, table
 
 
 
@@ -26,7 +26,7 @@ def _log(spark, sf, event_type, body):
     """Events as a log: raw bytes framed from each row, then read back."""
     # Staged projections, so that each step is computed once.
     raw = enc.frame(F.lit(event_type), F.col("b"), F.col("s"), F.col("user_id"), 4 + eid() * 64, eid() % 1024)
-    bodies = spread(table(spark, sf, "events"), "event_id").select("event_id", "user_id", seconds().alias("s"), body.alias("b"))
+    bodies = table(spark, sf, "events").select("event_id", "user_id", seconds().alias("s"), body.alias("b"))
     heads = bodies.select("event_id", raw.alias("h"))
     framed = heads.select("event_id", enc.with_crc(F.col("h")).alias("raw"), F.lit(1).alias("checksum_alg"))
     # Landed as raw events, the way an archive is, and read back from there.
@@ -362,7 +362,7 @@ def lenenc_roundtrip(spark, sf):
 )
 def decimal_decode(spark, sf):
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") * F.when(F.col("l_linenumber") % 2 == 0, -1).otherwise(1)
-    rows = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber").select(
+    rows = table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         enc.decimal_cell(cents, 15, 2).alias("d"),
@@ -558,7 +558,7 @@ def error_code_extract(spark, sf):
 
 
 def _error_values() -> str:
-    rows = [(c, n, s) for s, pairs in errors.COMMON_ERRORS.items() for c, n in pairs]
+    rows = errors.error_rows()
     return ", ".join(f"({c}, '{n}', '{s}')" for c, n, s in rows)
 
 

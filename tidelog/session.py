@@ -76,15 +76,5 @@ def settle(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give heavy per-row work to all cores when the input has fewer splits than that.
-
-    Files of a small table may hold a single row group and so a single task;
-    inputs of any size have enough splits already and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")

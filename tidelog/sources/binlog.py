@@ -9,7 +9,9 @@ native expressions. Any folder pyarrow can open (local, HDFS, object stores) wor
 from __future__ import annotations
 
 import io
+import json
 import struct
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -24,7 +26,7 @@ from pyspark.sql.datasource import (
     InputPartition,
 )
 
-from tidelog.operators.events import body_of, checksum_ok
+from tidelog.operators.events import body_of
 from tidelog.operators.position import file_base, file_seq
 
 MAGIC = b"\xfebin"
@@ -128,6 +130,15 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark itself resolves it, for tasks to open."""
+    if "://" in path:
+        return path
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hadoop).toString()
+
+
 def position_key(name: str) -> tuple[str, int]:
     base, dot, ext = name.rpartition(".")
     return (base, int(ext)) if dot and ext.isdigit() else (name, 0)
@@ -192,6 +203,9 @@ def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
                 error = "event body cut short"
             if error and not permissive:
                 raise CorruptLog(f"{path} at {at}: {error}")
+            if error:
+                left = stream.raw.size() - at - len(raw)
+                error = f"{error}; {left} bytes of the file left out" if left else error
             if not error and fields[1] == FORMAT:
                 alg, id_size = format_facts(raw)
             first_format = at == 4 and fields[1] == FORMAT and part.with_format
@@ -206,7 +220,11 @@ def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
                 at = start
 
 
-def batches(part: FileSlice, permissive: bool, keep) -> Iterator[pa.RecordBatch]:
+def checksum_wrong(raw: bytes, alg: int) -> bool:
+    return alg == 1 and zlib.crc32(raw[:-4]) != int.from_bytes(raw[-4:], "little")
+
+
+def batches(part: FileSlice, permissive: bool, keep, verify: bool = False) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(ARROW_FIELDS)
     folder, _, name = part.path.rpartition("/")
     source = folder.rpartition("/")[2]
@@ -219,6 +237,10 @@ def batches(part: FileSlice, permissive: bool, keep) -> Iterator[pa.RecordBatch]
         )
 
     for at, (ts, tp, server, size, log_pos, flags), alg, id_size, raw, error in frames(part, permissive):
+        if verify and not error and checksum_wrong(raw, alg):
+            error = "checksum mismatch"
+            if not permissive:
+                raise CorruptLog(f"{part.path} at {at}: {error}")
         bound = None if error else maps.see(tp, raw[19 : size - 4 if alg == 1 else size], id_size)
         if not (error or keep(ts, tp)):
             continue
@@ -259,6 +281,7 @@ class BinlogReader(DataSourceReader):
         self.target = int(options.get("targetBytes", 128 << 20))
         self.least = int(options.get("minPartitions", 1))
         self.keep = Keep(options)
+        self.verify = options.get("verifyChecksum", "false").lower() == "true"
 
     def partitions(self) -> Sequence[InputPartition]:
         slices = [(FileSlice(p, self.start), size) for p, size in list_logs(self.path)]
@@ -266,73 +289,98 @@ class BinlogReader(DataSourceReader):
 
     def read(self, partition):
         for part in partition.slices:
-            yield from batches(part, self.permissive, self.keep)
+            yield from batches(part, self.permissive, self.keep, self.verify)
 
 
 class BinlogStreamReader(DataSourceStreamReader):
-    """Offsets are a position: everything before (file, pos) has been read.
+    """Offsets are a position per folder: everything before (file, pos) of it has been read.
 
-    A batch ends where no table map is open, so binding row events to table
-    maps needs no state across batches.
+    Each folder is the log of one server, so servers advance on their own. A batch
+    ends where no table map is open, so binding row events to table maps needs
+    no state across batches.
     """
 
     def __init__(self, options):
         self.path = options["path"]
         self.permissive = options.get("mode", "FAILFAST").upper() == "PERMISSIVE"
-        self.start = {"file": options.get("startFile", ""), "pos": int(options.get("startPos", 4))}
+        self.verify = options.get("verifyChecksum", "false").lower() == "true"
+        # Where to start, by the name of the server's folder; "" holds for all others.
+        self.start = json.loads(options.get("starting", "{}"))
         self.target = int(options.get("targetBytes", 128 << 20))
         self.least = int(options.get("minPartitions", 1))
         self.keep = Keep(options)
         self.known: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
-        return self.start
+        return {}
+
+    def _by_folder(self) -> dict[str, list[tuple[str, int]]]:
+        found: dict[str, list[tuple[str, int]]] = {}
+        for path, size in list_logs(self.path):
+            found.setdefault(path.rpartition("/")[0], []).append((path, size))
+        return found
 
     def latestOffset(self) -> dict:
-        logs = list_logs(self.path)
-        if not logs:
-            return self.start
-        path, size = logs[-1]
-        at = self._boundary(path, size)
-        return {"file": path.rpartition("/")[2], "pos": at}
+        reached = {}
+        for folder, logs in self._by_folder().items():
+            path, size = logs[-1]
+            reached[folder] = [path.rpartition("/")[2], self._boundary(path, size)]
+        return reached
 
     def _boundary(self, path: str, size: int) -> int:
-        """End of the last complete statement; reads headers only, from the last known end on."""
+        """Where the last event ends behind which no table map is open.
+
+        Reads headers through a buffer, from the last known end on.
+        """
         fs, inner = open_fs(path)
         safe = at = self.known.get(path, 4)
-        with fs.open_input_file(inner) as f:
+        open_map = False
+        with io.BufferedReader(fs.open_input_file(inner), 1 << 20) as f:
             while at + 19 <= size:
                 f.seek(at)
                 head = f.read(19)
                 _, tp, _, event_size, _, _ = HEADER.unpack(head)
                 if event_size < 19 or at + event_size > size:
                     break
-                at += event_size
-                closes = tp in BOUNDARIES
-                if tp in ROW_TYPES:
+                if tp == TABLE_MAP:
+                    open_map = True
+                elif tp in ROW_TYPES:
                     flags = f.read(8)[6:8]
-                    closes = bool(int.from_bytes(flags, "little") & STMT_END)
-                if closes:
+                    open_map = open_map and not int.from_bytes(flags, "little") & STMT_END
+                elif tp in BOUNDARIES:
+                    open_map = False
+                at += event_size
+                if not open_map:
                     safe = at
         self.known[path] = safe
         return safe
 
+    def _begin(self, folder: str, start: dict) -> tuple[str, int]:
+        if folder in start:
+            return tuple(start[folder])
+        return tuple(self.start.get(folder.rpartition("/")[2], self.start.get("", ("", 4))))
+
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        lo, hi = position_key(start["file"]), position_key(end["file"])
         parts = []
-        for path, size in list_logs(self.path):
-            key = position_key(path.rpartition("/")[2])
-            if key < lo or key > hi:
+        for folder, logs in self._by_folder().items():
+            if folder not in end:
                 continue
-            begin = start["pos"] if key == lo and start["file"] else 4
-            stop = end["pos"] if key == hi else None
-            if stop is None or begin < stop:
-                parts.append((FileSlice(path, begin, stop, with_format=begin <= 4), (stop or size) - begin))
+            file, pos = self._begin(folder, start)
+            last, until = end[folder]
+            lo, hi = position_key(file), position_key(last)
+            for path, size in logs:
+                key = position_key(path.rpartition("/")[2])
+                if key < lo or key > hi:
+                    continue
+                begin = pos if key == lo and file else 4
+                stop = until if key == hi else None
+                if stop is None or begin < stop:
+                    parts.append((FileSlice(path, begin, stop, with_format=begin <= 4), (stop or size) - begin))
         return grouped(parts, self.target, self.least)
 
     def read(self, partition):
         for part in partition.slices:
-            yield from batches(part, self.permissive, self.keep)
+            yield from batches(part, self.permissive, self.keep, self.verify)
 
     def commit(self, end: dict) -> None:
         pass
@@ -359,22 +407,10 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BinlogDataSource)
 
 
-def as_log(framed: DataFrame, mode: str = "FAILFAST", verify: bool = False) -> DataFrame:
-    """Framed events to ``log_events``: position columns, key and body.
-
-    With ``verify`` a wrong CRC32 is an error: it stops the job where the body
-    is read, or in PERMISSIVE mode sets ``error``.
-    """
+def as_log(framed: DataFrame) -> DataFrame:
+    """Framed events to ``log_events``: position columns, key and body."""
     name = F.col("file")
     body = body_of(F.col("raw"), F.col("event_type"), F.col("checksum_alg"))
-    error = F.col("error")
-    if verify:
-        bad = F.coalesce(~checksum_ok(F.col("raw"), F.col("checksum_alg")), F.lit(False))
-        if mode.upper() == "PERMISSIVE":
-            error = F.coalesce(error, F.when(bad, "checksum mismatch"))
-        else:
-            stop = F.raise_error(F.concat_ws(" ", F.lit("checksum mismatch in"), name, F.lit("at"), "start_pos"))
-            body = F.when(bad, stop.cast("binary")).otherwise(body)
     return framed.select(
         "source",
         "file",
@@ -391,7 +427,7 @@ def as_log(framed: DataFrame, mode: str = "FAILFAST", verify: bool = False) -> D
         "checksum_alg",
         "table_id_size",
         "table_map",
-        error.alias("error"),
+        "error",
         body.alias("body"),
         "raw",
     )
@@ -411,6 +447,8 @@ def read_binlog(
     ``event_types`` and ``since`` (seconds) drop other events inside the
     reader; row events come with their table map all the same.
 
+    ``verify_checksum`` tests each CRC32 in the reader, whatever columns are asked for.
+
     FAILFAST stops at the first damaged event; PERMISSIVE keeps it as a row
     with ``error`` (see ``quality.split_quarantine``) and goes on with the next file.
     """
@@ -418,8 +456,8 @@ def read_binlog(
     reader = spark.read.format("binlog").option("startPos", start_pos).option("mode", mode)
     if event_types:
         reader = reader.option("eventTypes", ",".join(map(str, event_types)))
-    reader = reader.option("since", since)
-    return as_log(_sized(spark, reader).load(path), mode, verify_checksum)
+    reader = reader.option("since", since).option("verifyChecksum", verify_checksum)
+    return as_log(_sized(spark, reader).load(qualified(spark, path)))
 
 
 def _sized(spark: SparkSession, reader):
@@ -433,13 +471,25 @@ def raw_mode(log: DataFrame) -> DataFrame:
 
 
 def stream_binlog(
-    spark: SparkSession, path: str, starting: tuple[str, int] | None = None, mode: str = "FAILFAST"
+    spark: SparkSession,
+    path: str,
+    starting: tuple[str, int] | dict[str, tuple[str, int]] | None = None,
+    mode: str = "FAILFAST",
+    verify_checksum: bool = False,
+    event_types: Sequence[int] = (),
+    since: int = 0,
 ) -> DataFrame:
-    """Growing archive as a stream, optionally from a (file, position) on."""
+    """Growing archive as a stream.
+
+    A folder per server; ``starting`` is a (file, position) for all of them, or one
+    per folder name. The other options are those of ``read_binlog``.
+    """
     register(spark)
     reader = _sized(spark, spark.readStream.format("binlog").option("mode", mode))
     if starting:
-        reader = reader.option("startFile", starting[0]).option("startPos", starting[1])
-    return as_log(reader.load(path))
-
-
+        by_folder = starting if isinstance(starting, dict) else {"": starting}
+        reader = reader.option("starting", json.dumps(by_folder))
+    if event_types:
+        reader = reader.option("eventTypes", ",".join(map(str, event_types)))
+    reader = reader.option("since", since).option("verifyChecksum", verify_checksum)
+    return as_log(reader.load(qualified(spark, path)))

@@ -1,7 +1,7 @@
 """Compressed events: expanded or inflated in Arrow batches, everything else untouched.
 
 Spark has no SQL function for zlib or zstd, so these two jobs pass bytes
-through Python; only the compressed events are sent there.
+through Python. Both read the log once.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +74,12 @@ def expand_payloads(log: DataFrame) -> DataFrame:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for batch in batches:
-            for row in batch.to_pylist():
+            packed = pc.fill_null(pc.equal(batch.column("event_type"), PAYLOAD), False)
+            if pc.any(packed).as_py() is not True:
+                yield batch.cast(arrow)
+                continue
+            yield batch.filter(pc.invert(packed)).cast(arrow)
+            for row in batch.filter(packed).to_pylist():
                 maps = MapCache()
                 try:
                     for i, raw in enumerate(inner_events(row["body"]), 1):
@@ -103,9 +109,7 @@ def expand_payloads(log: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     assert {"body", "raw", "inner_idx", "error"} <= set(names)
-    payloads = F.col("event_type") == PAYLOAD
-    opened = log.filter(payloads).mapInArrow(expand, schema)
-    return log.filter(~payloads).unionByName(opened)
+    return log.mapInArrow(expand, schema)
 
 
 def inflate(data: bytes) -> bytes:
@@ -126,8 +130,7 @@ def inflate_bodies(log: DataFrame) -> DataFrame:
     """
     compressed = F.col("event_type").isin(*COMPRESSED)
     keep = fixed_part(F.col("body"), F.col("event_type"), F.col("table_id_size"))
-    tail = F.substring(F.col("body"), (keep + 1).cast("int"), F.length("body"))
+    tail = F.when(compressed, F.substring(F.col("body"), (keep + 1).cast("int"), F.length("body")))
     plain = F.concat(F.substring(F.col("body"), F.lit(1), keep.cast("int")), _inflate(tail))
-    return log.filter(~compressed).unionByName(
-        log.filter(compressed).withColumn("body", plain)
-    )
+    # One pass: other events send nulls to Python and keep their body.
+    return log.withColumn("body", F.when(compressed, plain).otherwise(F.col("body")))

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from tidelog.operators import gtid
 from tidelog.operators.changes import latest_images
 from tidelog.operators.scan import by_width
-from tidelog.session import new_folder
+from tidelog.session import new_folder, settle
 
 # Gnos per state key: a busy server id is spread over many keys, and the
 # interval list of a key can never hold more than this many entries.
@@ -78,10 +78,18 @@ def executed_set_stream(transactions: DataFrame, state_range: int = STATE_RANGE)
     )
 
 
-def run_executed_set(transactions: DataFrame, state_range: int = STATE_RANGE) -> DataFrame:
-    """Drain a transaction stream into its executed set."""
+def run_executed_set(
+    transactions: DataFrame,
+    state_range: int = STATE_RANGE,
+    sink: str | None = None,
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """Drain a transaction stream into its executed set.
+
+    Called again with the same ``sink`` and ``checkpoint`` it goes on where it stopped.
+    """
     spark = transactions.sparkSession
-    lists = new_folder(spark, "executed-set")
+    lists = sink or new_folder(spark, "executed-set")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
@@ -94,7 +102,7 @@ def run_executed_set(transactions: DataFrame, state_range: int = STATE_RANGE) ->
         executed_set_stream(transactions, state_range)
         .writeStream.foreachBatch(store)
         .outputMode("update")
-        .option("checkpointLocation", new_folder(spark, "executed-set-checkpoint"))
+        .option("checkpointLocation", checkpoint or new_folder(spark, "executed-set-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -106,21 +114,26 @@ def run_executed_set(transactions: DataFrame, state_range: int = STATE_RANGE) ->
     return gtid.normalize(newest.select("sid", F.inline("intervals")))
 
 
-def run_resume(transactions: DataFrame, executed: DataFrame) -> DataFrame:
+def run_resume(
+    transactions: DataFrame, executed: DataFrame, sink: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
     """Deliver only transactions that are not in the given set.
 
     Each micro-batch uses the batch anti join, which is linear in the batch and
-    the set, so neither side has to fit a broadcast.
+    the set, so neither side has to fit a broadcast. The set is normalized once,
+    before the stream starts. Called again with the same ``sink`` and ``checkpoint``
+    it goes on where it stopped.
     """
     spark = transactions.sparkSession
-    sink = new_folder(spark, "resumed")
+    sink = sink or new_folder(spark, "resumed")
+    executed = settle(gtid.normalize(executed), "executed")
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
         gtid.not_in_set(batch, executed).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     started = (
         transactions.writeStream.foreachBatch(keep_new)
-        .option("checkpointLocation", new_folder(spark, "resumed-checkpoint"))
+        .option("checkpointLocation", checkpoint or new_folder(spark, "resumed-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -129,7 +142,12 @@ def run_resume(transactions: DataFrame, executed: DataFrame) -> DataFrame:
 
 
 def run_apply(
-    changes: DataFrame, base: DataFrame, keys: Sequence[str], order: str
+    changes: DataFrame,
+    base: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sink: str | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Upsert a change stream into a table.
 
@@ -137,12 +155,13 @@ def run_apply(
     and not the table, and a batch that is run again overwrites itself. Readers
     merge base and batches by ``order`` (``merged_state``); storing that result
     as the next base compacts the batches. Deletes stay as markers until then,
-    which makes late and repeated changes safe.
+    which makes late and repeated changes safe. Called again with the same ``sink``
+    and ``checkpoint`` it goes on where it stopped.
     """
     spark = changes.sparkSession
     values = [c for c in base.columns if c not in keys]
     cols = [*keys, order, "op", *values]
-    deltas = new_folder(spark, "applied")
+    deltas = sink or new_folder(spark, "applied")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         last = latest_images(batch.select(*cols), list(keys), [order])
@@ -150,7 +169,7 @@ def run_apply(
 
     started = (
         changes.writeStream.foreachBatch(store)
-        .option("checkpointLocation", new_folder(spark, "applied-checkpoint"))
+        .option("checkpointLocation", checkpoint or new_folder(spark, "applied-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -162,7 +181,9 @@ def run_apply(
 def merged_state(base: DataFrame, deltas: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Base rows with the stored changes on top, deleted keys dropped."""
     values = [c for c in base.columns if c not in keys]
-    oldest = F.lit(-(1 << 62)).cast(dict(deltas.dtypes)[order])
-    versions = base.withColumns({order: oldest, "op": F.lit("I")}).unionByName(deltas)
-    last = latest_images(versions, list(keys), [order])
+    # A base row is older than any change, whatever the order's type and values.
+    none = F.lit(None).cast(dict(deltas.dtypes)[order])
+    versions = base.withColumns({order: none, "op": F.lit("I"), "__change": F.lit(False)})
+    versions = versions.unionByName(deltas.withColumn("__change", F.lit(True)))
+    last = latest_images(versions, list(keys), ["__change", order])
     return last.filter(F.col("op") != "D").select(*keys, *values)
