@@ -49,18 +49,23 @@ def star_and_rest(
     are tried, unless they were. Pairs within a group change nothing, so a group of
     near copies costs its size, not its square, and no link between groups is lost.
 
-    ``may_link`` rules a pair out by what its two rows carry (mappings of columns);
+    ``may_link`` rules a pair out by what its two rows carry (mappings of columns): if it
+    is false for any gram they share, the pair must not link;
     ``verify`` takes pairs (a, b, and each carried column with _a and _b) and the
     lists, and returns the (a, b) that link.
     """
     cols = ["key", *carry]
     over = W.partitionBy("gram")
+    head, last = ({c: F.col(f"{end}.{c}") for c in cols} for end in ("head", "last"))
     lists = (
         items.withColumn("head", F.min(F.struct(*cols)).over(over))
-        .withColumn("last", F.max("key").over(over))
-        .filter("head.key <> last")
+        .withColumn("last", F.max(F.struct(*cols)).over(over))
+        .filter("head.key <> last.key")
+        # Most lists are two keys that met by chance.
+        .withColumn("more", F.max((F.col("key") != head["key"]) & (F.col("key") != last["key"])).over(over))
+        .filter(F.col("more") | may_link(head, last))
         .dropDuplicates(["gram", "key"])
-        .drop("last")
+        .drop("last", "more")
     )
     lists = settle(lists, "lists")
 
