@@ -155,10 +155,12 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, ho
     """(doc_id, print, marks): the words [a, b) of each document that go."""
     rows = settle(passages(docs, width, anchor), "passages")
     shared = rows.groupBy("anchor").agg((F.min("doc_id") != F.max("doc_id")).alias("shared")).filter("shared")
-    rows = settle(rows.join(shared.select("anchor"), "anchor"), "shared")
+    # Written first, so that both sides of the joins by anchor are plain shuffles, which can be split at a hot anchor.
+    shared = settle(shared.select("anchor"), "shared_anchors")
+    rows = settle(rows.join(shared, "anchor"), "shared")
     one = F.min(F.struct("doc_id", "print", "first", "last")).alias("one")
-    classes = rows.groupBy("anchor", "passage").agg(one)
-    many = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    classes = settle(rows.groupBy("anchor", "passage").agg(one), "classes")
+    many = settle(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchors")
     classes = settle(classes.join(many, "anchor").select("anchor", "passage", "n", "one.*"), "passage_classes")
 
     whole = rows.join(classes.select("anchor", "passage", F.col("doc_id").alias("owner")), ["anchor", "passage"])
