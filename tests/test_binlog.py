@@ -350,3 +350,29 @@ def test_damage_tells_what_is_left_out(spark, folder):
     log.write(folder / "bin.000001")
     (bad,) = binlog.read_binlog(spark, str(folder), mode="PERMISSIVE").filter("error is not null").collect()
     assert bad.error.startswith("event size below header size; ") and bad.error.endswith(" bytes of the file left out")
+
+
+def test_values_after_alter_table(spark, folder):
+    """Each change is decoded by the definition it was written with."""
+
+    def named(*names):
+        return b"\x04" + lenenc(sum(len(text(n)) for n in names)) + b"".join(text(n) for n in names)
+
+    log = Log()
+    log.add(19, table_map(9, [3, 3], b"", optional=named("a", "b")))
+    log.add(30, rows(9, 2, b"\x00" + struct.pack("<ii", 1, 2), [b"\x03"]))
+    log.add(19, table_map(12, [3, 3, 15], b"\x20\x00", optional=named("x", "a", "b")))
+    log.add(30, rows(12, 3, b"\x00" + struct.pack("<ii", 9, 3) + text("four"), [b"\x07"]))
+    log.add(19, table_map(13, [3, 3], b"", optional=named("a", "b")))
+    log.add(30, rows(13, 2, b"\x00" + struct.pack("<ii", 5, 6), [b"\x03"]))
+    log.write(folder / "bin.000001")
+    read = binlog.read_binlog(spark, str(folder))
+    found = catalog.column_catalog(images.table_maps(read), [*events.LOG_KEY, "map_id", "schema_name", "table_name"])
+    specs = images.table_specs(found, "d", "t")
+    assert [[s.name for s in own] for own in specs.values()] == [["a", "b"], ["x", "a", "b"]]
+    typed = images.typed_changes(images.row_changes(read), "d", "t", specs).orderBy("start_pos")
+    got = [(r.after.a, r.after.b, r.after.x) for r in typed.collect()]
+    assert got == [(1, "2", None), (3, "four", 9), (5, "6", None)]
+    first = dict(list(specs.items())[:1])
+    with pytest.raises(Exception, match="no definition given"):
+        images.typed_changes(images.row_changes(read), "d", "t", first).select("after.a").collect()

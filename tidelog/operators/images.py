@@ -8,7 +8,8 @@ expressions turn cells into values.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -34,7 +35,7 @@ BATCH_BYTES = 8 << 20
 # -- table maps --------------------------------------------------------------------
 
 MAP_FIELDS = (
-    "table_id bigint, map_flags int, schema_name string, table_name string, "
+    "table_id bigint, map_id bigint, map_flags int, schema_name string, table_name string, "
     "types array<int>, metas array<int>, null_bitmap binary, "
     + ", ".join(f"{n} {t}" for n, t in LISTS.items())
     + ", map_error string"
@@ -46,6 +47,11 @@ def _with_schema(df: DataFrame, keys: Sequence[str], fields: str) -> T.StructTyp
     return T.StructType(kept + T.StructType.fromDDL(fields).fields)
 
 
+def map_id(table_map: bytes, id_size: int) -> int:
+    """Tells table definitions apart: a hash of the map without the id the server gave it."""
+    return int.from_bytes(hashlib.blake2b(table_map[id_size + 2 :], digest_size=8).digest(), "little", signed=True)
+
+
 def _map_row(body: bytes, id_size: int) -> dict:
     try:
         tm = rowcodec.parse_table_map(body, id_size)
@@ -53,6 +59,7 @@ def _map_row(body: bytes, id_size: int) -> dict:
         return {"map_error": str(exc) or "damaged table map"}
     return {
         "table_id": tm.table_id,
+        "map_id": map_id(body, id_size),
         "map_flags": tm.flags,
         "schema_name": tm.schema,
         "table_name": tm.table,
@@ -127,7 +134,7 @@ def rows_header(log: DataFrame) -> DataFrame:
 CHANGE_FIELDS = (
     "schema_name string, table_name string, change_no bigint, op string, "
     "before array<binary>, after array<binary>, skipped_before array<int>, "
-    "skipped_after array<int>, json_diffs array<int>, error string"
+    "skipped_after array<int>, json_diffs array<int>, map_id bigint, error string"
 )
 
 Decoder = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -173,6 +180,9 @@ def image_walker(
     return rowcodec.ImageWalker(tm, event_type, n_cols, ignore_json_errors)
 
 
+known_map_id = lru_cache(maxsize=4096)(map_id)
+
+
 @lru_cache(maxsize=4096)
 def columns_present(bitmap: bytes, n_cols: int) -> tuple[list[int], list[int]]:
     """Ordinals in the image and ordinals left out of it."""
@@ -196,10 +206,10 @@ def event_changes(row: tuple, ignore_json_errors: bool) -> Iterator[tuple]:
                 schema, table, no, op, before, after,
                 skip1 if before is not None else None,
                 (skip2 if op == "U" else skip1) if after is not None else None,
-                diffs, None,
+                diffs, known_map_id(table_map, id_size), None,
             )
     except (ValueError, IndexError) as exc:
-        yield schema, table, None, op, None, None, None, None, None, str(exc) or "damaged row event"
+        yield schema, table, None, op, None, None, None, None, None, None, str(exc) or "damaged row event"
 
 
 class _Columns:
@@ -294,7 +304,8 @@ class ColumnSpec:
 def table_spec(catalog: DataFrame, schema_name: str, table_name: str) -> list[ColumnSpec]:
     """Columns of one table from ``column_catalog`` (a schema: a few thousand rows at most).
 
-    When the table changed within the log, a name keeps its last definition.
+    When the table changed within the log, a name keeps its last definition; use
+    ``table_specs`` to decode each change by the definition it was written with.
     """
     mine = catalog.filter((F.col("schema_name") == schema_name) & (F.col("table_name") == table_name))
     label = F.coalesce("name", F.concat(F.lit("@"), F.col("ordinal").cast("string")))
@@ -306,6 +317,26 @@ def table_spec(catalog: DataFrame, schema_name: str, table_name: str) -> list[Co
     return sorted(specs, key=lambda s: s.ordinal)
 
 
+def table_specs(catalog: DataFrame, schema_name: str, table_name: str) -> dict[int, list[ColumnSpec]]:
+    """Columns of each definition of one table, by ``map_id``, oldest first.
+
+    ``catalog`` must have been made with ``map_id`` among its keys. Definitions are
+    told apart before anything is collected: a few rows per ALTER TABLE.
+    """
+    mine = catalog.filter((F.col("schema_name") == schema_name) & (F.col("table_name") == table_name))
+    label = F.coalesce("name", F.concat(F.lit("@"), F.col("ordinal").cast("string")))
+    column = F.struct(label.alias("name"), "type", "meta", "unsigned")
+    seen = F.min(F.struct("file_base", "file_seq", "start_pos")).alias("seen")
+    rows = mine.groupBy("map_id", "ordinal").agg(F.first(column).alias("c"), seen).collect()
+    out: dict[int, list[ColumnSpec]] = {}
+    for r in sorted(rows, key=lambda r: (tuple(r["seen"]), r["ordinal"])):
+        c = r["c"]
+        out.setdefault(r["map_id"], []).append(
+            ColumnSpec(c["name"], r["ordinal"], c["type"], c["meta"], bool(c["unsigned"]))
+        )
+    return out
+
+
 INT_BYTES = {ct.TINY: 1, ct.SHORT: 2, ct.INT24: 3, ct.LONG: 4, ct.LONGLONG: 8}
 
 
@@ -346,10 +377,19 @@ def cell_value(cell: Column, spec: ColumnSpec, tz: str = "UTC") -> Column:
 
 
 def typed_changes(
-    changes: DataFrame, schema_name: str, table_name: str, specs: Sequence[ColumnSpec], tz: str = "UTC"
+    changes: DataFrame,
+    schema_name: str,
+    table_name: str,
+    specs: Sequence[ColumnSpec] | Mapping[int, Sequence[ColumnSpec]],
+    tz: str = "UTC",
 ) -> DataFrame:
     """Changes of one table with ``before`` and ``after`` as typed structs.
 
+    ``specs`` is one definition for all changes, or one per ``map_id`` (``table_specs``):
+    then each change is decoded by its own, and a field has the type of its newest
+    definition (older values are cast, NULL where they can't be). A field that a
+    definition lacks is NULL. Changes of a definition that isn't given are errors.
+
     The fields of an absent image are NULL (``op`` tells which are there), so a
     query that reads some fields makes Spark decode only those cells.
     """
@@ -357,9 +397,28 @@ def typed_changes(
 
     def typed(side: str) -> Column:
         cells = F.col(side)
-        values = [
-            cell_value(F.try_element_at(cells, F.lit(s.ordinal + 1)), s, tz).alias(s.name) for s in specs
-        ]
-        return F.struct(*values)
+
+        def value(s: ColumnSpec) -> Column:
+            return cell_value(F.try_element_at(cells, F.lit(s.ordinal + 1)), s, tz)
+
+        if not isinstance(specs, Mapping):
+            return F.struct(*[value(s).alias(s.name) for s in specs])
+        newest = {s.name: s for own in specs.values() for s in own}
+        kinds = mine.select(*[value(s).alias(f"c{i}") for i, s in enumerate(newest.values())]).schema
+        unknown = F.raise_error(F.concat(F.lit("no definition given for table map "), F.col("map_id").cast("string")))
+        fields = []
+        for (name, last), kind in zip(newest.items(), kinds, strict=True):
+            out = None
+            for number, own in specs.items():
+                s = next((s for s in own if s.name == name), None)
+                shown = F.lit(None) if s is None else value(s)
+                if s is not None and (s.type, s.meta, s.unsigned) != (last.type, last.meta, last.unsigned):
+                    shown = shown.try_cast(kind.dataType)
+                shown = shown.cast(kind.dataType)
+                test = F.col("map_id") == number
+                out = F.when(test, shown) if out is None else out.when(test, shown)
+            known = F.col("map_id").isin(*specs) | F.col("map_id").isNull()
+            fields.append(out.when(~known, unknown.cast(kind.dataType)).alias(name))
+        return F.struct(*fields)
 
     return mine.withColumns({"before": typed("before"), "after": typed("after")})
