@@ -115,3 +115,13 @@ def test_error_names(code, name, state):
     from tidelog.operators.errors import error_rows
 
     assert (code, name, state) in error_rows()
+
+
+def test_json_numbers_stay_as_written_and_replace_needs_its_key():
+    doc = jsondiff.parsed('{"b": 12345678901234567890.123456789, "a": [1, 2.50, "x\\u00e9"]}')
+    assert jsondiff.shown(jsondiff.apply_one(doc, "replace", "$.a[0]", "1e400")) == (
+        '{"a":[1e400,2.50,"xé"],"b":12345678901234567890.123456789}'
+    )
+    with pytest.raises(KeyError):
+        jsondiff.apply_one({}, "replace", "$.k", "1")
+    assert jsondiff.apply_one({}, "insert", "$.k", "1") == {"k": 1}

@@ -12,6 +12,25 @@ from pyspark.sql import functions as F
 STEP = re.compile(r'\.(?:"((?:[^"\\]|\\.)*)"|([^.\[\]"]+))|\[(\d+)\]')
 
 
+class Number(str):
+    """A JSON number with a fraction or exponent, kept as it is written."""
+
+
+def parsed(text: str):
+    return json.loads(text, parse_float=Number)
+
+
+def shown(value) -> str:
+    """Compact JSON with sorted keys."""
+    if isinstance(value, Number):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{shown(v)}" for k, v in sorted(value.items())) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(shown, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
 def path_steps(path: str) -> list[str | int]:
     """``$.a."b c"[2]`` to ['a', 'b c', 2]."""
     if not path.startswith("$"):
@@ -30,7 +49,7 @@ def path_steps(path: str) -> list[str | int]:
 def apply_one(doc, op: str, path: str, value: str | None):
     steps = path_steps(path)
     if not steps:
-        return json.loads(value) if op != "remove" else None
+        return parsed(value) if op != "remove" else None
     parent = doc
     for step in steps[:-1]:
         parent = parent[step]
@@ -38,9 +57,11 @@ def apply_one(doc, op: str, path: str, value: str | None):
     if op == "remove":
         del parent[last]
     elif op == "insert" and isinstance(parent, list):
-        parent.insert(last, json.loads(value))
+        parent.insert(last, parsed(value))
+    elif op == "replace" and isinstance(parent, dict) and last not in parent:
+        raise KeyError(last)
     else:
-        parent[last] = json.loads(value)
+        parent[last] = parsed(value)
     return doc
 
 
@@ -55,10 +76,10 @@ def apply_json_diffs(docs: DataFrame, doc_col: str, diffs_col: str) -> DataFrame
         out = []
         for text, changes in zip(doc, diffs):
             try:
-                value = json.loads(text)
+                value = parsed(text)
                 for d in [] if changes is None else changes:
                     value = apply_one(value, d["op"], d["path"], d["value"])
-                out.append((json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True), None))
+                out.append((shown(value), None))
             except (ValueError, KeyError, IndexError, TypeError) as exc:
                 out.append((None, f"{type(exc).__name__}: {exc}"))
         return pd.DataFrame(out, columns=["doc", "diff_error"])
