@@ -56,4 +56,12 @@ def test_no_window_holds_a_whole_key(rows):
     plan = scan.ordered_scan(rows, ["k"], ["p"], scan.by_width("p", 16), t=scan.running_sum("v"))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     over_rows = [line for line in text.splitlines() if "Window" in line and "__l_t" in line]
-    assert over_rows and all("__seg0" in line for line in over_rows)
+    # The windows over rows are per (key, segment), held in one struct.
+    assert over_rows and all("__at0" in line for line in over_rows)
+    assert "struct(k, " in text and "__seg0" in text
+
+
+def test_rows_are_shuffled_once(rows):
+    plan = scan.ordered_scan(rows, ["k"], ["p"], scan.by_width("p", 16), t=scan.running_sum("v"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RepartitionByExpression") == 2  # one plan, read by the summary and by the rows

@@ -14,7 +14,8 @@ are one key, and one segment before all others). ``segment`` must never decrease
 ``order`` grows, and ``order`` must be unique within a key. The input is read once per summary and once for the rows, so chains of
 scans settle what lies between them (``session.settle``) and the plan stays
 linear in the number of scans. In step 2 a key with 10^12 positions and segments of 2^18 positions
-leaves 4 million short rows, and those only as large as the tracked values.
+leaves 4 million short rows, and those only as large as the tracked values. The rows are
+shuffled once, by key and segment, and both passes read that shuffle.
 """
 
 from __future__ import annotations
@@ -139,24 +140,27 @@ def ordered_scan(
     """Add one column per track, each as a plain window over (keys, order) would give."""
     parts = list(segment) if isinstance(segment, (list, tuple)) else [segment]
     seg = [f"__seg{i}" for i in range(len(parts))]
+    finers = list(dict.fromkeys(t.finer for t in tracks.values()))
+    # Key and segment as one struct: it compares null-safe, and summary, join and window
+    # all ask for the partitioning it gives.
+    at = {finer: f"__at{i}" for i, finer in enumerate(finers)}
     base = df.withColumns(dict(zip(seg, parts)))
+    base = base.withColumns({name: F.struct(*keys, *finer, *seg) for finer, name in at.items()})
+    if len(finers) == 1:
+        base = base.repartition(at[finers[0]])
     order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
 
     located = base
-    for finer in dict.fromkeys(t.finer for t in tracks.values()):
+    for finer, name in at.items():
         mine = {n: t for n, t in tracks.items() if t.finer == finer}
-        own = [*keys, *finer]
-        summary = base.groupBy(*own, *seg).agg(
-            *[t.summary(order_key).alias(f"__s_{n}") for n, t in mine.items()]
-        )
-        along = Window.partitionBy(*(own or [F.lit(0)])).orderBy(*seg)
-        met = [*own, *seg]
+        summary = base.groupBy(name).agg(*[t.summary(order_key).alias(f"__s_{n}") for n, t in mine.items()])
+        own = [F.col(name)[c] for c in (*keys, *finer)]
+        along = Window.partitionBy(*(own or [F.lit(0)])).orderBy(*[F.col(name)[c] for c in seg])
         inherited = summary.select(
-            *[F.col(c).alias(f"__k{i}") for i, c in enumerate(met)], *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in mine.items()]
+            name, *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in mine.items()]
         )
-        same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(met)]
-        located = located.join(inherited, same).drop(*[f"__k{i}" for i in range(len(met))])
-    inside = {t.finer: Window.partitionBy(*keys, *t.finer, *seg).orderBy(*order) for t in tracks.values()}
+        located = located.join(inherited, name)
+    inside = {finer: Window.partitionBy(name).orderBy(*order) for finer, name in at.items()}
     located = located.withColumns({f"__l_{n}": t.local(inside[t.finer]) for n, t in tracks.items()})
     return located.select(
         *[F.col(c) for c in df.columns],
