@@ -4,8 +4,8 @@
    elements are aligned with the wrapper by simple tree matching (labels: tag, class,
    role; a matching keeps order and may not cross). Matched nodes merge, the others
    are added; equal neighbours (paragraphs, list items) fold into one repeated node.
-   Each node keeps a hash of its text while all pages agree on it: such a node is
-   constant, else it is a varying slot. Each task folds the pages that stream by, and
+   Each node keeps a hash of its text while all pages agree on it: over at least
+   ``TEMPLATE_PAGES`` pages such a node is constant, else it is a varying slot. Each task folds the pages that stream by, and
    the partial wrappers of a host are folded again, in two steps. Folding sees every
    page; a wrapper is as large as the layouts differ, not as there are pages.
 2. ``extract``: a page is aligned with the wrapper of its host by the same matching.
@@ -73,13 +73,14 @@ BOILER_ROLES = frozenset(
 class Node:
     """An element of a page or of a wrapper: label, children, and the text directly in it."""
 
-    __slots__ = ("boiler", "kids", "label", "many", "tag", "text", "varies")
+    __slots__ = ("boiler", "kids", "label", "many", "pages", "tag", "text", "varies")
 
     def __init__(self, tag: str, label: str, boiler: bool):
         self.tag, self.label, self.boiler = tag, label, boiler
         self.kids: list[Node] = []
         self.text: list = []  # of a page: strings and children in order; of a wrapper: a hash
         self.varies = self.many = False
+        self.pages = 1
 
 
 def _label(tag: str, rest: str) -> tuple[str, bool]:
@@ -185,8 +186,9 @@ def skeleton(node: Node) -> Node:
 def _append(parent: Node, kid: Node) -> None:
     if parent.kids and parent.kids[-1].label == kid.label:
         last = parent.kids[-1]
+        pages = max(last.pages, kid.pages)  # neighbours stand on one page
         merge(last, kid)
-        last.many = True
+        last.many, last.pages = True, pages
     else:
         parent.kids.append(kid)
 
@@ -221,6 +223,7 @@ def merge(wrapper: Node, other: Node) -> None:
     """Fold another wrapper into this one."""
     wrapper.varies |= other.varies or wrapper.text != other.text
     wrapper.many |= other.many
+    wrapper.pages += other.pages
     kids, i, j = [], 0, 0
     for x, y in [*match(wrapper.kids, other.kids), (len(wrapper.kids), len(other.kids))]:
         kids += wrapper.kids[i:x] + other.kids[j:y]
@@ -235,13 +238,14 @@ def merge(wrapper: Node, other: Node) -> None:
 
 
 def dump(node: Node) -> list:
-    return [node.label, int(node.boiler), node.text[0], int(node.varies), int(node.many), [dump(k) for k in node.kids]]
+    return [node.label, int(node.boiler), node.text[0], int(node.varies), int(node.many), node.pages, [dump(k) for k in node.kids]]
 
 
 def load(data: list) -> Node:
     node = Node(re.match(r"[^.@]*", data[0])[0], data[0], bool(data[1]))
     node.text, node.varies, node.many = [data[2]], bool(data[3]), bool(data[4])
-    node.kids = [load(k) for k in data[5]]
+    node.pages = data[5]
+    node.kids = [load(k) for k in data[6]]
     return node
 
 
@@ -251,6 +255,8 @@ def host_of(url: str | None) -> str:
 
 
 HOSTED = "host string, part int, wrapper string"
+#: Pages that must agree on a text before it is template.
+TEMPLATE_PAGES = 5
 #: Partial wrappers of a host are folded in so many groups first.
 PARTS = 64
 
@@ -320,7 +326,10 @@ def extract_text(page: str, wrapper: Node | None) -> str:
 
     def walk(node: Node, slot: Node | None, inside: bool) -> None:
         inside = inside or not inside_only or _article(node)
-        template = evidence and slot is not None and not slot.varies and not slot.many and bool(slot.text[0])
+        template = (
+            evidence and slot is not None and not slot.varies and not slot.many
+            and slot.pages >= TEMPLATE_PAGES and bool(slot.text[0])
+        )
         emit = inside and not template
         own = _blocks(node)
         slots: dict[int, Node] = {}
