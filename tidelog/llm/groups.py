@@ -40,7 +40,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def star_and_rest(
-    items: DataFrame, carry: list[str], may_link: Callable, verify: Callable[[DataFrame, DataFrame], DataFrame]
+    items: DataFrame,
+    carry: list[str],
+    may_link: Callable,
+    verify: Callable[[DataFrame], DataFrame],
+    more: DataFrame | None = None,
+    may_meet: Callable | None = None,
 ) -> DataFrame:
     """Links that give the exact groups of ``items`` (gram, key, *carry): keys may link if they share a gram.
 
@@ -51,8 +56,9 @@ def star_and_rest(
 
     ``may_link`` rules a pair out by what its two rows carry (mappings of columns): if it
     is false for any gram they share, the pair must not link;
-    ``verify`` takes pairs (a, b, and each carried column with _a and _b) and the
-    lists, and returns the (a, b) that link.
+    ``verify`` takes pairs (a, b, and each carried column with _a and _b) and returns the
+    (a, b) that link. ``more`` has further columns per key, which ``may_meet`` looks at,
+    too, before pairs of different groups are made.
     """
     cols = ["key", *carry]
     over = W.partitionBy("gram")
@@ -75,14 +81,17 @@ def star_and_rest(
 
     x, y = {c: F.col(f"head.{c}") for c in cols}, {c: F.col(c) for c in cols}
     star = settle(lists.filter((x["key"] < y["key"]) & may_link(x, y)).select(*paired(x, y)).dropDuplicates(["a", "b"]), "star")
-    links = settle(verify(star, lists), "links")
+    links = settle(verify(star), "links")
     grouped = components(links).withColumnsRenamed({"id": "key", "component": "group"})
     marked = lists.drop("head").join(grouped, "key", "left").withColumn("group", F.coalesce("group", "key"))
     mixed = marked.withColumn("low", F.min("group").over(over)).withColumn("high", F.max("group").over(over))
-    mixed = settle(mixed.filter("low <> high").drop("low", "high"), "mixed")
+    mixed = mixed.filter("low <> high").drop("low", "high")
+    mixed = settle(mixed if more is None else mixed.join(more, "key"), "mixed")
     left, right = mixed.alias("x"), mixed.alias("y")
-    x, y = {c: F.col(f"x.{c}") for c in cols}, {c: F.col(f"y.{c}") for c in cols}
-    met = (F.col("x.gram") == F.col("y.gram")) & (x["key"] < y["key"]) & (F.col("x.group") != F.col("y.group"))
-    rest = left.join(right, met & may_link(x, y)).select(*paired(x, y)).dropDuplicates(["a", "b"])
+    x, y = {c: F.col(f"x.{c}") for c in mixed.columns}, {c: F.col(f"y.{c}") for c in mixed.columns}
+    met = (x["gram"] == y["gram"]) & (x["key"] < y["key"]) & (x["group"] != y["group"]) & may_link(x, y)
+    if may_meet is not None:
+        met &= may_meet(x, y)
+    rest = left.join(right, met).select(*paired(x, y)).dropDuplicates(["a", "b"])
     rest = settle(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    return links if rest.isEmpty() else links.unionByName(verify(rest, lists))
+    return links if rest.isEmpty() else links.unionByName(verify(rest))

@@ -9,7 +9,9 @@ each counts its partial overlap, and partial overlaps are summed per pair.
    go to the driver; it defines the order (bucket count, then hash) and the cuts.
    Equal sets are one class from here on.
 2. ``prefixes``: two sets that reach the threshold share an n-gram among their first
-   ones in the order (prefix filter). Classes that share one are candidates.
+   ones in the order (prefix filter). Classes that share one are candidates, as long as
+   their sizes, the places of what they share and their marks (parities of the n-grams
+   per hash bucket) allow a link. These filters are exact: they never drop a link.
 3. Star round: in each n-gram's list only the smallest class is paired with the
    others. Pairs are verified, links joined to groups. A group of near copies costs
    its size, not its square.
@@ -41,7 +43,14 @@ BITS = 18
 BLOCKS = 16
 FRAGMENTS = 8
 
-SETS = "doc_id long, n_shingles long, key binary, block int, counts binary"
+#: Bits of a set's mark, and the longs of the short mark it folds to.
+MARK_BITS, SHORT = 1024, 4
+
+SETS = (
+    "doc_id long, n_shingles long, key binary, mark binary, "
+    + ", ".join(f"m{k} long" for k in range(SHORT))
+    + ", block int, counts binary"
+)
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -54,6 +63,12 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(gram_hashes(h, n))
 
 
+def mark(grams: np.ndarray) -> np.ndarray:
+    """Parity of the n-grams in each hash bucket, as bits."""
+    counts = np.bincount((mix(grams) >> np.uint64(32)).astype(np.int64) % MARK_BITS, minlength=MARK_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
+
+
 def _bucket(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -64,7 +79,7 @@ def sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches):
         schema, counts = arrow_type(SETS), np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, marks = [], [], []
             for text in batch.column(1).to_pylist():
                 grams = shingles(text, n)
                 counts += np.bincount(_bucket(grams), minlength=1 << BITS) if len(grams) > 5000 else 0
@@ -72,14 +87,20 @@ def sets(docs: DataFrame, n: int) -> DataFrame:
                     np.add.at(counts, _bucket(grams), 1)
                 sizes.append(len(grams))
                 keys.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
+                marks.append(mark(grams))
+            # Folding xors buckets together, which keeps parities.
+            short = np.bitwise_xor.reduce(np.array(marks, np.uint64).reshape(len(marks), -1, SHORT), axis=1).view(np.int64)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array([m.tobytes() for m in marks], pa.binary()), *(pa.array(short[:, k]) for k in range(SHORT)),
+                 none.cast(pa.int32()), none.cast(pa.binary())],
                 schema=schema,
             )
         parts = [c.astype("<u4").tobytes() for c in np.split(counts, BLOCKS)]
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary()),
+             pa.nulls(BLOCKS, pa.binary()), *(pa.nulls(BLOCKS, pa.int64()) for _ in range(SHORT)),
              pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], schema=schema,
         )
 
@@ -182,40 +203,33 @@ def _may_link(x: dict, y: dict, num: int, den: int):
     return (small * den >= large * num) & (most >= need)
 
 
-def _bound(a: dict, b: dict, size_a: int, size_b: int, num: int, den: int) -> bool:
-    """Whether two sets may link, by what their first n-grams (gram: place) share.
-
-    Up to the last shared one all others before it differ; behind it the rest of one of
-    the two beginnings differs.
-    """
-    shared = a.keys() & b.keys()
-    need = -(-(size_a + size_b) * num // (num + den))
-    last_a, last_b = max(a[g] for g in shared), max(b[g] for g in shared)
-    rest_a = size_a - least_overlap(size_a, num, den) - last_a
-    rest_b = size_b - least_overlap(size_b, num, den) - last_b
-    differ = last_a + last_b + 2 - 2 * len(shared) + max(0, min(rest_a, rest_b))
-    return differ <= size_a + size_b - 2 * need
+def _close(x: dict, y: dict, num: int, den: int):
+    """Whether the short marks of two sets differ no more than linked sets may."""
+    both = (x["size"] + y["size"]).cast("long")
+    allowed = both - 2 * F.ceil(both * num / (num + den) - 1e-9)
+    bits = [F.bit_count(x[f"m{k}"].bitwiseXOR(y[f"m{k}"])) for k in range(SHORT)]
+    return sum(bits[1:], bits[0]) <= allowed
 
 
-def promising(pairs: DataFrame, lists: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose first n-grams differ no more than linked sets may differ in all.
+def promising(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose marks differ no more than linked sets may differ.
 
-    This is the overlap of the first fragment, counted before the others are fetched.
+    A mark is the parity of a set's n-grams in each of ``MARK_BITS`` hash buckets, so two
+    sets differ in at least as many n-grams as their marks do in bits.
     """
-    firsts = lists.groupBy("key").agg(F.collect_list("gram").alias("grams"), F.collect_list("pos").alias("places"))
-    firsts = settle(firsts, "firsts")
-    one = firsts.withColumnsRenamed({"key": "a", "grams": "grams_a", "places": "places_a"})
-    two = firsts.withColumnsRenamed({"key": "b", "grams": "grams_b", "places": "places_b"})
-    met = pairs.join(two, "b").join(one, "a")
-    met = met.select("a", "b", "size_a", "size_b", "grams_a", "places_a", "grams_b", "places_b")
+    marks = classes.select("key", "mark")
+    one, two = (marks.withColumnsRenamed({"key": s, "mark": f"mark_{s}"}) for s in "ab")
+    met = pairs.join(two, "b").join(one, "a").select("a", "b", "size_a", "size_b", "mark_a", "mark_b")
 
     def run(batch: pa.RecordBatch):
+        if not batch.num_rows:
+            return None
         left, right = (
-            [dict(zip(g, p, strict=True)) for g, p in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist(), strict=True)]
-            for k in (4, 6)
+            np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5)
         )
-        sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-        keep = pa.array([_bound(x, y, m, n, num, den) for x, y, (m, n) in zip(left, right, sizes, strict=True)], pa.bool_())
+        both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+        allowed = both - 2 * -(-both * num // (num + den))
+        keep = pa.array(np.bitwise_count(left ^ right).sum(1) <= allowed)
         return [batch.column(k).filter(keep) for k in range(4)]
 
     return map_batches(met, run, "a binary, b binary, size_a int, size_b int")
@@ -232,11 +246,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: Order
     one = parts.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     two = parts.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     partial = pairs.join(one, "b").join(two, ["a", "fragment"])
+    partial = partial.withColumn("overlap", F.size(F.array_intersect("grams_a", "grams_b")))
     # Repeated rows give a segment twice, hence the maximum per fragment.
-    overlap = F.max(F.size(F.array_intersect("grams_a", "grams_b"))).alias("overlap")
     return (
         partial.groupBy("a", "fragment", "b", "size_a", "size_b")
-        .agg(overlap)
+        .agg(F.max("overlap").alias("overlap"))
         .groupBy("a", "b", "size_a", "size_b")
         .agg(F.sum("overlap").alias("overlap"))
         .filter(F.col("overlap") * den >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * num)
@@ -249,23 +263,30 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, f
     intersection is at least ``num`` times the union of their n-word sets."""
     rows = settle(sets(docs, n), "sets")
     order = Order(frequencies(rows), fragments)
-    rows = rows.filter("block is null").select("doc_id", "n_shingles", "key")
+    rows = rows.filter("block is null").drop("block", "counts")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.filter("doc_id is not null")
+    shorts = [f"m{k}" for k in range(SHORT)]
     classes = settle(
-        rows.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")), "classes"
+        rows.filter("key is not null and doc_id is not null")
+        .groupBy("key")
+        .agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("mark", *shorts)]),
+        "classes",
     )
+    rows = rows.select("doc_id", "n_shingles", "key")
     ready(docs.sparkSession).conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1MB")
 
-    def verify(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-        few = settle(promising(pairs, lists, num, den), "promising")
-        return verified(few, texts, classes, order, n, num, den)
+    def verify(pairs: DataFrame) -> DataFrame:
+        few = settle(promising(pairs, classes, num, den), "promising")
+        return verified(few, texts, classes.select("key", "doc_id"), order, n, num, den)
 
     links = star_and_rest(
         prefixes(texts, order, n, num, den),
         ["size", "pos"],
         lambda x, y: _may_link(x, y, num, den),
         verify,
+        classes.select("key", *shorts),
+        lambda x, y: _close(x, y, num, den),
     )
     grouped = components(links).withColumnRenamed("id", "key").join(classes, "key")
     smallest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
