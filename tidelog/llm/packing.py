@@ -116,15 +116,17 @@ def patterns(lengths: np.ndarray, capacity: int, most: int) -> np.ndarray:
     rows = [np.array([[capacity, 0, 0]])] if there[capacity] else []
     pair = own[(own <= capacity // 2) & there[capacity - own]]
     rows.append(np.stack([pair, capacity - pair, 0 * pair], 1))
-    a, b = np.meshgrid(own, own, indexing="ij")
-    c = capacity - a - b
-    ok = (a <= b) & (b <= c)
-    a, b, c = a[ok], b[ok], c[ok]
-    ok = there[c]
-    triples = np.stack([a[ok], b[ok], c[ok]], 1)
-    if len(triples) > most:
-        triples = triples[np.linspace(0, len(triples) - 1, most).astype(np.int64)]
-    return np.concatenate([*rows, triples])
+    # By first length: all pairs of lengths at once would take hundreds of MB.
+    small, middle = own[3 * own <= capacity], []
+    for a in small:
+        b = own[(own >= a) & (2 * own <= capacity - a)]
+        middle.append(b[there[capacity - a - b]])
+    a = np.repeat(small, [len(b) for b in middle])
+    b = np.concatenate([np.zeros(0, np.int64), *middle])
+    if len(a) > most:
+        some = np.linspace(0, len(a) - 1, most).astype(np.int64)
+        a, b = a[some], b[some]
+    return np.concatenate([*rows, np.stack([a, b, capacity - a - b], 1)])
 
 
 def fit(rows: np.ndarray, hist: np.ndarray, rounds: int = 200) -> np.ndarray:
