@@ -185,3 +185,35 @@ def test_lines_edge_cases(docs):
     assert got[2].n_removed == 0 and got[5].text == "short one" and got[7].text == ""
     assert got[8].text is None and got[9].n_lines == 0 and got[None].n_removed == 0
     assert fuzzy_lines.remove_lines(frame.limit(0)).count() == 0
+
+
+def test_line_candidates_by_edit_similarity_alone():
+    """Changes in one place always share a key, on lines of every length and without spaces."""
+    rng = np.random.default_rng(4)
+    for size in [*range(10, 60), 90, 200, 700]:
+        for letters in ("abcdefghij klmnop", "\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b\u4e5d"):
+            line = "".join(rng.choice(list(letters), size)).replace(" ", "q")
+            at, wide = int(rng.integers(0, size - size // 10 + 1)), size // 10
+            for new in (line[:at] + "Z" * wide + line[at + wide :], line[:at] + line[at + wide :]):
+                if edits(line, new) > max(len(line), len(new)) // 10:
+                    continue
+                one, two = fuzzy_lines.line_keys([line.encode(), new.encode()])
+                assert set(one.tolist()) & set(two.tolist())
+
+
+def test_lines_with_one_word_replaced_go(docs):
+    """Short and long lines, edit similarity of 90 % and more; the SimHash of words saw few of them."""
+    rng = np.random.default_rng(6)
+    rows, want = [], {}
+    for k, n in enumerate([6, 7, 8, 9, 12, 15, 20, 27, 40, 80] * 4):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(n)]
+        rows.append((k, " ".join(words)))
+        words[int(rng.integers(n))] = words[0][:3] + "xyz" if n > 10 else words[0]
+        at = int(rng.integers(n))
+        words = rows[-1][1].split() if n <= 10 else words
+        words[at] = words[at][:2] + "0" + words[at][3:]
+        rows.append((1000 + k, " ".join(words)))
+        near = edits(rows[-2][1], rows[-1][1]) <= max(len(rows[-2][1]), len(rows[-1][1])) // 10
+        want |= {k: 0, 1000 + k: int(near)}
+    got = {r.doc_id: r.n_removed for r in fuzzy_lines.remove_lines(docs(*rows)).collect()}
+    assert got == want and sum(want.values()) > 30
