@@ -217,3 +217,12 @@ def test_lines_with_one_word_replaced_go(docs):
         want |= {k: 0, 1000 + k: int(near)}
     got = {r.doc_id: r.n_removed for r in fuzzy_lines.remove_lines(docs(*rows)).collect()}
     assert got == want and sum(want.values()) > 30
+
+
+def test_short_lines_and_lines_without_spaces_take_part(spark, docs, tmp_path):
+    """As the query and the pipeline run it: every line with a word."""
+    chinese = "".join(chr(0x4E00 + 37 * k) for k in range(40))
+    rows = [(1, f"Les.\n{chinese}\n\nab"), (2, f"les. \n{chinese[:20]}x{chinese[21:]}\n\nac"), (3, "Les.")]
+    docs(*rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_removed for r in fuzzy_lines.op10_fuzzy_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 2, 3: 1}
