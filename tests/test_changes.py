@@ -125,3 +125,16 @@ def test_json_numbers_stay_as_written_and_replace_needs_its_key():
     with pytest.raises(KeyError):
         jsondiff.apply_one({}, "replace", "$.k", "1")
     assert jsondiff.apply_one({}, "insert", "$.k", "1") == {"k": 1}
+
+
+@pytest.mark.parametrize(
+    "code,name,state",
+    [(1152, "ER_ABORTING_CONNECTION", "08S01"), (1162, "ER_TOO_LONG_STRING", "42000"), (1792, "ER_CANT_EXECUTE_IN_READ_ONLY_TRANSACTION", "25006"),
+     (1859, "ER_DUP_UNKNOWN_IN_INDEX", "23000"), (1863, "ER_ROW_IN_WRONG_PARTITION", "HY000")],
+)
+def test_error_names_of_the_whole_range(spark, code, name, state):
+    from tidelog.operators.errors import enrich_errors, error_dim, error_rows
+
+    (got,) = enrich_errors(spark.createDataFrame([(code,)], "code int"), "code", error_dim(spark)).collect()
+    assert tuple(got) == (code, name, state)
+    assert len({r[0] for r in error_rows()}) == len(error_rows()) == 864 and sum(r[2] != "HY000" for r in error_rows()) == 224

@@ -8,6 +8,7 @@ from tidelog.functions import binary as bx
 from tidelog.functions import cells, temporal, text
 from tidelog.operators import errors, events
 from tidelog.plans import encode as enc
+from tidelog.plans import error_values
 from tidelog.plans.registry import query
 from tidelog.plans.views import div, hex_uuid
 from tidelog.session import settle, table
@@ -558,7 +559,7 @@ def error_code_extract(spark, sf):
 
 
 def _error_values() -> str:
-    rows = errors.error_rows()
+    rows = error_values.error_rows()
     return ", ".join(f"({c}, '{n}', '{s}')" for c, n, s in rows)
 
 
