@@ -145,6 +145,20 @@ def test_licences(docs):
     assert license_scan.scan(docs(*rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["Apache-2.0-header", "MIT-text", "GPL-header", "GPL-3.0", "CC-BY-4.0"])
+@pytest.mark.parametrize("stray", ["This software reads files. ", "Files of the general public. ", "A copy; permission: version, work, attribution. "])
+def test_stray_words_hide_no_notice(name, stray):
+    notice = license_scan.TEMPLATES[name]
+    n, k, half = len(license_scan.words(notice)), len(license_scan.words(stray)), len(notice) // 2
+    split = notice.index(" ", half)
+    for text, times in ((stray + notice, 1), (notice + " " + stray, 1), (stray + notice + " " + stray + notice + " " + stray, 2)):
+        got = [x for x in license_scan.scan_text(text, {name: notice})]
+        assert len(got) == times and all(x[4] >= 80 for x in got)
+        assert times == 2 or (got[0][3] == n and got[0][2] - got[0][1] <= n + k)
+    (between,) = license_scan.scan_text(notice[:split] + " " + stray + notice[split:], {name: notice})
+    assert between[4] >= 80
+
+
 def test_licence_lines_of_the_table(spark, texts):
     short = ["Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "MIT"]
     got = {(r.doc_id, r.license) for r in license_scan.scan(source(spark, SF, "documents")).collect() if r.license}

@@ -8,8 +8,10 @@ the template's words that are matched is its coverage; from ``COVERAGE`` per cen
 is a find, with the span of words between its first and last match.
 
 A document is not aligned as a whole: places of the template's distinctive words
-(those outside ``COMMON``) are clustered, and a new cluster begins where a word that the
-template has once comes back, so a notice that stands several times is found
+(those outside ``COMMON``) that are closer than the template is long are a cluster. Aligned are
+the whole cluster, its parts between returns of words that the template has once, and the
+ranges where such words stand as in the template, so neither stray words of the template
+nor copies hide a notice. What is left beside a find is searched again, so a notice that stands several times is found
 several times. To reach the coverage at least one of the rarest words must be there;
 documents without any are passed over at once. The templates are constants, so
 their number bounds the work per document.
@@ -124,17 +126,18 @@ class Template:
         self.name, self.words = name, words(text)
         count = Counter(self.words)
         self.once = {w for w, n in count.items() if n == 1 and w not in COMMON}
+        self.where = {w: k for k, w in enumerate(self.words)}
         own = [w for w in self.words if w not in COMMON]
         # Without all of these the coverage can't be reached.
         spare = len(self.words) * (100 - COVERAGE) // 100
         self.need = set(sorted(set(own), key=lambda w: (-len(w), w))[: spare + 1])
         self.own = set(own)
 
-    def clusters(self, text: list[str], places: list[int]) -> list[tuple[int, int]]:
-        """Word ranges of the text that may hold the template once."""
+    def clusters(self, text: list[str], places: list[int], cut: bool) -> list[tuple[int, int]]:
+        """Word ranges of the text where hits are closer than the template's size; with ``cut`` none holds a once-word twice."""
         size, out, now, seen = len(self.words), [], [], set()
         for p in places:
-            again = text[p] in self.once and text[p] in seen
+            again = cut and text[p] in self.once and text[p] in seen
             if now and (p - now[-1] > size or again):
                 out.append((now[0], now[-1]))
                 now, seen = [], set()
@@ -149,16 +152,44 @@ class Template:
             ranges.append((low, high))
         return ranges
 
+    def diagonals(self, text: list[str], places: list[int]) -> list[tuple[int, int]]:
+        """Word ranges where once-words stand as far apart as in the template, about."""
+        size = len(self.words)
+        slack, out = size // 8 + 1, []
+        for d in sorted(p - self.where[text[p]] for p in places if text[p] in self.once):
+            if out and d - out[-1][1] <= slack:
+                out[-1] = (out[-1][0], d, out[-1][2] + 1)
+            else:
+                out.append((d, d, 1))
+        least = max(1, (len(self.once) - size * (100 - COVERAGE) // 100) // 3)
+        return [(max(0, a - slack), min(len(text), b + size + slack)) for a, b, n in out if n >= least]
+
     def finds(self, text: list[str], places: dict[str, list[int]]) -> list[tuple[int, int, int]]:
         """(first word, behind the last word, words matched) of each find."""
         if not any(w in places for w in self.need):
             return []
         hits = sorted(p for w in self.own for p in places.get(w, ()))
-        out = []
-        for low, high in self.clusters(text, hits):
-            got = align(text[low:high], self.words)
-            if got and 100 * len(got) >= COVERAGE * len(self.words):
-                out.append((low + got[0][0], low + got[-1][0] + 1, len(got)))
+        out, todo = [], [(0, len(text))]
+        while todo:
+            begin, end = todo.pop()
+            if 100 * (end - begin) < COVERAGE * len(self.words):
+                continue
+            part, own = text[begin:end], [p - begin for p in hits[bisect_left(hits, begin) : bisect_left(hits, end)]]
+            tries = {*self.clusters(part, own, False), *self.clusters(part, own, True), *self.diagonals(part, own)}
+            met = []
+            for low, high in tries:
+                got = align(part[low:high], self.words)
+                if got and 100 * len(got) >= COVERAGE * len(self.words):
+                    met.append((begin + low + got[0][0], begin + low + got[-1][0] + 1, len(got)))
+            taken: list[tuple[int, int, int]] = []
+            for x in sorted(met, key=lambda x: (-x[2], x[1] - x[0], x[0])):
+                if all(x[1] <= y[0] or y[1] <= x[0] for y in taken):
+                    taken.append(x)
+            if taken:
+                # What is left on both sides may hold others.
+                taken.sort()
+                todo += zip([begin, *(x[1] for x in taken)], [*(x[0] for x in taken), end], strict=True)
+                out += taken
         return out
 
 
