@@ -226,3 +226,24 @@ def test_short_lines_and_lines_without_spaces_take_part(spark, docs, tmp_path):
     docs(*rows).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.n_removed for r in fuzzy_lines.op10_fuzzy_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {1: 0, 2: 2, 3: 1}
+
+
+def test_hot_windows_go_to_no_shard(docs, monkeypatch):
+    """A passage of many documents in different surroundings is not dealt to one task."""
+    shared = " ".join(f"p{i}" for i in range(60))
+    rows = [(k, " ".join([*(f"a{k}x{i}" for i in range(50)), shared, *(f"b{k}x{i}" for i in range(50))])) for k in range(200)]
+    search = substring_dedup.search_shard
+
+    def guarded(width):
+        inner = search(width)
+
+        def run(table):
+            if table.num_rows > 20:
+                raise ValueError("one shard has it all")
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(substring_dedup, "search_shard", guarded)
+    got = substring_dedup.remove_repeats(docs(*rows), hot=50, shard=500)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()} == brute_passages(rows, 50)

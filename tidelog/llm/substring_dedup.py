@@ -16,11 +16,12 @@ passage, about 20 windows long.
    streams its passages backwards through it; matches of ``WIDTH`` words give the
    smallest owner, and windows with an owner before their own go.
 4. Anchors with more than ``HOT`` classes (a passage that very many documents share in
-   different surroundings) are cut into windows, windows of one document are
-   dropped, and the others are dealt by their own hash.
+   different surroundings) are cut into windows, each a row of its 128-bit hash. The
+   smallest owner of each is counted before the shuffle and joined back to its rows, so
+   a window of any number of documents is no single task.
 
 Anchors, passages and windows are met by 64-bit hashes of words; equality of windows
-within a shard is decided on the words themselves.
+within a shard is decided on the words themselves, that of hot ones on 128 bits of hash.
 
 A null text has no words. Rows with a null id lose nothing and take nothing away.
 Rows with one id are one document: it takes nothing from itself. Other columns are
@@ -35,6 +36,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,7 +105,7 @@ def passages(docs: DataFrame, width: int, anchor: int) -> DataFrame:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The words of wanted passages; of hot ones, of each window."""
+    """The words of wanted passages; of hot ones, the hash of each window."""
     by_doc = wanted.groupBy("doc_id", "print").agg(
         F.collect_list("anchor").alias("anchors"), F.collect_list("passage").alias("own"),
         F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"), F.collect_list("hot").alias("hots"),
@@ -117,13 +119,13 @@ def _contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for anchor, own, a, b, hot in zip(r["anchors"], r["own"], r["firsts"], r["lasts"], r["hots"], strict=True):
                 part = words[a : b + width]
                 if not hot:
-                    out.append((anchor, own, r["doc_id"], 0, None, b" ".join(part)))
+                    out.append((anchor, own, r["doc_id"], 0, False, b" ".join(part)))
                     continue
-                for k, w in enumerate(window_hashes(hashes(part), width).view(np.int64).tolist()):
-                    out.append((anchor, own, r["doc_id"], k, w, b" ".join(part[k : k + width])))
+                for k in range(len(part) - width + 1):
+                    out.append((anchor, own, r["doc_id"], k, True, xxhash.xxh3_128_digest(b" ".join(part[k : k + width]))))
         return list(zip(*out, strict=True)) if out else None
 
-    return map_batches(met, run, "anchor long, passage long, owner long, at int, window long, words binary")
+    return map_batches(met, run, "anchor long, passage long, owner long, at int, hot boolean, words binary")
 
 
 def search_shard(width: int) -> Callable:
@@ -151,6 +153,14 @@ def search_shard(width: int) -> Callable:
     return run
 
 
+def late_windows(windows: DataFrame, width: int) -> DataFrame:
+    """Words (from, to) of the windows that a smaller owner has, too."""
+    # Written first, so that the join is of plain shuffles, which can be split at a hot window.
+    low = settle(windows.groupBy("anchor", "words").agg(F.min("owner").alias("low")), "window_owners")
+    met = windows.join(low, ["anchor", "words"]).filter("low < owner")
+    return met.select("anchor", "passage", "owner", F.col("at").alias("a"), (F.col("at") + width).alias("b"))
+
+
 def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, print, marks): the words [a, b) of each document that go."""
     rows = settle(passages(docs, width, anchor), "passages")
@@ -167,21 +177,19 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, ho
     whole = whole.filter("doc_id > owner").select("doc_id", "print", F.col("first").alias("a"), (F.col("last") + width).alias("b"))
 
     wanted = classes.filter("n > 1").withColumn("hot", F.col("n") > hot)
-    size = wanted.agg(F.sum(F.col("last") - F.col("first") + width).alias("s"), F.max("n").alias("n")).first()
+    words = F.when(~F.col("hot"), F.col("last") - F.col("first") + width)
+    size = wanted.agg(F.sum(words).alias("s"), F.max("n").alias("n")).first()
     shards = max(1, -(-(size["s"] or 0) // shard))
-    contents = _contents(docs, wanted, width)
+    contents, late = _contents(docs, wanted, width), None
     if (size["n"] or 0) > hot:
         contents = settle(contents, "contents")
-        windows = contents.filter("window is not null")
-        twice = windows.groupBy("anchor", "window").agg((F.min("owner") != F.max("owner")).alias("twice")).filter("twice")
-        contents = contents.filter("window is null").unionByName(
-            windows.join(twice.drop("twice"), ["anchor", "window"]).select(contents.columns)
-        )
-        shards = max(1, -(-contents.count() * (width + 20) // shard))
-    dealt = contents.withColumn("shard", F.pmod(F.xxhash64("anchor", "window"), F.lit(shards)))
+        late = late_windows(contents.filter("hot"), width)
+        contents = contents.filter("not hot")
+    dealt = contents.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     found = dealt.groupBy("shard").applyInArrow(
         search_shard(width), "anchor long, passage long, owner long, a int, b int"
     )
+    found = found if late is None else found.unionByName(late)
     parts = rows.join(found.distinct().withColumnRenamed("owner", "doc_id"), ["anchor", "passage", "doc_id"])
     parts = parts.select("doc_id", "print", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
     return whole.unionByName(parts).groupBy("doc_id", "print").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
