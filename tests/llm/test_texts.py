@@ -106,6 +106,14 @@ PAGE = (
 )
 
 
+@pytest.mark.parametrize("length,count,want", [(100, 5, 1), (1, 4096 + 4095, 2), (1, 4095, 1), (2000, 5, 3), (3000, 4, 4), (100, 85, 3)])
+def test_few_pieces_of_one_length_share_sequences(length, count, want):
+    hist = np.zeros(4097, np.int64)
+    hist[length] = count
+    ranges, sequences = packing.plan(hist)
+    assert sequences == want and ranges[:, 2].sum() == count
+
+
 def test_pages(spark):
     rows = [(k, f"http://u@Host.example/{k}", PAGE.format(n=k, t=f"Title {k}", p=f"Body of {k}")) for k in range(6)]
     rows += [(50, "http://other/x", "<p>Alone &lt;here&gt; "), (51, None, None), (52, "nonsense", ""), (52, "nonsense", "")]

@@ -184,7 +184,7 @@ def plan(hist: np.ndarray, capacity: int = 4096, most: int = MAX_PATTERNS) -> tu
                 rest = best - n
             else:
                 per = capacity // n
-                count = max(1, int(left[n]) // per) if per > 1 and left[n] >= per else int(left[n])
+                count = max(1, int(left[n]) // per)
                 first, rest = sequences, capacity - n
                 sequences += count
             put(n, count, first, capacity - rest - n)
