@@ -58,6 +58,24 @@ def test_normaliser_follows_compiled_maps(rule):
         assert len(align) == len(joined) + 1 and (np.diff(align) >= 0).all()
 
 
+def test_word_ids_equal_the_library_on_odd_texts():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tok, own, some = Tokenizer.from_file(WORDS), packing.WordTokenizer(WORDS), random.Random(4)
+    signs = [*"abzABZ09 .,!?'’<|>\n\t\x0b\x0c\r\x1c\x1f\x85\xa0  　éÉñßİıΣσςẞªºµ日本ｆﬁ한_-$#&*@^~`", "\u0301", "\u0327", "\u0331"]
+    signs += ["<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "İ,", "\U0001f600", "\u200d", "\ufeff"]
+    for _ in range(50):
+        texts = ["".join(some.choices(signs, k=some.randint(0, 14))) for _ in range(2000)]
+        ids, begin = own.encode(pa.array([None, *texts]).slice(1))
+        for k, known in enumerate(tok.encode_batch(texts, add_special_tokens=False)):
+            assert ids[begin[k] : begin[k + 1]].tolist() == known.ids, repr(texts[k])
+    ids, begin = own.encode(pa.array([None, "", "a"], pa.string()))
+    assert begin.tolist() == [0, 0, 0, 1] and len(own.encode(pa.array([], pa.string()))[0]) == 0
+
+
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer
 

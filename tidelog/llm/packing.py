@@ -22,12 +22,13 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -44,46 +45,64 @@ MAX_PATTERNS = 40_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-# A full stop or comma at a word's end is a token of its own, except after these.
-_GLUED = re.compile(r"(?:_|[^\w\s])[.,](?=\s)")
+# Letters without composing marks, whose lower case is one letter of the same kind, then
+# ASCII marks other than those of contractions and special tokens: the letters are one
+# pre-token of the tokenizer and the marks another.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class WordTokenizer:
     """Ids of whole texts from cached ids of words.
 
-    For tokenizers whose pre-tokens never cross white space. The file is read by
-    the library, which encodes each distinct word once while it is cached.
+    For byte-level tokenizers that lower-case and whose pre-tokens never cross white space.
+    The texts are cut and their distinct words found in Arrow; the library sees each
+    distinct word once while it is cached. A word of plain letters and trailing marks
+    goes to the library's model in these two parts, any other word to the whole
+    library as it stands.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tok, self.cache = Tokenizer.from_file(path), Cache(CACHE)
+        self.tok, self.cache, self.marks = Tokenizer.from_file(path), Cache(CACHE), Cache(1 << 12)
+        self.model, self.letters = self.tok.model, _byte_letters()
 
-    def _make(self, words: list[bytes]) -> list[bytes]:
-        found = self.tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _whole(self, words: list[str]) -> list[bytes]:
+        found = self.tok.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    @staticmethod
-    def words(text: str) -> list[bytes]:
-        # Upper case and final points only make more distinct words. Both steps are left
-        # out where they could meet combining marks or runs of punctuation.
-        data = text.encode()
-        low = data.lower()
-        if data.isascii() or unicodedata.is_normalized("NFC", low.decode()):
-            if b"<|" not in data:
-                data = low
-        if not _GLUED.search(text):
-            for mark in (b".", b","):
-                data = data.replace(mark + b" ", b" " + mark + b" ").replace(mark + b"\n", b" " + mark + b"\n")
-        return data.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit integers."""
-        rows = [self.words(t) for t in texts]
-        look = self.cache.fetch({w for row in rows for w in row}, self._make)
-        return [b"".join(map(look, row)) for row in rows]
+    def _letters(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _make(self, words: list[str]) -> list[bytes]:
+        parts = [_PLAIN.fullmatch(w) for w in words]
+        made = {w: self._letters(w) for w in {m[1].lower() for m in parts if m}}
+        tail = self.marks.fetch({m[2] for m in parts if m}, self._whole)
+        odd = iter(self._whole([w for w, m in zip(words, parts, strict=True) if not m]))
+        return [made[m[1].lower()] + tail(m[2]) if m else next(odd) for m in parts]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (little-endian unsigned 32-bit) and where each text's begin; null is empty."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        known = words.dictionary.to_pylist()
+        ids = list(map(self.cache.fetch(known, self._make), known))
+        begin = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4, out=begin[1:])
+        joined = pa.array(np.frombuffer(b"".join(ids), "<u4"))
+        rows = pa.LargeListArray.from_arrays(pa.array(begin), joined).take(words.indices)
+        at = rows.offsets.to_numpy()[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return rows.values.to_numpy()[at[0] :], at - at[0]
 
 
 @lru_cache(maxsize=2)
@@ -97,9 +116,10 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1
 
     def run(batch: pa.RecordBatch):
         out = []
-        rows = tokenizer(path).encode([t or "" for t in batch.column(1).to_pylist()])
-        for doc, ids in zip(batch.column(0).to_pylist(), rows, strict=True):
-            ids += end
+        ids, begin = tokenizer(path).encode(batch.column(1))
+        data, begin = memoryview(ids.tobytes()), (4 * begin).tolist()
+        for doc, a, b in zip(batch.column(0).to_pylist(), begin, begin[1:], strict=False):
+            ids = bytes(data[a:b]) + end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

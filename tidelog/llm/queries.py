@@ -13,6 +13,7 @@ from tidelog.llm import (
     pq_dedup,
     quality_rules,
     substring_dedup,
+    tier_packing,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_embedding_near_dedup": pq_dedup.op9_embedding_near_dedup,
+    "op13_tier_packing": tier_packing.op13_tier_packing,
 }
 
 ORACLES: dict[str, str] = {
