@@ -11,7 +11,9 @@ from tidelog.llm import (
     packing,
     pieces,
     pq_dedup,
+    prefix_trie,
     quality_rules,
+    structure_repair,
     substring_dedup,
     tier_packing,
 )
@@ -27,10 +29,14 @@ QUERIES = {
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_chat_formatting": chat_format.op8_chat_formatting,
     "op9_embedding_near_dedup": pq_dedup.op9_embedding_near_dedup,
+    "op11_structure_repair": structure_repair.op11_structure_repair,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_tier_packing": tier_packing.op13_tier_packing,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op2_ngram_jaccard": ngram_join.OP2_SQL,
+    "op11_structure_repair": structure_repair.OP11_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
 }
