@@ -11,8 +11,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from tidelog.functions import cells as cell_fn
 from tidelog.functions import columns as ct
 from tidelog.functions.binary import be_int, le_int, lenenc_int
 from tidelog.functions.binary import text as utf8_text
-from tidelog.operators import rowcodec
+from tidelog.operators import rowbatch, rowcodec
 from tidelog.operators.catalog import LISTS
 from tidelog.operators.events import LOG_KEY, ROWS, TABLE_MAP
 
@@ -140,35 +142,131 @@ CHANGE_FIELDS = (
 Decoder = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
+def of_tables(tables: Sequence[tuple[str, str]]) -> Column:
+    """Whether a row event's table map is of one of (schema, table); reads its first bytes only."""
+
+    def named(schema: str, table: str) -> Column:
+        parts = [x.encode() for x in (schema, table)]
+        head = b"".join(bytes([len(x)]) + x + b"\0" for x in parts)
+        return F.substring(F.col("table_map"), F.col("table_id_size") + 3, F.lit(len(head))) == F.lit(head)
+
+    return reduce(or_, (named(*t) for t in tables), F.lit(False))
+
+
 def row_changes(
-    log: DataFrame, keys: Sequence[str] = LOG_KEY, ignore_json_errors: bool = False
+    log: DataFrame,
+    keys: Sequence[str] = LOG_KEY,
+    ignore_json_errors: bool = False,
+    tables: Sequence[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """One row per change with the cells of its images (NULL: null or skipped).
 
     An event that cannot be cut gives one row with ``error`` instead; row
-    events without a table map are left to ``orphan_events``.
+    events without a table map are left to ``orphan_events``. With ``tables``,
+    (schema, table) pairs, events of other tables are dropped before any image is read.
+    Events are cut in batches of one kind, so rows come out in no certain order.
     """
     needed = ["event_type", "table_id_size", "n_cols", "present1", "present2", "images", "table_map"]
-    source = rows_header(log.filter(F.col("table_map").isNotNull())).select(*keys, *needed)
+    bound = log.filter(F.col("table_map").isNotNull())
+    if tables is not None:
+        bound = bound.filter(of_tables(tables))
+    source = rows_header(bound).select(*keys, *needed)
     schema = _with_schema(source, keys, CHANGE_FIELDS)
     arrow = to_arrow_schema(schema)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Columns(arrow)
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in (*keys, *needed)]
+            out, single = _Columns(arrow), []
+            kind = rowbatch.kinds([batch.column(n) for n in needed if n != "images"])
+            order = np.argsort(kind, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+                if len(rows) >= rowbatch.TOGETHER:
+                    for part in together(batch, len(keys), rows, arrow, ignore_json_errors):
+                        if isinstance(part, pa.RecordBatch):
+                            yield part
+                        else:
+                            single += part.tolist()
+                else:
+                    single += rows.tolist()
+            columns = [batch.column(n).take(pa.array(single, pa.int64())).to_pylist() for n in (*keys, *needed)]
             for row in zip(*columns):
                 key = row[: len(keys)]
                 for change in event_changes(row[len(keys) :], ignore_json_errors):
                     out.add(key, change)
                     if out.full():
                         yield out.flush()
-        if out.rows:
-            yield out.flush()
+            if out.rows:
+                yield out.flush()
 
     return source.mapInArrow(decode, schema)
 
 
+def operation(event_type: int) -> str:
+    return "U" if event_type in rowcodec.UPDATES else "D" if event_type in rowcodec.DELETES else "I"
+
+
+def together(
+    batch: pa.RecordBatch, n_keys: int, rows: np.ndarray, schema: pa.Schema, ignore_json_errors: bool
+) -> Iterator[pa.RecordBatch | np.ndarray]:
+    """Changes of events of one kind as batches, and the rows that have to be cut one by one."""
+    tp, id_size, n, bitmap1, bitmap2, _, table_map = (batch.column(n_keys + k)[int(rows[0])].as_py() for k in range(7))
+    images = batch.column(n_keys + 5)
+    if tp == rowcodec.PARTIAL_UPDATE or images.null_count:
+        yield rows
+        return
+    try:
+        tm = rowcodec.parse_table_map(table_map, id_size)
+        image_walker(table_map, id_size, tp, n, ignore_json_errors)
+        present1, skip1 = columns_present(bitmap1, n)
+        present2, skip2 = columns_present(bitmap2 or bitmap1, n)
+    except (ValueError, IndexError, TypeError):
+        yield rows
+        return
+    op, first_after = operation(tp), operation(tp) == "I"
+    sides = [rowbatch.Side(tm.layout, present1, n)]
+    if tp in rowcodec.PAIRS:
+        sides.append(rowbatch.Side(tm.layout, present2, n))
+    own = rowbatch.Kind(tm, tp, sides)
+    bounds = np.frombuffer(images.buffers()[1], np.int32, len(images) + 1, 4 * images.offset).astype(np.int64)
+    if not images.buffers()[2]:
+        yield rows
+        return
+    data = np.frombuffer(images.buffers()[2], np.uint8)
+    for chunk in rowbatch.chunks(bounds[rows + 1] - bounds[rows]):
+        mine = rows[chunk]
+        low, high = int(bounds[mine].min()), int(bounds[mine + 1].max())
+        event, number, cells, damaged = own.cut(data[low:high], bounds[mine] - low, bounds[mine + 1] - low)
+        texts = data[low:high]
+        for part in cells if own.json else ():
+            texts, wrong = own.decode_json(texts, part, ignore_json_errors)
+            damaged = np.concatenate([damaged, event[wrong]])
+        if len(damaged):
+            yield mine[np.unique(damaged)]
+            good = np.flatnonzero(~np.isin(event, damaged))
+            event, number, cells = event[good], number[good], [c.take(good) for c in cells]
+        # In log order within the kind.
+        order = np.lexsort((number, event))
+        event, number = event[order], number[order]
+        if not len(event):
+            continue
+        lists = [rowbatch.cell_lists(texts, c.take(order)) for c in cells]
+        size, at = len(event), pa.array(mine[event])
+        none = pa.nulls(size, schema.field("before").type)
+        before, after = (none, lists[0]) if first_after else (lists[0], lists[1] if len(lists) > 1 else none)
+        value = {
+            "schema_name": tm.schema, "table_name": tm.table, "op": op,
+            "skipped_before": None if first_after else skip1,
+            "skipped_after": skip1 if first_after else skip2 if len(sides) > 1 else None,
+            "json_diffs": [], "map_id": known_map_id(table_map, id_size), "error": None,
+        }
+        made = {"change_no": pa.array(number), "before": before, "after": after}
+        columns = [batch.column(k).take(at) for k in range(n_keys)]
+        for f in list(schema)[n_keys:]:
+            column = made.get(f.name)
+            columns.append(pa.repeat(pa.scalar(value[f.name], f.type), size) if column is None else column.cast(f.type))
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 # Events of a table repeat their map and bitmaps; a worker prepares them once.
 
 
@@ -193,7 +291,7 @@ def columns_present(bitmap: bytes, n_cols: int) -> tuple[list[int], list[int]]:
 def event_changes(row: tuple, ignore_json_errors: bool) -> Iterator[tuple]:
     """Changes of one row event, given as (type, id size, columns, bitmaps, images, map)."""
     tp, id_size, n, bitmap1, bitmap2, images, table_map = row
-    op = "U" if tp in rowcodec.UPDATES else "D" if tp in rowcodec.DELETES else "I"
+    op = operation(tp)
     schema = table = None
     try:
         tm = rowcodec.parse_table_map(table_map, id_size)

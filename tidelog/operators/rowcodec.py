@@ -32,6 +32,8 @@ NOT_IN_LOGS = (ct.NEWDATE, ct.ENUM, ct.SET, ct.TINY_BLOB, ct.MEDIUM_BLOB, ct.LON
 
 UPDATES = {21, 24, 31, 39, 167}
 TWO_BITMAPS = {24, 31, 39, 167}
+# Updates whose images come in pairs; those of version 0 share one bitmap.
+PAIRS = TWO_BITMAPS | {21}
 DELETES = {22, 25, 32, 168}
 PARTIAL_UPDATE = 39
 
@@ -252,7 +254,7 @@ class ImageWalker:
 
     def changes(self, data: bytes, present1: list[int], present2: list[int]) -> Iterator[tuple]:
         """(before cells, after cells, diff ordinals) of each change in the event."""
-        at, update = 0, self.event_type in TWO_BITMAPS
+        at, update = 0, self.event_type in PAIRS
         first_is_before = update or self.event_type in DELETES or self.event_type in UPDATES
         while at < len(data):
             started = at
