@@ -139,3 +139,30 @@ def test_null_transactions_are_not_members(spark):
     missing = {(r.sid, r.gno) for r in gtid.not_in_set(single, one).collect()}
     assert missing == {("s", 2), (None, 3), ("s", None)}
     assert [(r.sid, r.gno) for r in gtid.in_set(single, one).collect()] == [("s", 1)]
+
+
+def test_set_algebra_writes_its_points_once(spark):
+    """One written table per operator, and one sweep: points are dealt by range once for the rows and once for the next bounds."""
+    import os
+
+    from test_scan import shuffles
+
+    from tidelog.session import shared_folder
+
+    a = spark.createDataFrame([(1, "s", 1, 9), (1, "s", 9, 12), (1, "t", 5, 6)], "set_id int, sid string, start bigint, stop bigint")
+    b = spark.createDataFrame([(1, "s", 3, 4), (1, "u", 1, 2)], a.schema)
+    folder = shared_folder(spark)
+    for made in (gtid.union_sets, gtid.subtract_sets, gtid.intersect_sets, gtid.contains_sets, gtid.compare_sets):
+        before = set(os.listdir(folder))
+        plan = made(a, b)
+        assert len(set(os.listdir(folder)) - before) == 1
+        assert shuffles(plan, "__at") <= 2
+        assert len(set(os.listdir(folder)) - before) == 1
+    assert sorted(map(tuple, gtid.subtract_sets(a, b).collect())) == [(1, "s", 1, 3), (1, "s", 4, 12), (1, "t", 5, 6)]
+    assert gtid.gaps(a).count() == 0
+
+
+def test_rows_without_an_interval(spark):
+    schema = "sid string, start bigint, stop bigint"
+    odd = spark.createDataFrame([("s", None, 5), ("s", 3, None), ("s", 4, 4), ("s", 9, 2), ("s", 6, 8), (None, 1, 2)], schema)
+    assert sorted(map(str, map(tuple, gtid.normalize(odd, 2).collect()))) == ["('s', 6, 8)", "(None, 1, 2)"]

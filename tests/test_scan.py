@@ -61,7 +61,51 @@ def test_no_window_holds_a_whole_key(rows):
     assert "struct(k, " in text and "__seg0" in text
 
 
+def shuffles(df, by):
+    """How often rows are dealt by one column in the plan as it ran."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("== Initial Plan ==")]
+    dealt = [line for line in final.splitlines() if "REPARTITION_BY_COL" in line and f"hashpartitioning({by}#" in line]
+    return sum("ReusedExchange" not in line for line in dealt)
+
+
 def test_rows_are_shuffled_once(rows):
     plan = scan.ordered_scan(rows, ["k"], ["p"], scan.by_width("p", 16), t=scan.running_sum("v"))
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("RepartitionByExpression") == 2  # one plan, read by the summary and by the rows
+    assert shuffles(plan, "__at0") == 1
+    # What the summaries shuffle has been combined.
+    text = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [text[i + 1] for i, line in enumerate(text) if "Exchange hashpartitioning(__at0" in line and "ENSURE" in line]
+    assert below and any("partial_sum" in line for line in below)
+
+
+def test_summaries_of_one_key_are_windowed_in_blocks(spark):
+    """One key, 10^6 segments: no task windows more than about their square root."""
+    n = 1_000_000
+    summary = spark.range(n).select(
+        F.struct(F.lit("hot").alias("k"), F.col("id").alias("__seg0")).alias("at"),
+        F.lit(1).cast("bigint").alias("__s_n"),
+        F.when(F.col("id") % 1000 != 7, F.col("id")).alias("__s_k"),
+        F.struct(F.col("id").alias("v")).alias("__s_f"),
+    )
+    tracks = {"n": scan.running_sum("v"), "k": scan.last_known("v"), "f": scan.following("v")}
+    got = scan.inherited(summary, "at", ["k"], ["__seg0"], tracks)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    # Over segments only inside a block; along the key only blocks, of which there are n / FAN.
+    inside = [line for line in windows if "windowspecdefinition(__block#" in line]
+    along = [line for line in windows if line not in inside]
+    assert inside and along and all("AS __a_" in line for line in along) and scan.FAN <= 1000
+    i = F.col("at")["__seg0"]
+    before = i - 1
+    known = F.when(i == 0, None).when(before % 1000 == 7, before - 1).otherwise(before)
+    ahead = F.when(i < n - 1, i + 1)
+    wrong = got.filter(
+        ~(F.coalesce("__c_n", F.lit(0)).eqNullSafe(i) & F.col("__c_k").eqNullSafe(known) & F.col("__c_f")["v"].eqNullSafe(ahead))
+    )
+    assert got.count() == n and wrong.count() == 0
+
+
+def test_blocks_match_windows(rows, monkeypatch):
+    monkeypatch.setattr(scan, "FAN", 4)
+    test_matches_windows(rows, 16)

@@ -8,6 +8,8 @@ id in one task: see ``scan``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tidelog.operators.scan import (
     SEGMENT,
     by_width,
     following,
-    key_max,
+    inherited,
     ordered_scan,
     row_index,
     running_max,
@@ -33,31 +35,71 @@ def owner_keys(intervals: DataFrame) -> list[str]:
     return [c for c in set_keys(intervals) if c != "sid"]
 
 
-def normalize(intervals: DataFrame, width: int = SEGMENT) -> DataFrame:
-    """Merge intervals that overlap or touch."""
-    longest = intervals.groupBy(*set_keys(intervals), "start").agg(F.max("stop").alias("stop"))
-    return _merge(longest, width)
+def _edges(intervals: DataFrame, a: int, b: int) -> DataFrame:
+    """Where intervals begin and end: ``point`` and the change of depth there in either set.
+
+    Rows with a null bound or nothing between their bounds are no interval.
+    """
+    ends = F.array(
+        F.struct(F.col("start").alias("point"), F.lit(1).alias("sign")),
+        F.struct(F.col("stop").alias("point"), F.lit(-1).alias("sign")),
+    )
+    return (
+        intervals.filter(F.col("start") < F.col("stop"))
+        .select(*set_keys(intervals), F.inline(ends))
+        .withColumns({"da": F.col("sign") * a, "db": F.col("sign") * b})
+        .drop("sign")
+    )
 
 
-def _merge(intervals: DataFrame, width: int) -> DataFrame:
-    """Normalize intervals whose starts are distinct. They are settled first,
-    because the two scans read them four times."""
-    keys = set_keys(intervals)
-    scanned = ordered_scan(
-        settle(intervals, "intervals"),
-        keys,
-        ["start"],
-        by_width("start", width),
-        reach=running_max("stop", inclusive=False),
-        furthest=key_max("stop"),
+def _depths(edges: DataFrame, width: int) -> DataFrame:
+    """``depth_a``, ``depth_b``: how many intervals of either set lie behind each point.
+
+    Equal points are combined and written once, as all that follows reads them more than once:
+    so a plan grows with its operators and not with the power of their number. The points of one range of
+    one key (``__at``) are together then, and what a range inherits comes from sums per range.
+    """
+    keys = _edge_keys(edges)
+    points = settle(edges.groupBy(*keys, "point").agg(F.sum("da").alias("da"), F.sum("db").alias("db")), "points")
+    points = points.withColumn("__at", F.struct(*keys, by_width("point", width).alias("__seg0")))
+    sums = points.groupBy("__at").agg(F.sum("da").alias("__s_a"), F.sum("db").alias("__s_b"))
+    carried = inherited(sums, "__at", keys, ["__seg0"], {"a": running_sum("da"), "b": running_sum("db")})
+    inside = Window.partitionBy("__at").orderBy("point").rowsBetween(Window.unboundedPreceding, 0)
+    return points.repartition("__at").join(carried, "__at").withColumns(
+        {f"depth_{x}": F.coalesce(f"__c_{x}", F.lit(0)) + F.sum(f"d{x}").over(inside) for x in "ab"}
     )
-    # A row opens an island unless something before it reaches its start; the
-    # island ends where the reach stood when the next one opened.
-    heads = scanned.filter(F.col("reach").isNull() | (F.col("start") > F.col("reach")))
-    closed = ordered_scan(
-        heads, keys, ["start"], by_width("start", width), closing=following("reach")
+
+
+def _edge_keys(edges: DataFrame) -> list[str]:
+    return [c for c in edges.columns if c not in ("point", "da", "db")]
+
+
+def _spans(edges: DataFrame, inside: Callable[[Column, Column], Column], width: int) -> DataFrame:
+    """Longest spans in which ``inside`` (of being in a, in b) holds or not: ``start, stop, inside``.
+
+    Bounds are the points where it changes; each ends where the next of its key stands, in the
+    same range or in the first range after it that has one. The last stop of a key is NULL.
+    """
+    keys = _edge_keys(edges)
+    swept = _depths(edges, width)
+    now = inside(F.col("depth_a") > 0, F.col("depth_b") > 0)
+    before = inside(F.col("depth_a") - F.col("da") > 0, F.col("depth_b") - F.col("db") > 0)
+    bounds = swept.withColumn("inside", now).filter(F.col("inside") != before).select("__at", "point", "inside")
+    firsts = bounds.groupBy("__at").agg(F.min(F.struct(F.col("point").alias("v"))).alias("__s_n"))
+    ahead = inherited(firsts, "__at", keys, ["__seg0"], {"n": following("point")})
+    stop = F.coalesce(F.lead("point").over(Window.partitionBy("__at").orderBy("point")), F.col("__c_n")["v"])
+    return bounds.join(ahead, "__at").select(
+        *[F.col("__at")[k].alias(k) for k in keys], F.col("point").alias("start"), stop.alias("stop"), "inside"
     )
-    return closed.select(*keys, "start", F.coalesce("closing", "furthest").alias("stop"))
+
+
+def _islands(edges: DataFrame, inside: Callable[[Column, Column], Column], width: int) -> DataFrame:
+    return _spans(edges, inside, width).filter("inside").drop("inside")
+
+
+def normalize(intervals: DataFrame, width: int = SEGMENT) -> DataFrame:
+    """Merge intervals that overlap or touch."""
+    return _islands(_edges(intervals, 1, 0), lambda a, b: a, width)
 
 
 def executed_set(transactions: DataFrame, width: int = SEGMENT) -> DataFrame:
@@ -74,76 +116,33 @@ def executed_set(transactions: DataFrame, width: int = SEGMENT) -> DataFrame:
         .agg(F.min("gno").alias("start"), (F.max("gno") + 1).alias("stop"))
         .select(*keys, "start", "stop")
     )
-    return _merge(runs, width)
+    return normalize(runs, width)
 
 
 def union_sets(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
     return normalize(a.unionByName(b), width)
 
 
-def sweep(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
-    """Cut the line at every bound of either set: ``start, stop, in_a, in_b``."""
-    keys = set_keys(a)
-
-    def bounds(df: DataFrame, da: int, db: int) -> DataFrame:
-        edges = F.array(
-            F.struct(F.col("start").alias("point"), F.lit(1).alias("sign")),
-            F.struct(F.col("stop").alias("point"), F.lit(-1).alias("sign")),
-        )
-        return df.select(*keys, F.inline(edges)).select(
-            *keys,
-            "point",
-            (F.col("sign") * da).alias("da"),
-            (F.col("sign") * db).alias("db"),
-        )
-
-    edges = settle(
-        bounds(a, 1, 0)
-        .unionByName(bounds(b, 0, 1))
-        .groupBy(*keys, "point")
-        .agg(F.sum("da").alias("da"), F.sum("db").alias("db")),
-        "edges",
-    )
-    swept = ordered_scan(
-        edges,
-        keys,
-        ["point"],
-        by_width("point", width),
-        depth_a=running_sum("da"),
-        depth_b=running_sum("db"),
-        until=following("point"),
-    )
-    return swept.filter(F.col("until").isNotNull()).select(
-        *keys,
-        F.col("point").alias("start"),
-        F.col("until").alias("stop"),
-        (F.col("depth_a") > 0).alias("in_a"),
-        (F.col("depth_b") > 0).alias("in_b"),
-    )
-
-
-def _pick(a: DataFrame, b: DataFrame, keep: Column, width: int) -> DataFrame:
-    return _merge(sweep(a, b, width).filter(keep).drop("in_a", "in_b"), width)
+def _both(a: DataFrame, b: DataFrame) -> DataFrame:
+    return _edges(a, 1, 0).unionByName(_edges(b, 0, 1))
 
 
 def subtract_sets(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
     """Exact difference; a sid that loses everything disappears."""
-    return _pick(a, b, F.col("in_a") & ~F.col("in_b"), width)
+    return _islands(_both(a, b), lambda in_a, in_b: in_a & ~in_b, width)
 
 
 def intersect_sets(a: DataFrame, b: DataFrame, width: int = SEGMENT) -> DataFrame:
-    return _pick(a, b, F.col("in_a") & F.col("in_b"), width)
+    return _islands(_both(a, b), lambda in_a, in_b: in_a & in_b, width)
 
 
 def _verdicts(a: DataFrame, b: DataFrame, width: int) -> DataFrame:
-    owners = owner_keys(a)
+    in_a, in_b = F.col("depth_a") > 0, F.col("depth_b") > 0
+    owners = [F.col("__at")[k].alias(k) for k in owner_keys(a)]
     return (
-        sweep(a, b, width)
+        _depths(_both(a, b), width)
         .groupBy(*owners)
-        .agg(
-            F.count_if(F.col("in_a") & ~F.col("in_b")).alias("only_a"),
-            F.count_if(~F.col("in_a") & F.col("in_b")).alias("only_b"),
-        )
+        .agg(F.count_if(in_a & ~in_b).alias("only_a"), F.count_if(~in_a & in_b).alias("only_b"))
     )
 
 
@@ -205,13 +204,9 @@ def not_in_set(transactions: DataFrame, intervals: DataFrame, width: int = SEGME
 
 def gaps(intervals: DataFrame, width: int = SEGMENT) -> DataFrame:
     """Missing gnos between the islands of a set."""
-    merged = settle(normalize(intervals, width), "islands")
-    keys = set_keys(merged)
-    ahead = ordered_scan(
-        merged, keys, ["start"], by_width("start", width), next_start=following("start")
-    )
-    return ahead.filter(F.col("next_start").isNotNull()).select(
-        *keys, F.col("stop").alias("gap_start"), F.col("next_start").alias("gap_stop")
+    spans = _spans(_edges(intervals, 1, 0), lambda a, b: a, width)
+    return spans.filter(~F.col("inside") & F.col("stop").isNotNull()).select(
+        *set_keys(intervals), F.col("start").alias("gap_start"), F.col("stop").alias("gap_stop")
     )
 
 

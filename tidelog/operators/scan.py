@@ -15,7 +15,12 @@ are one key, and one segment before all others). ``segment`` must never decrease
 scans settle what lies between them (``session.settle``) and the plan stays
 linear in the number of scans. In step 2 a key with 10^12 positions and segments of 2^18 positions
 leaves 4 million short rows, and those only as large as the tracked values. The rows are
-shuffled once, by key and segment, and both passes read that shuffle.
+shuffled once, by key and segment; summaries are combined before their shuffle.
+
+Step 2 is split in the same way: segments of a key are grouped into blocks of ``FAN`` segment
+numbers, one row per block is windowed along the key, and segments are windowed inside their block only.
+So a key of 10^6 segments is a window of a thousand blocks and a thousand windows of a
+thousand segments. Segments that aren't told by one integer are windowed as they are.
 """
 
 from __future__ import annotations
@@ -25,10 +30,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 # Positions per segment: bounds the rows one window task sorts for one key.
 SEGMENT = 1 << 18
+# Segment numbers per block of summaries.
+FAN = 1000
 
 _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
@@ -41,6 +49,10 @@ class Track:
     inherit: Callable[[Column, WindowSpec], Column]
     local: Callable[[WindowSpec], Column]
     combine: Callable[[Column, Column], Column]
+    # Summaries of summaries: one value for a block, and what a segment inherits from the
+    # blocks around it and from the segments of its own.
+    fold: Callable[[Column, Column], Column]
+    merge: Callable[[Column, Column], Column]
     finer: tuple[str, ...] = ()
 
     def per(self, *extra_keys: str) -> Track:
@@ -63,6 +75,8 @@ def running_sum(value: str | Column, inclusive: bool = True) -> Track:
         inherit=lambda s, w: F.sum(s).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.sum(x).over(w.rowsBetween(*frame)),
         combine=lambda c, v: F.coalesce(c, zero) + F.coalesce(v, zero),
+        fold=lambda s, at: F.sum(s),
+        merge=lambda c, v: F.coalesce(c, zero) + F.coalesce(v, zero),
     )
 
 
@@ -78,6 +92,8 @@ def running_max(value: str | Column, inclusive: bool = True) -> Track:
         inherit=lambda s, w: F.max(s).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.max(x).over(w.rowsBetween(*frame)),
         combine=F.greatest,
+        fold=lambda s, at: F.max(s),
+        merge=F.greatest,
     )
 
 
@@ -89,6 +105,8 @@ def last_known(value: str | Column, inclusive: bool = True) -> Track:
         inherit=lambda s, w: F.last(s, True).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.last(x, True).over(w.rowsBetween(*frame)),
         combine=lambda c, v: F.coalesce(v, c),
+        fold=lambda s, at: F.max_by(s, F.when(s.isNotNull(), at)),
+        merge=lambda c, v: F.coalesce(v, c),
     )
 
 
@@ -100,6 +118,8 @@ def previous(value: str | Column) -> Track:
         inherit=lambda s, w: F.last(s, True).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.lag(boxed).over(w),
         combine=lambda c, v: F.coalesce(v, c)["v"],
+        fold=lambda s, at: F.max_by(s, at),
+        merge=lambda c, v: F.coalesce(v, c),
     )
 
 
@@ -111,6 +131,8 @@ def following(value: str | Column) -> Track:
         inherit=lambda s, w: F.first(s, True).over(w.rowsBetween(1, _LAST)),
         local=lambda w: F.lead(boxed).over(w),
         combine=lambda c, v: F.coalesce(v, c)["v"],
+        fold=lambda s, at: F.min_by(s, at),
+        merge=lambda c, v: F.coalesce(v, c),
     )
 
 
@@ -122,6 +144,8 @@ def key_max(value: str | Column) -> Track:
         inherit=lambda s, w: F.max(s).over(w.rowsBetween(_FIRST, _LAST)),
         local=lambda w: F.max(x).over(w.rowsBetween(_FIRST, _LAST)),
         combine=lambda c, v: c,
+        fold=lambda s, at: F.max(s),
+        merge=lambda c, v: c,
     )
 
 
@@ -130,6 +154,36 @@ def by_width(position: str | Column, width: int = SEGMENT) -> Column:
     return F.call_function("div", _col(position).cast("bigint"), F.lit(width).cast("bigint"))
 
 
+def inherited(summary: DataFrame, name: str, own: Sequence[str], seg: Sequence[str], tracks: dict[str, Track]) -> DataFrame:
+    """What each segment takes over along its key: ``name`` and one ``__c_`` column per track.
+
+    ``summary`` has one row per segment: the struct ``name`` of key columns ``own`` and segment
+    columns ``seg``, and one ``__s_`` column per track.
+    """
+    key = [F.col(name)[c] for c in own] or [F.lit(0)]
+    at = F.col(name).getField(seg[0])
+    whole = isinstance(summary.select(at).schema[0].dataType, T.IntegralType)
+    if len(seg) > 1 or not whole:
+        along = Window.partitionBy(*key).orderBy(*[F.col(name)[c] for c in seg])
+        return summary.select(name, *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in tracks.items()])
+    block = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)], by_width(at, FAN).alias("block"))
+    dealt = summary.withColumn("__block", block).repartition("__block")
+    folded = dealt.groupBy("__block").agg(
+        *[t.fold(F.col(f"__s_{n}"), F.struct(at)).alias(f"__f_{n}") for n, t in tracks.items()]
+    )
+    along = Window.partitionBy(*[F.col("__block")[f"k{i}"] for i in range(len(key))]).orderBy(F.col("__block")["block"])
+    around = folded.select(
+        "__block", *[t.inherit(F.col(f"__f_{n}"), along).alias(f"__a_{n}") for n, t in tracks.items()]
+    )
+    inside = Window.partitionBy("__block").orderBy(at)
+    met = dealt.join(around, "__block").withColumns(
+        {f"__i_{n}": t.inherit(F.col(f"__s_{n}"), inside) for n, t in tracks.items()}
+    )
+    return met.select(
+        name, *[t.merge(F.col(f"__a_{n}"), F.col(f"__i_{n}")).alias(f"__c_{n}") for n, t in tracks.items()]
+    )
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -141,25 +195,18 @@ def ordered_scan(
     parts = list(segment) if isinstance(segment, (list, tuple)) else [segment]
     seg = [f"__seg{i}" for i in range(len(parts))]
     finers = list(dict.fromkeys(t.finer for t in tracks.values()))
-    # Key and segment as one struct: it compares null-safe, and summary, join and window
-    # all ask for the partitioning it gives.
+    # Key and segment as one struct: it compares null-safe, and join and window both ask
+    # for the partitioning it gives.
     at = {finer: f"__at{i}" for i, finer in enumerate(finers)}
     base = df.withColumns(dict(zip(seg, parts)))
     base = base.withColumns({name: F.struct(*keys, *finer, *seg) for finer, name in at.items()})
-    if len(finers) == 1:
-        base = base.repartition(at[finers[0]])
     order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
 
-    located = base
+    located = base.repartition(at[finers[0]]) if len(finers) == 1 else base
     for finer, name in at.items():
         mine = {n: t for n, t in tracks.items() if t.finer == finer}
         summary = base.groupBy(name).agg(*[t.summary(order_key).alias(f"__s_{n}") for n, t in mine.items()])
-        own = [F.col(name)[c] for c in (*keys, *finer)]
-        along = Window.partitionBy(*(own or [F.lit(0)])).orderBy(*[F.col(name)[c] for c in seg])
-        inherited = summary.select(
-            name, *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in mine.items()]
-        )
-        located = located.join(inherited, name)
+        located = located.join(inherited(summary, name, [*keys, *finer], seg, mine), name)
     inside = {finer: Window.partitionBy(name).orderBy(*order) for finer, name in at.items()}
     located = located.withColumns({f"__l_{n}": t.local(inside[t.finer]) for n, t in tracks.items()})
     return located.select(
