@@ -129,3 +129,12 @@ def test_table_filter(spark):
     assert images.row_changes(log, tables=[("shop", "orders"), ("shop", "x")]).count() == every > 0
     assert images.row_changes(log, tables=[("shop", "order"), ("sho", "orders")]).count() == 0
     assert images.row_changes(log, tables=[]).count() == 0
+
+
+def test_files_are_dealt_evenly():
+    slices = [(binlog.FileSlice(f"f{i}", 4), size) for i, size in enumerate([50, 10, 10, 10, 10, 10, 0])]
+    sizes = {s.path: n for s, n in slices}
+    groups = binlog.grouped(slices, 1 << 20, 2)
+    assert sorted(sum(sizes[s.path] for s in g.slices) for g in groups) == [50, 50]
+    assert len(binlog.grouped(slices, 25, 1)) == 4 and len(binlog.grouped(slices, 1 << 20, 99)) == 7
+    assert binlog.grouped([], 10, 8) == []

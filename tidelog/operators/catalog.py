@@ -1,20 +1,27 @@
 """Column catalog: the metadata lists of a table map, resolved per column.
 
 Every list of a table map has entries for its own class of columns only, so
-the k-th entry belongs to the k-th column of that class. A table map is one
-row with short arrays, so the alignment is done inside the row with array
-functions: no shuffle, no join, whatever the number of table maps.
+the k-th entry belongs to the k-th column of that class. A server repeats the same few maps
+before every statement, so maps are told apart by a 128-bit hash of their content and each
+distinct one is resolved once; the rows are joined to their map by that hash. Ranks within
+a class are prefix sums over all columns of an Arrow batch, so a map costs its
+number of columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidelog.functions.binary import bit
-from tidelog.functions.columns import JSON, column_class, real_type
+from tidelog.functions.columns import GEOMETRY, JSON, column_class, real_type
 
 # Metadata columns of ``table_maps`` besides types, metas and null_bitmap.
 LISTS = {
@@ -36,13 +43,6 @@ def _at(values: Column, i: Column) -> Column:
     return F.try_element_at(values, (i + 1).cast("int"))
 
 
-def _rank(flags: Column, i: Column) -> Column:
-    """How many earlier columns share the flag of column i."""
-    return F.aggregate(
-        F.slice(flags, F.lit(1), i.cast("int")), F.lit(0), lambda n, f: n + f.cast("int")
-    )
-
-
 def collation(default: Column, listed: Column, k: Column) -> Column:
     """Override for the k-th column, else the default, else the k-th listed collation.
 
@@ -63,40 +63,115 @@ def collation(default: Column, listed: Column, k: Column) -> Column:
     )
 
 
+# Classes of columns that metadata lists have entries for: rank column and members.
+RANKED = {
+    "__num": ("numeric",),
+    "__chr": ("character",),
+    "__enum": ("enum",),
+    "__set": ("set",),
+    "__es": ("enum", "set"),
+}
+_RANKS = [*RANKED, "__geo"]
+
+
+def ranks(member: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """How many earlier columns of the same row are members: -1 for columns that are none.
+
+    ``member``: flags of all rows' columns in a row, ``begin``: where each row's begin (and the end).
+    """
+    before = np.concatenate(([0], np.cumsum(member)))
+    own = np.repeat(before[begin[:-1]], np.diff(begin))
+    return np.where(member, before[:-1] - own, -1)
+
+
+def _collations(default: list[int] | None, listed: list[int] | None, count: int) -> list[int | None]:
+    """Collation of each of ``count`` columns of a class, as ``collation`` gives it for one."""
+    if default:
+        # As in the log: the default first, then pairs of rank and collation; the last pair wins.
+        # A rank without collation at the end overrides nothing.
+        found = [default[0]] * count
+        for k, value in zip(default[1::2], default[2::2], strict=False):
+            if k is not None and value is not None and 0 <= k < count:
+                found[k] = value
+        return found
+    listed = listed or []
+    return [listed[k] if k < len(listed) else None for k in range(count)]
+
+
+def _flat(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Joined values of a list column and where each row's begin; a null list is an empty one."""
+    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten(), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _with_ranks(maps: DataFrame) -> DataFrame:
+    """``maps`` with the rank of each column in each class and its collation, as arrays."""
+    schema = T.StructType(list(maps.schema.fields))
+    for name in _RANKS:
+        schema = schema.add(name, T.ArrayType(T.IntegerType()))
+    schema = schema.add("__collation", T.ArrayType(T.LongType()))
+    arrow = to_arrow_schema(schema)
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes, begin = _flat(batch.column("__classes"))
+            types, _ = _flat(batch.column("types"))
+            known = classes.dictionary_encode()
+            names, codes = known.dictionary.to_pylist(), known.indices.to_numpy(zero_copy_only=False)
+            made = {}
+            for name, members in RANKED.items():
+                made[name] = ranks(np.isin(codes, [k for k, c in enumerate(names) if c in members]), begin)
+            made["__geo"] = ranks(types.fill_null(0).to_numpy(zero_copy_only=False) == GEOMETRY, begin)
+            shown: list[int | None] = [None] * len(codes)
+            for rank, default, listed in (
+                ("__chr", "default_charset", "column_charset"),
+                ("__es", "enum_set_default_charset", "enum_set_column_charset"),
+            ):
+                rows = zip(batch.column(default).to_pylist(), batch.column(listed).to_pylist(), strict=True)
+                for row, (d, x) in enumerate(rows):
+                    at = np.flatnonzero(made[rank][begin[row] : begin[row + 1]] >= 0) + begin[row]
+                    for i, value in zip(at.tolist(), _collations(d, x, len(at)), strict=True):
+                        shown[i] = value
+            offsets = pa.array(begin.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32(), mask=v < 0)) for v in made.values()]
+            lists.append(pa.ListArray.from_arrays(offsets, pa.array(shown, pa.int64())))
+            yield pa.RecordBatch.from_arrays(
+                [c.cast(f.type) for c, f in zip([*batch.columns, *lists], arrow, strict=True)], schema=arrow
+            )
+
+    return maps.mapInArrow(resolve, schema)
+
+
+def content_hash(columns: Sequence[str]) -> list[Column]:
+    """128 bits that name a row's content, null-safe; longs under the names ``__h0`` and ``__h1``."""
+    return [F.xxhash64(F.lit(seed), *columns).alias(f"__h{seed}") for seed in (0, 1)]
+
+
 def column_catalog(
     table_maps: DataFrame, keys: Sequence[str], flavor: str = "mysql"
 ) -> DataFrame:
     """One row per column of each table map."""
-    types, metas = F.col("types"), F.col("metas")
+    content = ["types", "metas", "null_bitmap", *LISTS]
+    # A hash takes null and an empty list for the same; presence tells them apart.
+    there = [F.col(c).isNull().cast("int").alias(f"__n_{c}") for c in content]
+    named = table_maps.select(*keys, *content, *there)
+    named = named.select(*keys, *content, *content_hash([*content, *(f"__n_{c}" for c in content)]))
+    distinct = named.select("__h0", "__h1", *content).dropDuplicates(["__h0", "__h1"])
+
+    types, metas, cls = F.col("types"), F.col("metas"), F.col("__classes")
+    classes = F.transform(types, lambda t, i: column_class(real_type(t, _at(metas, i)), flavor))
+    prepared = _with_ranks(distinct.withColumn("__classes", classes))
     n = F.size(types)
     ordinals = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    classes = F.transform(
-        types, lambda t, i: column_class(real_type(t, _at(metas, i)), flavor)
-    )
-    prepared = table_maps.withColumn("__classes", classes)
-    cls = F.col("__classes")
-
-    def is_class(*names: str) -> Column:
-        return F.transform(cls, lambda c: c.isin(*names))
-
-    prepared = prepared.withColumns(
-        {
-            "__num": is_class("numeric"),
-            "__chr": is_class("character"),
-            "__enum": is_class("enum"),
-            "__set": is_class("set"),
-            "__es": is_class("enum", "set"),
-            "__geo": F.transform(types, lambda t: t == 255),
-        }
-    )
-
-    def when(flags: str, i: Column, value) -> Column:
-        k = _rank(F.col(flags), i)
-        return F.when(_at(F.col(flags), i), value(k))
 
     def entry(i: Column) -> Column:
         pk_ord = F.array_position(F.col("pk"), i.cast("bigint"))
         null_bit = bit(F.col("null_bitmap"), i)
+
+        def by_rank(name: str, value) -> Column:
+            k = _at(F.col(name), i)
+            return F.when(k.isNotNull(), value(k))
+
         return F.struct(
             i.alias("ordinal"),
             _at(types, i).alias("type"),
@@ -104,28 +179,20 @@ def column_catalog(
             real_type(_at(types, i), _at(metas, i)).alias("real_type"),
             _at(cls, i).alias("class"),
             null_bit.alias("nullable"),
-            when("__num", i, lambda k: bit(F.col("signedness"), k, True)).alias("unsigned"),
+            by_rank("__num", lambda k: bit(F.col("signedness"), k, True)).alias("unsigned"),
             _at(F.col("column_names"), i).alias("name"),
+            _at(F.col("__collation"), i).alias("collation"),
             F.coalesce(
-                when("__chr", i, lambda k: collation(F.col("default_charset"), F.col("column_charset"), k)),
-                when(
-                    "__es",
-                    i,
-                    lambda k: collation(
-                        F.col("enum_set_default_charset"), F.col("enum_set_column_charset"), k
-                    ),
-                ),
-            ).alias("collation"),
-            F.coalesce(
-                when("__enum", i, lambda k: _at(F.col("enum_values"), k)),
-                when("__set", i, lambda k: _at(F.col("set_values"), k)),
+                by_rank("__enum", lambda k: _at(F.col("enum_values"), k)),
+                by_rank("__set", lambda k: _at(F.col("set_values"), k)),
             ).alias("labels"),
-            when("__geo", i, lambda k: _at(F.col("geometry_types"), k)).alias("geometry"),
+            by_rank("__geo", lambda k: _at(F.col("geometry_types"), k)).alias("geometry"),
             F.when(pk_ord > 0, pk_ord - 1).alias("pk_ord"),
             F.when(pk_ord > 0, F.try_element_at(F.col("pk_prefix"), pk_ord.cast("int"))).alias("pk_prefix"),
         )
 
-    return prepared.select(*keys, F.inline(F.transform(ordinals, entry)))
+    resolved = prepared.select("__h0", "__h1", F.transform(ordinals, entry).alias("__columns"))
+    return named.select(*keys, "__h0", "__h1").join(resolved, ["__h0", "__h1"]).select(*keys, F.inline("__columns"))
 
 
 def column_label(name: Column, ordinal: Column) -> Column:

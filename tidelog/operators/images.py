@@ -77,15 +77,18 @@ def table_maps(log: DataFrame, keys: Sequence[str] = LOG_KEY) -> DataFrame:
     """Decoded table-map events with their metadata lists (see ``catalog``)."""
     source = log.filter(F.col("event_type") == TABLE_MAP).select(*keys, "body", "table_id_size")
     schema = _with_schema(source, keys, MAP_FIELDS)
-    arrow = to_arrow_schema(schema)
+    arrow, kept = to_arrow_schema(schema), [c for c in source.columns if c in keys]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                {**{k: row[k] for k in keys}, **_map_row(row["body"], row["table_id_size"])}
-                for row in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            # A map is decoded once however often it comes.
+            kind = rowbatch.kinds([batch.column("body"), batch.column("table_id_size")])
+            _, first, which = np.unique(kind, return_index=True, return_inverse=True)
+            some = batch.select(["body", "table_id_size"]).take(pa.array(first))
+            rows = [_map_row(body, size) for body, size in zip(*(c.to_pylist() for c in some.columns))]
+            decoded = pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(arrow)[len(kept) :]))
+            decoded = decoded.take(pa.array(which.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *decoded.columns], schema=arrow)
 
     # Missing lists come out as NULL; an absent list is an empty one.
     decoded = source.mapInArrow(decode, schema)

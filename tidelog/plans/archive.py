@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.binary import to_le
 from tidelog.plans import encode as enc
 from tidelog.plans.views import div
-from tidelog.session import new_folder, settle, table
+from tidelog.session import new_folder, settle, spread_table
 from tidelog.sources.binlog import MAGIC, open_fs, qualified
 
 ORDERS_PER_FILE = 2000
@@ -99,7 +99,7 @@ def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     insert = F.concat(nulls, *full.values())
     update = F.concat(nulls, full["o_orderkey"], nulls, changed["o_orderstatus"], changed["o_totalprice"])
     key = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").withColumn("g", div("o_orderkey", PER_TX))
+    orders = spread_table(spark, sf_dir, "orders").withColumn("g", div("o_orderkey", PER_TX))
     images = orders.select(
         "g",
         key.alias("k"),

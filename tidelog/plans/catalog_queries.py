@@ -11,7 +11,7 @@ from tidelog.operators import catalog, changes
 from tidelog.plans import views as v
 from tidelog.plans.registry import query
 from tidelog.plans.views import CTE, with_views
-from tidelog.session import table
+from tidelog.session import spread_table
 
 # Type codes the fixture draws columns from (fixed values).
 PALETTE = [1, 2, 3, 8, 9, 246, 4, 15, 252, 254, 245, 10, 255]
@@ -59,7 +59,7 @@ CATALOG = "map_cols map_real map_class map_ranked map_catalog"
 
 def table_maps(spark, sf) -> DataFrame:
     """Decoded table maps (as ``binlog.table_maps`` gives them) computed per event."""
-    rows = table(spark, sf, "events")
+    rows = spread_table(spark, sf, "events")
     ints = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
     palette = F.array(*[F.lit(t) for t in PALETTE])
 
@@ -135,7 +135,7 @@ def column_catalog(spark, sf):
     with_views(CATALOG, "SELECT e.event_id, e.pk, m.ordinal, m.name, m.type, m.unsigned FROM (SELECT event_id, user_id AS pk, event_id - event_id % 4 AS map_id FROM events) e JOIN map_catalog m ON m.event_id = e.map_id AND m.ordinal = e.pk % 4"),
 )
 def column_catalog_join(spark, sf):
-    cells = table(spark, sf, "events").select(
+    cells = spread_table(spark, sf, "events").select(
         "event_id",
         F.col("user_id").alias("pk"),
         (eid() - eid() % 4).alias("map_id"),
@@ -253,7 +253,7 @@ _LABELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 def enum_label(spark, sf):
     labels = F.array(*[F.lit(x) for x in _LABELS])
     index = F.when(F.col("o_orderkey") % 7 > 0, F.array_position(labels, F.col("o_orderpriority"))).otherwise(0)
-    return table(spark, sf, "orders").select("o_orderkey", col_fn.enum_label(index, labels).alias("label"))
+    return spread_table(spark, sf, "orders").select("o_orderkey", col_fn.enum_label(index, labels).alias("label"))
 
 
 @query(
@@ -264,7 +264,7 @@ def enum_label(spark, sf):
 def set_labels(spark, sf):
     labels = F.array(F.lit("red"), F.lit("green"), F.lit("blue"))
     found = col_fn.set_labels(F.col("o_orderkey") % 8, labels)
-    return table(spark, sf, "orders").select("o_orderkey", F.array_join(found, ",").alias("labels"))
+    return spread_table(spark, sf, "orders").select("o_orderkey", F.array_join(found, ",").alias("labels"))
 
 
 @query(
@@ -279,7 +279,7 @@ def unsigned_fix(spark, sf):
 
     yes = F.lit(True)
     fix = lambda value, width, unsigned=yes: col_fn.fix_unsigned(value, F.lit(width), unsigned).cast("string")
-    return table(spark, sf, "events").select(
+    return spread_table(spark, sf, "events").select(
         "event_id",
         fix(wrapped((eid() * 13) % 256, 1), 1).alias("tiny"),
         fix(wrapped((eid() * 1009) % 16777216, 3), 3).alias("medium"),

@@ -11,7 +11,7 @@ from tidelog.plans import encode as enc
 from tidelog.plans import error_values
 from tidelog.plans.registry import query
 from tidelog.plans.views import div, hex_uuid
-from tidelog.session import settle, table
+from tidelog.session import settle, spread_table, table
 
 
 
@@ -27,7 +27,7 @@ def _log(spark, sf, event_type, body):
     """Events as a log: raw bytes framed from each row, then read back."""
     # Staged projections, so that each step is computed once.
     raw = enc.frame(F.lit(event_type), F.col("b"), F.col("s"), F.col("user_id"), 4 + eid() * 64, eid() % 1024)
-    bodies = table(spark, sf, "events").select("event_id", "user_id", seconds().alias("s"), body.alias("b"))
+    bodies = spread_table(spark, sf, "events").select("event_id", "user_id", seconds().alias("s"), body.alias("b"))
     heads = bodies.select("event_id", raw.alias("h"))
     framed = heads.select("event_id", enc.with_crc(F.col("h")).alias("raw"), F.lit(1).alias("checksum_alg"))
     # Landed as raw events, the way an archive is, and read back from there.
@@ -255,7 +255,7 @@ def load_data_join(spark, sf):
         enc.raw("00" * 8 + "04" + "0000" + "0300"), bx.to_le(F.col("c_custkey"), 4), enc.raw("00" * 8),
         bx.to_le(F.col("c_nationkey"), 1),
     )
-    log = table(spark, sf, "customer").select(F.lit(18).alias("event_type"), body.alias("body"))
+    log = spread_table(spark, sf, "customer").select(F.lit(18).alias("event_type"), body.alias("body"))
     executes = events.events(log, "load_queries").select("file_id", "dup_flags")
     return events.join_load_data(blocks, executes, [])
 
@@ -295,7 +295,7 @@ def evt_intvar(spark, sf):
 )
 def bytes_to_int(spark, sf):
     b = bx.to_le
-    enc_rows = table(spark, sf, "events").select(
+    enc_rows = spread_table(spark, sf, "events").select(
         "event_id",
         F.concat(
             b(eid() * 37 % 256, 1), b((eid() * 37) % 65536 - 32768, 2), b(eid() * 997 % 16777216 - 8388608, 3),
@@ -320,7 +320,7 @@ def bytes_to_int(spark, sf):
 
 @query("uuid_text", f"SELECT event_id, {_SID} AS sid FROM events")
 def uuid_text(spark, sf):
-    rows = table(spark, sf, "events").select("event_id", F.unhex(F.md5(F.col("user_id").cast("string"))).alias("d"))
+    rows = spread_table(spark, sf, "events").select("event_id", F.unhex(F.md5(F.col("user_id").cast("string"))).alias("d"))
     return rows.select("event_id", bx.uuid_text(F.col("d")).alias("sid"))
 
 
@@ -334,7 +334,7 @@ def uuid_text(spark, sf):
 )
 def bitmap_explode(spark, sf):
     d = bx.to_le(eid() * 40503 % 65536, 2)
-    rows = table(spark, sf, "events").select("event_id", d.alias("d"))
+    rows = spread_table(spark, sf, "events").select("event_id", d.alias("d"))
     both = rows.select(
         "event_id", F.posexplode(F.arrays_zip(bx.bits(F.col("d"), 16).alias("lsb"), bx.bits(F.col("d"), 16, True).alias("msb")))
     )
@@ -347,7 +347,7 @@ def bitmap_explode(spark, sf):
               WHEN event_id * event_id * 31 < 16777216 THEN 4 ELSE 9 END AS width FROM events""",
 )
 def lenenc_roundtrip(spark, sf):
-    rows = table(spark, sf, "events").select("event_id", bx.to_lenenc(eid() * eid() * 31).alias("d"))
+    rows = spread_table(spark, sf, "events").select("event_id", bx.to_lenenc(eid() * eid() * 31).alias("d"))
     out = rows.select("event_id", bx.lenenc_int(F.col("d"), 1).alias("x"))
     return out.select("event_id", F.col("x.value").cast("bigint").alias("value"), "x.width")
 
@@ -363,7 +363,7 @@ def lenenc_roundtrip(spark, sf):
 )
 def decimal_decode(spark, sf):
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") * F.when(F.col("l_linenumber") % 2 == 0, -1).otherwise(1)
-    rows = table(spark, sf, "lineitem").select(
+    rows = spread_table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         enc.decimal_cell(cents, 15, 2).alias("d"),
@@ -382,7 +382,7 @@ def decimal_decode(spark, sf):
     "SELECT event_id, event_id * 65537 AS bit5, event_id * 257 % 16777216 AS bit3, event_id * 40503 % 16777216 AS set3, event_id AS set8 FROM events",
 )
 def bit_set_decode(spark, sf):
-    rows = table(spark, sf, "events").select(
+    rows = spread_table(spark, sf, "events").select(
         "event_id",
         bx.to_be(eid() * 65537, 5).alias("b5"),
         bx.to_be(eid() * 257 % 16777216, 3).alias("b3"),
@@ -406,7 +406,7 @@ def bit_set_decode(spark, sf):
 def datetime2_decode(spark, sf):
     ts = F.col("ts")
     micros = F.date_format(ts, "SSSSSS").cast("bigint")
-    rows = table(spark, sf, "events").select(
+    rows = spread_table(spark, sf, "events").select(
         "event_id",
         enc.datetime2_cell(ts, 6).alias("d6"),
         enc.datetime2_cell(ts, 4).alias("d4"),
@@ -435,7 +435,7 @@ def time2_decode(spark, sf):
     s, f = eid() * 301 % 3020400, eid() % 100
     hms = div(s, 3600) * 4096 + (div(s, 60) % 60) * 64 + s % 60
     sign = F.when(eid() % 2 == 1, -1).otherwise(1)
-    rows = table(spark, sf, "events").select(
+    rows = spread_table(spark, sf, "events").select(
         "event_id",
         bx.to_be(F.lit(0x80000000) + sign * (hms * 256 + f), 4).alias("d2"),
         bx.to_be(F.lit(0x800000) + sign * hms, 3).alias("d0"),
@@ -455,7 +455,7 @@ def legacy_temporal(spark, sf):
     ymd = F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
     hms = F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)
     year = F.when(eid() % 50 == 0, 0).otherwise(eid() % 200)
-    rows = table(spark, sf, "events").select(
+    rows = spread_table(spark, sf, "events").select(
         "event_id",
         bx.to_le(F.year(ts) * 512 + F.month(ts) * 32 + F.dayofmonth(ts), 3).alias("d"),
         bx.to_le(hms, 3).alias("t"),
@@ -480,7 +480,7 @@ def zero_date_format(spark, sf):
     micros = eid() * 97 % 1000000
     early = bx.to_be(F.lit((1969 * 13 + 12) * 32 + 31).cast("bigint") * (1 << 17) + (23 * 4096 + 59 * 64 + 59) + 0x8000000000, 5)
     cell = F.concat(early, bx.to_be(F.floor(micros / 100).cast("bigint"), 2))
-    rows = table(spark, sf, "events").select("event_id", cell.alias("d"))
+    rows = spread_table(spark, sf, "events").select("event_id", cell.alias("d"))
     return rows.select(
         "event_id",
         temporal.zero_time(micros, eid() % 7).alias("z"),
@@ -495,7 +495,7 @@ def zero_date_format(spark, sf):
 )
 def time_in_zone(spark, sf):
     ts = F.col("ts").cast("timestamp")
-    return table(spark, sf, "events").select(
+    return spread_table(spark, sf, "events").select(
         "event_id",
         temporal.render_time(ts, 2, "America/New_York").alias("est"),
         temporal.render_time(ts, 0, "Asia/Kolkata").alias("kolkata"),
@@ -508,7 +508,7 @@ def time_in_zone(spark, sf):
 )
 def micros_to_time(spark, sf):
     us = F.when(eid() % 10 == 0, 0).otherwise(F.unix_micros(F.col("ts").cast("timestamp")))
-    return table(spark, sf, "events").select(
+    return spread_table(spark, sf, "events").select(
         "event_id", F.date_format(temporal.micros_to_ts(us), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")
     )
 
@@ -539,7 +539,7 @@ def version_compare(spark, sf):
     version = F.concat(
         F.concat_ws(".", eid() % 9, F.col("user_id") % 12, eid() % 40), pre
     )
-    return table(spark, sf, "events").select(
+    return spread_table(spark, sf, "events").select(
         "event_id", text.compare_versions(version, F.lit("5.6.20")).alias("cmp")
     )
 
@@ -555,7 +555,7 @@ def error_code_extract(spark, sf):
         .when(eid() % 4 == 2, "Lost connection 2013")
         .otherwise("")
     )
-    return table(spark, sf, "events").select("event_id", text.error_code(message).alias("code"))
+    return spread_table(spark, sf, "events").select("event_id", text.error_code(message).alias("code"))
 
 
 def _error_values() -> str:
@@ -570,7 +570,7 @@ def _error_values() -> str:
     SELECT event_id, code, name AS error_name, coalesce(state, 'HY000') AS sql_state FROM e LEFT JOIN d USING (code)""",
 )
 def error_enrich(spark, sf):
-    codes = table(spark, sf, "events").select("event_id", (1040 + eid() % 30).cast("int").alias("code"))
+    codes = spread_table(spark, sf, "events").select("event_id", (1040 + eid() % 30).cast("int").alias("code"))
     return errors.enrich_errors(codes, "code", errors.error_dim(spark)).select(
         "event_id", "code", "error_name", "sql_state"
     )

@@ -78,3 +78,24 @@ def settle(df: DataFrame, label: str = "step") -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_spread: dict[tuple[str, str, str], str] = {}
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table in at least as many files as there are cores.
+
+    One small file is one split, which leaves all that is derived from it to one core. A table of
+    fewer files is written anew once per application, all rows and columns.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _spread:
+        folder = new_folder(spark, name)
+        df.repartition(cores).write.parquet(folder)
+        _spread[key] = folder
+    return spark.read.schema(df.schema).parquet(_spread[key])

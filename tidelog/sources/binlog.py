@@ -8,6 +8,7 @@ native expressions. Any folder pyarrow can open (local, HDFS, object stores) wor
 
 from __future__ import annotations
 
+import heapq
 import io
 import json
 import struct
@@ -108,17 +109,16 @@ class FileGroup(InputPartition):
 
 
 def grouped(slices: list[tuple[FileSlice, int]], target_bytes: int, least: int) -> list[FileGroup]:
-    """Small files share a task, up to the target size and as long as at least
-    ``least`` tasks remain; a large file is a task of its own."""
+    """Small files share a task, up to about the target size and in ``least`` tasks at least if there
+    are as many files. Largest first, each to the task with the fewest bytes, so tasks are alike."""
     total = sum(size for _, size in slices)
-    target = min(target_bytes, total // max(least, 1) + 1)
-    groups, held = [], 0
+    count = min(len(slices), max(least, -(-total // target_bytes)))
+    groups = [FileGroup([]) for _ in range(count)]
+    held = [(0, i) for i in range(count)]
     for part, size in sorted(slices, key=lambda s: -s[1]):
-        if not groups or held + size > target:
-            groups.append(FileGroup([]))
-            held = 0
-        groups[-1].slices.append(part)
-        held += size
+        filled, i = heapq.heappop(held)
+        groups[i].slices.append(part)
+        heapq.heappush(held, (filled + size, i))
     return groups
 
 
