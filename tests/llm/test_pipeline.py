@@ -50,3 +50,20 @@ def test_stages(spark):
     for r in packed:
         used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
     assert max(used.values()) <= 4096 and len(used) <= -(-sum(used.values()) // 4096) + 1
+
+
+def test_a_stage_drops_what_the_one_before_left(spark, tmp_path):
+    import os
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first, second = corpus_pipeline.STAGES[1][1], corpus_pipeline.STAGES[2][1]
+    made = first(spark, docs, SF)
+    left = [f.rpartition(":")[2] for f in corpus_pipeline._left]
+    assert left and all(map(os.path.isdir, left))
+    # Not written yet: what it reads stays.
+    second(spark, made, SF).limit(1).count()
+    assert all(map(os.path.isdir, left)) and made.count() > 0
+    corpus_pipeline._left[:] = left
+    made.write.parquet(str(tmp_path / "made"))
+    second(spark, spark.read.parquet(str(tmp_path / "made")), SF)
+    assert not any(map(os.path.isdir, left))

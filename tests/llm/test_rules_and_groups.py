@@ -1,6 +1,7 @@
 """Quality rules, n-gram join, lines, passages: edge cases and brute force."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from compare import canonical, oracle_rows
 
 from tidelog.llm import fuzzy_lines, ngram_join, quality_rules, substring_dedup
 from tidelog.llm.common import source
+from tidelog.llm.edit_distance import within
 from tidelog.llm.fm_index import FMIndex
 from tidelog.llm.groups import components
 from tidelog.llm.queries import ORACLES, QUERIES
@@ -149,7 +151,37 @@ def edits(a, b):
     return row[-1]
 
 
+def test_edit_distance_by_bits():
+    rng = random.Random(10)
+    for _ in range(4000):
+        x = "".join(rng.choices("abé", k=rng.randint(0, 14)))
+        at = rng.randint(0, 14)
+        y = "".join(rng.choices("abé", k=rng.randint(0, 14))) if rng.random() < 0.5 else x[:at] + "b" + x[at + 1 :]
+        d = edits(x, y)
+        assert [within(x, y, k) for k in (d - 1, d, d + 1, 99)] == [False, True, True, True]
+    long = "".join(rng.choices("abcdefgh", k=30_000))
+    other = "".join(c if k % 50 else "Z" for k, c in enumerate(long))
+    assert within(long, other, 600) and not within(long, other, 599) and not within(long, long[::-1], 3000)
+
+
+def near_pairs(lines):
+    """All pairs of 90 % edit similarity, by edits alone; letter counts only rule out what can't be."""
+    texts = [x.decode() for x in lines]
+    sizes = np.array([len(t) for t in texts])
+    counts = np.zeros((len(texts), 128), np.int32)
+    for k, t in enumerate(texts):
+        np.add.at(counts[k], [ord(c) % 128 for c in t], 1)
+    for a in range(len(texts)):
+        most = np.maximum(sizes[a + 1 :], sizes[a]) // 10
+        less = counts[a + 1 :] - counts[a]
+        bag = np.maximum(np.maximum(less, 0).sum(1), np.maximum(-less, 0).sum(1))
+        for b in np.flatnonzero(bag <= most) + a + 1:
+            if within(texts[a], texts[b], int(most[b - a - 1])):
+                yield a, b
+
+
 def test_lines_against_brute_force(spark):
+    """Recall against edit similarity alone; what goes is right whatever is missed."""
     docs = source(spark, SF, "documents").select("doc_id", "text")
     places = {}
     for r in docs.collect():
@@ -157,20 +189,25 @@ def test_lines_against_brute_force(spark):
             if len(fuzzy_lines.normal(line).split()) >= fuzzy_lines.MIN_WORDS:
                 places.setdefault(fuzzy_lines.normal(line), []).append((r.doc_id, k))
     lines = list(places)
-    sims, group = fuzzy_lines.simhashes(lines), list(range(len(lines)))
-    for a in range(len(lines)):
-        for b in np.flatnonzero(np.bitwise_count(sims[a + 1 :] ^ sims[a]) <= fuzzy_lines.DISTANCE) + a + 1:
-            x, y = lines[a].decode(), lines[b].decode()
-            if edits(x, y) <= max(len(x), len(y)) // 10:
-                low, high = sorted((group[a], group[b]))
-                group = [low if g == high else g for g in group]
+    group = list(range(len(lines)))
+
+    def top(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a, b in near_pairs(lines):
+        low, high = sorted((top(a), top(b)))
+        group[high] = low
     gone, whole = {}, {}
-    for line, g in zip(lines, group, strict=True):
-        whole.setdefault(g, []).extend(places[line])
+    for k, line in enumerate(lines):
+        whole.setdefault(top(k), []).extend(places[line])
     for v in whole.values():
         for doc, _ in sorted(v)[1:]:
             gone[doc] = gone.get(doc, 0) + 1
-    assert {r.doc_id: r.n_removed for r in fuzzy_lines.remove_lines(docs).collect() if r.n_removed} == gone
+    got = {r.doc_id: r.n_removed for r in fuzzy_lines.remove_lines(docs).collect() if r.n_removed}
+    assert all(n <= gone.get(doc, 0) for doc, n in got.items())
+    assert sum(got.values()) >= 0.98 * sum(gone.values()) > 100
 
 
 def test_lines_edge_cases(docs):
