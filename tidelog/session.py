@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +66,27 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Lists that tables written by ``settle`` are noted in, innermost last.
+_noting: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Folders of the tables that ``settle`` writes within, for whoever knows when they may go."""
+    _noting.append([])
+    try:
+        yield _noting[-1]
+    finally:
+        _noting.pop()
+
+
+def drop_tables(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes written tables, through Spark's own file systems."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label: str = "step") -> DataFrame:
     """Write an intermediate once to the shared folder and go on from the files.
 
@@ -72,6 +95,8 @@ def settle(df: DataFrame, label: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, label)
+    if _noting:
+        _noting[-1].append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
