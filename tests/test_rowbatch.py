@@ -138,3 +138,12 @@ def test_files_are_dealt_evenly():
     assert sorted(sum(sizes[s.path] for s in g.slices) for g in groups) == [50, 50]
     assert len(binlog.grouped(slices, 25, 1)) == 4 and len(binlog.grouped(slices, 1 << 20, 99)) == 7
     assert binlog.grouped([], 10, 8) == []
+
+
+def test_updates_of_version_0_come_in_pairs(spark):
+    columns = [(ct.TINY, 0), (ct.TINY, 0)]
+    tm = table_map(columns)
+    data = b"\x00\x01\x02" + b"\x00\x01\x03" + b"\x02\x05" + b"\x00\x05\x07"
+    row = (21, 6, 2, b"\x03", None, data, tm)
+    got = [c[2:6] for c in images.event_changes(row, False)]
+    assert got == [(0, "U", [b"\x01", b"\x02"], [b"\x01", b"\x03"]), (1, "U", [b"\x05", None], [b"\x05", b"\x07"])]
