@@ -1,5 +1,6 @@
 """Encoding, packing, pages, licences, chats, embeddings: round trips and brute force."""
 
+import json
 import hashlib
 import zlib
 
@@ -156,6 +157,67 @@ def test_markup_never_fails():
         html_wrapper.extract_text(page, None)
 
 
+def test_deep_pages_keep_their_text_in_order():
+    deep = 20_000
+    blocks = "".join(f"<div>{k}" for k in range(deep)) + "</div>x" * deep
+    text = html_wrapper.extract_text(blocks, None)
+    assert text == "\n".join([*map(str, range(deep)), *["x"] * deep])
+    assert html_wrapper.extract_text("<p>a " + "<b>b " * 1500 + "c", None) == "a " + "b " * 1500 + "c"
+    hidden = "<div>" * 500 + "<nav>menu<div>more</nav>after<i>!</i>" + "</div>" * 500 + "<p>end"
+    assert html_wrapper.extract_text(hidden, None) == "after!\nend"
+    wrapper = html_wrapper.skeleton(html_wrapper.parse(blocks))
+    html_wrapper.merge(wrapper, html_wrapper.skeleton(html_wrapper.parse(hidden)))
+    html_wrapper.load(json.loads(json.dumps(html_wrapper.dump(wrapper))))
+
+
+def test_one_word_of_a_name_makes_no_boilerplate():
+    kept = ["<div class='side-effects'>Mild.</div>", "<p id='alert-level'>Two.</p>", "<ul class='related-facts'><li>One.</ul>"]
+    gone = ["<div class='ad-slot'>x</div>", "<div id=cookieBanner>x</div>", "<ul class='comment-list'><li>x</ul>", "<p class='big notice'>x</p>"]
+    page = "<article>" + "".join(kept + gone) + "</article>"
+    assert html_wrapper.extract_text(page, None) == "Mild.\nTwo.\nOne."
+
+
+@pytest.mark.parametrize("pages", [html_wrapper.TEMPLATE_PAGES, 40])
+def test_wrapper_alone_tells_template_from_content(spark, pages):
+    """No tag, role or class word helps: only what all pages of the host have in one place is template."""
+    rng = np.random.default_rng(pages)
+    rows, want = [], {}
+    for k in range(pages):
+        own = [f"Text {k} {j} {rng.integers(1 << 30)}" for j in range(int(rng.integers(1, 6)))]
+        page = "<div>Home</div><div>About us</div>" + "".join(f"<div>{t}</div>" for t in own) + "<div>Shown to all</div><p>Imprint</p>"
+        rows.append((k, "http://bare.example/", page))
+        want[k] = "\n".join(own)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in html_wrapper.extract(df).collect()} == want
+
+
+def _all_matchings(a, b):
+    """Most matched nodes of two forests, by trying every order-keeping choice."""
+    if not a or not b:
+        return 0
+    best = max(_all_matchings(a[1:], b), _all_matchings(a, b[1:]))
+    if a[0].label == b[0].label:
+        best = max(best, 1 + _all_matchings(a[0].kids, b[0].kids) + _all_matchings(a[1:], b[1:]))
+    return best
+
+
+def test_tree_matching_against_brute_force():
+    rng = np.random.default_rng(5)
+
+    def tree(depth):
+        node = html_wrapper.Node("x", "abc"[rng.integers(3)], False)
+        node.kids = [tree(depth - 1) for _ in range(int(rng.integers(4)))] if depth else []
+        return node
+
+    for _ in range(300):
+        x, y = tree(2), tree(2)
+        pairs = html_wrapper.match(x.kids, y.kids)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+        assert all(x.kids[i].label == y.kids[j].label for i, j in pairs)
+        if [k.label for k in x.kids] != [k.label for k in y.kids]:
+            assert sum(1 + html_wrapper._alike(x.kids[i], y.kids[j]) for i, j in pairs) == _all_matchings(x.kids, y.kids)
+
+
 def test_licences(docs):
     notice = license_scan.TEMPLATES["Apache-2.0-header"]
     changed = notice.replace("compliance", "accordance").replace("obtain", "get")

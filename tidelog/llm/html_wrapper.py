@@ -3,19 +3,24 @@
 1. ``induce``: pages of one host are folded into one wrapper tree. A page's block
    elements are aligned with the wrapper by simple tree matching (labels: tag, class,
    role; a matching keeps order and may not cross). Matched nodes merge, the others
-   are added; equal neighbours (paragraphs, list items) fold into one repeated node.
-   Each node keeps a hash of its text while all pages agree on it: over at least
-   ``TEMPLATE_PAGES`` pages such a node is constant, else it is a varying slot. Each task folds the pages that stream by, and
-   the partial wrappers of a host are folded again, in two steps. Folding sees every
-   page; a wrapper is as large as the layouts differ, not as there are pages.
+   are added; equal neighbours (paragraphs, list items, bare divisions) fold into one
+   repeated node. Each node keeps hashes of the texts that all pages have in it: over at
+   least ``TEMPLATE_PAGES`` pages these are constant, all other text of the node varies.
+   Each task folds the pages that stream by, and the partial wrappers of a host are folded
+   again, in two steps. Folding sees every page; a wrapper is as large as the layouts
+   differ, and its texts only get fewer, so it does not grow as there are pages.
 2. ``extract``: a page is aligned with the wrapper of its host by the same matching.
-   Text in varying slots is content; text of constant nodes is template, unless
-   nothing in that wrapper's article varies (copies of one page are no evidence).
+   Constant texts are template, all others content, unless nothing in that wrapper
+   varies (copies of one page are no evidence). Repeated nodes inside an article are content.
 
 Some slots vary by page and are no content all the same: navigation, headers, footers,
-asides, forms, adverts, notices, comments. They are told by tag, role or class words
-(``BOILER_TAGS``, ``BOILER_WORDS``). If there is an ``article`` or ``main`` element,
-content lies inside it.
+asides, forms, adverts, notices, comments. They are told by tag, role or by a class or id
+that consists of nothing but such words (``BOILER_TAGS``, ``BOILER_WORDS``, ``PART_WORDS``):
+``ad-slot`` is an advert, ``side-effects`` is not. If there is an ``article`` or ``main``
+element, content lies inside it.
+
+Elements nested deeper than ``MAX_DEPTH`` are no nodes of their own: their text, in its place
+and in its own blocks, belongs to the node at that depth (left out if they are boilerplate).
 
 Scripts, styles, comments and markup are no text. Character references are decoded,
 white space inside a block is one space, blocks are joined by a line feed.
@@ -29,6 +34,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -65,20 +71,32 @@ BOILER_WORDS = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
     "disqus replies reply share sharing social related recommended recommendations pagination pager toolbar".split()
 )
+#: Words that only say which part of such a thing an element is.
+PART_WORDS = frozenset(
+    "area article bar block blog body bottom box btn button buttons cell col column container content desktop entry fixed "
+    "footer form global group head header heading icons inline inner item items left link links list main mobile news outer "
+    "page panel post posts primary reader region right row secondary section site slot sticky story text thread title top "
+    "unit user web wrap wrapper zone".split()
+)
 BOILER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split()
 )
 
 
+#: Levels of a tree; functions over trees recurse, some with three frames a level.
+MAX_DEPTH = 150
+
+
 class Node:
     """An element of a page or of a wrapper: label, children, and the text directly in it."""
 
-    __slots__ = ("boiler", "kids", "label", "many", "pages", "tag", "text", "varies")
+    __slots__ = ("boiler", "common", "kids", "label", "many", "pages", "tag", "text", "varies")
 
     def __init__(self, tag: str, label: str, boiler: bool):
         self.tag, self.label, self.boiler = tag, label, boiler
         self.kids: list[Node] = []
-        self.text: list = []  # of a page: strings and children in order; of a wrapper: a hash
+        self.text: list = []  # of a page: strings and children in order
+        self.common: set[int] = set()  # of a wrapper: hashes of the texts that all pages have here
         self.varies = self.many = False
         self.pages = 1
 
@@ -90,20 +108,40 @@ def _label(tag: str, rest: str) -> tuple[str, bool]:
     got = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(rest)}
     names = sorted(set(re.sub(r"\d+", "#", got.get("class", "").lower()).split()))
     role = got.get("role", "").lower()
-    words = set(re.findall(r"[a-z]+", " ".join(re.sub(r"([a-z])([A-Z])", r"\1 \2", got.get(k, "")) for k in ("class", "id")).lower()))
+    given = f"{got.get('class', '')} {got.get('id', '')}".split()
+    named = [set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())) for name in given]
     hidden = "hidden" in got or got.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", got.get("style", ""))
     boiler = tag in BOILER_TAGS or role in BOILER_ROLES or bool(hidden)
     if tag not in ("html", "body", "article", "main"):
-        boiler |= bool(words & BOILER_WORDS)
-    else:
-        boiler |= bool(words & {"comment", "comments", "reply", "ad", "advert", "related"} and tag == "article")
+        boiler |= any(words & BOILER_WORDS and words <= BOILER_WORDS | PART_WORDS for words in named)
+    elif tag == "article":
+        own = {"comment", "comments", "reply", "ad", "advert", "related"}
+        boiler |= any(words & own and words <= own | PART_WORDS | {"article"} for words in named)
     return ".".join([tag, *names, *([f"@{role}"] if role else [])]), boiler
 
 
 def parse(page: str) -> Node:
-    """A page as a tree; never fails, whatever the markup."""
+    """A page as a tree of at most ``MAX_DEPTH`` levels; never fails, whatever the markup."""
     root = Node("#", "#", False)
     stack, at, end = [root], 0, len(page)
+    opened = Counter()  # tags on the stack
+    solid: list[int] = []  # where the stack holds elements that are not inline
+
+    def split(node: Node) -> None:
+        """A block ends in a node that stands for all levels below it."""
+        edge = Node("#", "#", False)
+        node.kids.append(edge)
+        node.text.append(edge)
+
+    def shut(k: int) -> None:
+        for node in stack[k:]:
+            opened[node.tag] -= 1
+        while solid and solid[-1] >= k:
+            if solid[-1] > MAX_DEPTH:
+                split(stack[solid[-1]])
+            solid.pop()
+        del stack[k:]
+
     while at < end:
         m = TOKEN.search(page, at)
         if m is None:
@@ -116,31 +154,38 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                shut(k)
             continue
         if tag not in INLINE:
             # A block ends an open paragraph (and what is open inside it), items end items.
-            for k in range(len(stack) - 1, 0, -1):
-                open_ = stack[k].tag
-                if open_ in CLOSES and (CLOSES[open_] is None or tag in CLOSES[open_]):
-                    del stack[k:]
-                    break
-                if open_ not in INLINE:
-                    break
+            last = stack[solid[-1]].tag if solid else None
+            if last in CLOSES and (CLOSES[last] is None or tag in CLOSES[last]):
+                shut(solid[-1])
         label, boiler = _label(tag, m[3])
         node = Node(tag, label, boiler)
         # A header inside the article holds its title.
-        if tag == "header" and boiler and label == "header" and any(s.tag in ("article", "main") for s in stack):
+        if tag == "header" and boiler and label == "header" and (opened["article"] or opened["main"]):
             node.boiler = False
-        stack[-1].kids.append(node)
-        stack[-1].text.append(node)
+        holds = tag not in RAW and tag not in VOID and not m[3].rstrip().endswith("/")
+        if holds and len(stack) > MAX_DEPTH:
+            if tag not in INLINE:
+                split(stack[-1])
+            if not node.boiler:
+                node.text, node.kids = stack[-1].text, stack[-1].kids
+        else:
+            stack[-1].kids.append(node)
+            stack[-1].text.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+        elif holds:
+            if tag not in INLINE:
+                solid.append(len(stack))
+            opened[tag] += 1
             stack.append(node)
     return root
 
@@ -176,7 +221,8 @@ def _print(text: str) -> int:
 def skeleton(node: Node) -> Node:
     """The wrapper of one page: blocks, equal neighbours folded."""
     out = Node(node.tag, node.label, node.boiler)
-    out.text = [_print(_own_text(node))]
+    mark = _print(_own_text(node))
+    out.common = {mark} if mark else set()
     if node.tag not in RAW:
         for kid in _blocks(node):
             _append(out, skeleton(kid))
@@ -184,13 +230,35 @@ def skeleton(node: Node) -> Node:
 
 
 def _append(parent: Node, kid: Node) -> None:
-    if parent.kids and parent.kids[-1].label == kid.label:
-        last = parent.kids[-1]
-        pages = max(last.pages, kid.pages)  # neighbours stand on one page
-        merge(last, kid)
-        last.many, last.pages = True, pages
-    else:
+    """A further child; neighbours of one page that are alike become one node with the texts of both."""
+    last = parent.kids[-1] if parent.kids else None
+    if last is None or last.label != kid.label:
         parent.kids.append(kid)
+        return
+    last.varies |= kid.varies
+    last.common |= kid.common
+    last.many = True
+    both = Node("", "", False)
+    for own in _aligned(last.kids, kid.kids):
+        x, y = own
+        if x is not None and y is not None:
+            one = Node("", "", False)
+            one.kids.append(x)
+            _append(one, y)
+            x = one.kids[0]
+        _append(both, x if x is not None else y)
+    last.kids = both.kids
+
+
+def _aligned(a: list[Node], b: list[Node]) -> Iterator[tuple[Node | None, Node | None]]:
+    """Both forests in order, matched nodes together."""
+    i = j = 0
+    for x, y in [*match(a, b), (len(a), len(b))]:
+        yield from ((n, None) for n in a[i:x])
+        yield from ((None, n) for n in b[j:y])
+        if x < len(a):
+            yield a[x], b[y]
+        i, j = x + 1, y + 1
 
 
 def match(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
@@ -220,31 +288,38 @@ def _alike(x: Node, y: Node) -> int:
 
 
 def merge(wrapper: Node, other: Node) -> None:
-    """Fold another wrapper into this one."""
-    wrapper.varies |= other.varies or wrapper.text != other.text
-    wrapper.many |= other.many
+    """Fold the wrapper of other pages into this one."""
     wrapper.pages += other.pages
-    kids, i, j = [], 0, 0
-    for x, y in [*match(wrapper.kids, other.kids), (len(wrapper.kids), len(other.kids))]:
-        kids += wrapper.kids[i:x] + other.kids[j:y]
-        if x < len(wrapper.kids):
-            merge(wrapper.kids[x], other.kids[y])
-            kids.append(wrapper.kids[x])
-        i, j = x + 1, y + 1
-    folded = Node("", "", False)
-    for kid in kids:
-        _append(folded, kid)
-    wrapper.kids = folded.kids
+    _meet(wrapper, other)
+
+
+def _meet(one: Node, two: Node) -> None:
+    """Texts that both have stay common; children are aligned."""
+    one.varies |= two.varies or one.common != two.common
+    one.many |= two.many
+    one.common &= two.common
+    kids: list[Node] = []
+    for x, y in _aligned(one.kids, two.kids):
+        if x is not None and y is not None:
+            merge(x, y)
+        kid = x if x is not None else y
+        if kids and kids[-1].label == kid.label:
+            # Neighbours from different pages: how many have both is not known.
+            kids[-1].pages = max(kids[-1].pages, kid.pages)
+            _meet(kids[-1], kid)
+            kids[-1].many = True
+        else:
+            kids.append(kid)
+    one.kids = kids
 
 
 def dump(node: Node) -> list:
-    return [node.label, int(node.boiler), node.text[0], int(node.varies), int(node.many), node.pages, [dump(k) for k in node.kids]]
+    return [node.label, int(node.boiler), sorted(node.common), int(node.varies), int(node.many), node.pages, [dump(k) for k in node.kids]]
 
 
 def load(data: list) -> Node:
     node = Node(re.match(r"[^.@]*", data[0])[0], data[0], bool(data[1]))
-    node.text, node.varies, node.many = [data[2]], bool(data[3]), bool(data[4])
-    node.pages = data[5]
+    node.common, node.varies, node.many, node.pages = set(data[2]), bool(data[3]), bool(data[4]), data[5]
     node.kids = [load(k) for k in data[6]]
     return node
 
@@ -326,10 +401,9 @@ def extract_text(page: str, wrapper: Node | None) -> str:
 
     def walk(node: Node, slot: Node | None, inside: bool) -> None:
         inside = inside or not inside_only or _article(node)
-        template = (
-            evidence and slot is not None and not slot.varies and not slot.many
-            and slot.pages >= TEMPLATE_PAGES and bool(slot.text[0])
-        )
+        constant = evidence and slot is not None and slot.pages >= TEMPLATE_PAGES and slot.common
+        # Inside an article several paragraphs may share a sentence with those of other pages.
+        template = constant and not (slot.many and inside_only) and _print(_own_text(node)) in slot.common
         emit = inside and not template
         own = _blocks(node)
         slots: dict[int, Node] = {}
