@@ -298,6 +298,10 @@ class BinlogStreamReader(DataSourceStreamReader):
     Each folder is the log of one server, so servers advance on their own. A batch
     ends where no table map is open, so binding row events to table maps needs
     no state across batches.
+
+    With ``maxBytes`` a batch takes about so many bytes, dealt evenly over the folders that have
+    something new, and goes on to the first end of a statement behind them. Files that fit are taken whole,
+    without a look inside; headers are walked only in the file where a batch ends, from the position reached on.
     """
 
     def __init__(self, options):
@@ -309,7 +313,9 @@ class BinlogStreamReader(DataSourceStreamReader):
         self.target = int(options.get("targetBytes", 128 << 20))
         self.least = int(options.get("minPartitions", 1))
         self.keep = Keep(options)
-        self.known: dict[str, int] = {}
+        self.limit = int(options.get("maxBytes", 0))
+        # Spark names the position of its checkpoint, too, by asking for the empty range behind it.
+        self.reached: dict = {}
 
     def initialOffset(self) -> dict:
         return {}
@@ -321,22 +327,46 @@ class BinlogStreamReader(DataSourceStreamReader):
         return found
 
     def latestOffset(self) -> dict:
-        reached = {}
+        new = {}
         for folder, logs in self._by_folder().items():
-            path, size = logs[-1]
-            reached[folder] = [path.rpartition("/")[2], self._boundary(path, size)]
-        return reached
-
-    def _boundary(self, path: str, size: int) -> int:
-        """Where the last event ends behind which no table map is open.
-
-        Reads headers through a buffer, from the last known end on.
+            file, pos = self._begin(folder, self.reached)
+            left = [(p, size, 4) for p, size in logs if position_key(p.rpartition("/")[2]) >= position_key(file)]
+            if left and file and left[0][0].rpartition("/")[2] == file:
+                left[0] = (*left[0][:2], max(pos, 4))
+            if left:
+                new[folder] = left
+        ends = dict(self.reached)
+        waiting = sum(any(size > at for _, size, at in left) for left in new.values())
+        for folder, left in new.items():
+            end = self._end(left, max(1, self.limit // waiting) if self.limit and waiting else None)
+            if end is not None:
+                ends[folder] = end
+        return ends
+
+    def _end(self, left: list[tuple[str, int, int]], most: int | None) -> list | None:
+        """Where a batch over these (path, size, begin) ends that takes about ``most`` bytes."""
+        *old, (last, size, at) = left
+        for path, whole, begin in old:
+            if most is not None and whole - begin > most:
+                stop = self._boundary(path, whole, begin, begin + most)
+                # A file cut short is finished, too: the server has gone on to the next.
+                return [path.rpartition("/")[2], stop if stop > begin else whole]
+            if most is not None:
+                most -= whole - begin
+                if most <= 0:
+                    return [path.rpartition("/")[2], whole]
+        return [last.rpartition("/")[2], self._boundary(last, size, at, None if most is None else at + most)]
+
+    def _boundary(self, path: str, size: int, begin: int, enough: int | None) -> int:
+        """Where the last event ends behind which no table map is open, or the first such end from ``enough`` on.
+
+        Reads headers through a buffer, from ``begin`` on, where no map is open.
         """
         fs, inner = open_fs(path)
-        safe = at = self.known.get(path, 4)
+        safe = at = begin
         open_map = False
         with io.BufferedReader(fs.open_input_file(inner), 1 << 20) as f:
-            while at + 19 <= size:
+            while at + 19 <= size and (enough is None or safe < enough):
                 f.seek(at)
                 head = f.read(19)
                 _, tp, _, event_size, _, _ = HEADER.unpack(head)
@@ -352,7 +382,6 @@ class BinlogStreamReader(DataSourceStreamReader):
                 at += event_size
                 if not open_map:
                     safe = at
-        self.known[path] = safe
         return safe
 
     def _begin(self, folder: str, start: dict) -> tuple[str, int]:
@@ -361,6 +390,7 @@ class BinlogStreamReader(DataSourceStreamReader):
         return tuple(self.start.get(folder.rpartition("/")[2], self.start.get("", ("", 4))))
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        self.reached = end
         parts = []
         for folder, logs in self._by_folder().items():
             if folder not in end:
@@ -478,11 +508,13 @@ def stream_binlog(
     verify_checksum: bool = False,
     event_types: Sequence[int] = (),
     since: int = 0,
+    max_bytes: int = 0,
 ) -> DataFrame:
     """Growing archive as a stream.
 
     A folder per server; ``starting`` is a (file, position) for all of them, or one
-    per folder name. The other options are those of ``read_binlog``.
+    per folder name. ``max_bytes`` bounds a batch (0: none), see ``feeds.finish`` for drains.
+    The other options are those of ``read_binlog``.
     """
     register(spark)
     reader = _sized(spark, spark.readStream.format("binlog").option("mode", mode))
@@ -491,5 +523,5 @@ def stream_binlog(
         reader = reader.option("starting", json.dumps(by_folder))
     if event_types:
         reader = reader.option("eventTypes", ",".join(map(str, event_types)))
-    reader = reader.option("since", since).option("verifyChecksum", verify_checksum)
+    reader = reader.option("since", since).option("verifyChecksum", verify_checksum).option("maxBytes", max_bytes)
     return as_log(reader.load(qualified(spark, path)))

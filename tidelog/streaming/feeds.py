@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidelog.operators.quality import since
@@ -22,8 +23,30 @@ def table_stream(
     )
 
 
+def finish(writer: DataStreamWriter, stepwise: bool = False) -> StreamingQuery:
+    """Run a stream over everything available, then stop.
+
+    A source of log files with a limit per batch fixes the end of an available-now run at its first
+    limit; ``stepwise`` runs batch after batch until nothing is left.
+    """
+    if not stepwise:
+        started = writer.trigger(availableNow=True).start()
+        started.awaitTermination()
+        return started
+    started = writer.trigger(processingTime="0 seconds").start()
+    try:
+        started.processAllAvailable()
+    finally:
+        started.stop()
+    return started
+
+
 def drain(
-    stream: DataFrame, label: str = "drain", sink: str | None = None, checkpoint: str | None = None
+    stream: DataFrame,
+    label: str = "drain",
+    sink: str | None = None,
+    checkpoint: str | None = None,
+    stepwise: bool = False,
 ) -> DataFrame:
     """Process everything available now into Parquet, stop, and read the result.
 
@@ -32,15 +55,13 @@ def drain(
     spark = stream.sparkSession
     sink = sink or new_folder(spark, label)
     checkpoint = checkpoint or new_folder(spark, f"{label}-checkpoint")
-    done = (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
     )
-    done.awaitTermination()
+    finish(writer, stepwise)
     return spark.read.schema(stream.schema).parquet(sink)
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -13,7 +15,9 @@ from pyspark.sql.types import StructType
 from tidelog.operators import gtid
 from tidelog.operators.changes import latest_images
 from tidelog.operators.scan import by_width
-from tidelog.session import new_folder, settle
+from tidelog.session import new_folder
+from tidelog.streaming import levels
+from tidelog.streaming.feeds import finish
 
 # Gnos per state key: a busy server id is spread over many keys, and the
 # interval list of a key can never hold more than this many entries.
@@ -83,61 +87,103 @@ def run_executed_set(
     state_range: int = STATE_RANGE,
     sink: str | None = None,
     checkpoint: str | None = None,
+    stepwise: bool = False,
 ) -> DataFrame:
     """Drain a transaction stream into its executed set.
 
-    Called again with the same ``sink`` and ``checkpoint`` it goes on where it stopped.
+    Batches are stored as runs that are merged as they come (``levels``). Called again with the
+    same ``sink`` and ``checkpoint`` it goes on where it stopped.
     """
     spark = transactions.sparkSession
     lists = sink or new_folder(spark, "executed-set")
 
+    def newest(versions: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct("intervals", "batch_id"), "batch_id").alias("last")
+        return versions.groupBy("sid", "gno_range").agg(last).select("sid", "gno_range", "last.*")
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{lists}/batch={batch_id}"
-        )
+        levels.store(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), lists, batch_id, newest)
 
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
-    started = (
+    writer = (
         executed_set_stream(transactions, state_range)
         .writeStream.foreachBatch(store)
         .outputMode("update")
         .option("checkpointLocation", checkpoint or new_folder(spark, "executed-set-checkpoint"))
-        .trigger(availableNow=True)
-        .start()
     )
-    started.awaitTermination()
-    stored = spark.read.schema(f"{RANGE_SCHEMA}, batch_id bigint").option("recursiveFileLookup", "true")
-    newest = stored.parquet(lists).groupBy("sid", "gno_range").agg(
-        F.max_by("intervals", "batch_id").alias("intervals")
-    )
-    return gtid.normalize(newest.select("sid", F.inline("intervals")))
+    with _rocksdb(spark):
+        finish(writer, stepwise)
+    stored = levels.runs(spark, lists, f"{RANGE_SCHEMA}, batch_id bigint")
+    return gtid.normalize(newest(stored).select("sid", F.inline("intervals")))
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The state store that ``transformWithState`` asks for; other streams of the session keep theirs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+#: Server ids whose own bounds are told to the scan of the set; beyond, one pair of bounds is told for all.
+PRUNE_SIDS = 64
+
+
+def _within_reach(executed: DataFrame, batch: DataFrame) -> DataFrame:
+    """Intervals that can hold a gno of the batch: a filter on bounds that file statistics answer."""
+    span = [F.min("gno").alias("low"), F.max("gno").alias("high")]
+    # At most PRUNE_SIDS + 1 rows reach the driver, and only to choose what to read.
+    by_sid = batch.filter(F.col("sid").isNotNull() & F.col("gno").isNotNull()).groupBy("sid").agg(*span)
+    found = by_sid.limit(PRUNE_SIDS + 1).collect()
+    if not found:
+        return executed.filter(F.lit(False))
+    if len(found) > PRUNE_SIDS:
+        whole = batch.agg(*span).first()
+        return executed.filter((F.col("start") <= whole.high) & (F.col("stop") > whole.low))
+    reach = [(F.col("sid") == r.sid) & (F.col("start") <= r.high) & (F.col("stop") > r.low) for r in found]
+    return executed.filter(reduce(lambda x, y: x | y, reach))
+
+
+def indexed_set(executed: DataFrame, folder: str) -> DataFrame:
+    """The normalized set, written once in (sid, start) order, so that bounds prune files and row groups."""
+    spark = executed.sparkSession
+    ordered = gtid.normalize(executed).repartitionByRange("sid", "start").sortWithinPartitions("sid", "start")
+    ordered.write.parquet(folder)
+    return spark.read.schema(ordered.schema).parquet(folder)
 
 
 def run_resume(
-    transactions: DataFrame, executed: DataFrame, sink: str | None = None, checkpoint: str | None = None
+    transactions: DataFrame,
+    executed: DataFrame,
+    sink: str | None = None,
+    checkpoint: str | None = None,
+    stepwise: bool = False,
 ) -> DataFrame:
     """Deliver only transactions that are not in the given set.
 
     Each micro-batch uses the batch anti join, which is linear in the batch and
-    the set, so neither side has to fit a broadcast. The set is normalized once,
-    before the stream starts. Called again with the same ``sink`` and ``checkpoint``
+    the part of the set it can meet, so neither side has to fit a broadcast. The set is
+    normalized and ordered once, before the stream starts, and a batch reads only what lies
+    between its own bounds. Called again with the same ``sink`` and ``checkpoint``
     it goes on where it stopped.
     """
     spark = transactions.sparkSession
     sink = sink or new_folder(spark, "resumed")
-    executed = settle(gtid.normalize(executed), "executed")
+    executed = indexed_set(executed, new_folder(spark, "executed"))
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
-        gtid.not_in_set(batch, executed).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        batch = batch.persist()
+        near = _within_reach(executed, batch)
+        gtid.not_in_set(batch, near).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        batch.unpersist()
 
-    started = (
-        transactions.writeStream.foreachBatch(keep_new)
-        .option("checkpointLocation", checkpoint or new_folder(spark, "resumed-checkpoint"))
-        .trigger(availableNow=True)
-        .start()
+    writer = transactions.writeStream.foreachBatch(keep_new).option(
+        "checkpointLocation", checkpoint or new_folder(spark, "resumed-checkpoint")
     )
-    started.awaitTermination()
+    finish(writer, stepwise)
     return spark.read.schema(transactions.schema).option("recursiveFileLookup", "true").parquet(sink)
 
 
@@ -148,14 +194,15 @@ def run_apply(
     order: str,
     sink: str | None = None,
     checkpoint: str | None = None,
+    stepwise: bool = False,
 ) -> DataFrame:
     """Upsert a change stream into a table.
 
     A micro-batch stores one last change per key, so its cost follows the batch
-    and not the table, and a batch that is run again overwrites itself. Readers
-    merge base and batches by ``order`` (``merged_state``); storing that result
-    as the next base compacts the batches. Deletes stay as markers until then,
-    which makes late and repeated changes safe. Called again with the same ``sink``
+    and not the table, and a batch that is run again overwrites itself. Batches are merged
+    as they come (``levels``), so what a reader meets stays bounded by the keys changed. Readers
+    merge base and runs by ``order`` (``merged_state``); storing that result as the next base
+    empties them. Deletes stay as markers until then, which makes late and repeated changes safe. Called again with the same ``sink``
     and ``checkpoint`` it goes on where it stopped.
     """
     spark = changes.sparkSession
@@ -163,19 +210,17 @@ def run_apply(
     cols = [*keys, order, "op", *values]
     deltas = sink or new_folder(spark, "applied")
 
+    def newest(rows: DataFrame) -> DataFrame:
+        return latest_images(rows, list(keys), [order]).select(*cols)
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        last = latest_images(batch.select(*cols), list(keys), [order])
-        last.select(*cols).write.mode("overwrite").parquet(f"{deltas}/batch={batch_id}")
-
-    started = (
-        changes.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint or new_folder(spark, "applied-checkpoint"))
-        .trigger(availableNow=True)
-        .start()
+        levels.store(newest(batch.select(*cols)), deltas, batch_id, newest)
+
+    writer = changes.writeStream.foreachBatch(store).option(
+        "checkpointLocation", checkpoint or new_folder(spark, "applied-checkpoint")
     )
-    started.awaitTermination()
-    stored = spark.read.schema(changes.select(*cols).schema).option("recursiveFileLookup", "true")
-    return merged_state(base, stored.parquet(deltas), keys, order)
+    finish(writer, stepwise)
+    return merged_state(base, levels.runs(spark, deltas, changes.select(*cols).schema), keys, order)
 
 
 def merged_state(base: DataFrame, deltas: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
