@@ -154,3 +154,24 @@ def test_apply_goes_on(spark, files, tmp_path):
             del want[k]
     assert dict(got.collect()) == want
     assert len(list(Path(paths[0]).glob("level=*/at=*"))) < 20
+
+
+def test_headers_without_bodies(spark, tmp_path):
+    log = statements(200)
+    log.write(tmp_path / "bin.000001")
+    (tmp_path / "bin.000002").write_bytes(bytes(log.data[:-5]))
+    (tmp_path / "bin.000003").write_bytes(bytes(log.data) + b"\1\2")
+    bodies = {"raw", "body", "table_map"}
+    whole = binlog.read_binlog(spark, str(tmp_path), mode="PERMISSIVE")
+    heads = binlog.read_binlog(spark, str(tmp_path), mode="PERMISSIVE", headers_only=True)
+    cols = [c for c in whole.columns if c not in bodies]
+    assert sorted(map(str, heads.select(*cols).collect())) == sorted(map(str, whole.select(*cols).collect()))
+    assert heads.filter("raw is not null or body is not null or table_map is not null").count() == 0
+    assert heads.filter("error is not null").count() == 1
+    with pytest.raises(Exception, match="cut short"):
+        binlog.read_binlog(spark, str(tmp_path), headers_only=True).count()
+    with pytest.raises(Exception, match="headersOnly"):
+        binlog.read_binlog(spark, str(tmp_path), verify_checksum=True, headers_only=True).count()
+    last = max(r.start_pos for r in whole.filter("file = 'bin.000001'").collect())
+    late = binlog.read_binlog(spark, str(tmp_path / "bin.000001"), start_pos=last, headers_only=True)
+    assert [r.event_type for r in late.orderBy("start_pos").collect()] == [15, 30]

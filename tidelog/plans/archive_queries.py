@@ -93,7 +93,7 @@ def scan_from_offset(spark, sf):
     f"SELECT event_type, event_type IN (4, 15) AS typed, n FROM ({_type_counts(_ALL_EDGES)})",
 )
 def scan_raw_mode(spark, sf):
-    log = binlog.raw_mode(binlog.read_binlog(spark, archive(spark, sf)))
+    log = binlog.raw_mode(binlog.read_binlog(spark, archive(spark, sf), headers_only=True))
     return log.groupBy("event_type", "typed").agg(F.count("*").alias("n"))
 
 

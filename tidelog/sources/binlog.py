@@ -176,8 +176,11 @@ def format_facts(raw: bytes) -> tuple[int, int]:
     return alg, 4 if map_header == 6 else 6
 
 
-def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
-    """Walk one file: (start_pos, header fields, alg, id size, raw bytes, error)."""
+def frames(part: FileSlice, permissive: bool, headers: bool = False) -> Iterator[tuple]:
+    """Walk one file: (start_pos, header fields, alg, id size, raw bytes, error).
+
+    With ``headers`` bodies are passed over, but for that of a format event, and no raw bytes come.
+    """
     fs, path = open_fs(part.path)
     with io.BufferedReader(fs.open_input_file(path), 4 << 20) as stream:
         if stream.read(4) != MAGIC:
@@ -194,12 +197,15 @@ def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
                 return
             fields = HEADER.unpack(head)
             size = fields[3]
-            body = stream.read(size - 19) if size >= 19 else b""
+            passed = headers and fields[1] != FORMAT and 19 <= size <= stream.raw.size() - at
+            if passed:
+                stream.seek(at + size)
+            body = stream.read(size - 19) if size >= 19 and not passed else b""
             raw = head + body
             error = None
             if size < 19:
                 error = "event size below header size"
-            elif len(raw) != size:
+            elif len(raw) != size and not passed:
                 error = "event body cut short"
             if error and not permissive:
                 raise CorruptLog(f"{path} at {at}: {error}")
@@ -210,7 +216,7 @@ def frames(part: FileSlice, permissive: bool) -> Iterator[tuple]:
                 alg, id_size = format_facts(raw)
             first_format = at == 4 and fields[1] == FORMAT and part.with_format
             if at >= start or first_format or error:
-                yield at, fields, alg, id_size, raw, error
+                yield at, fields, alg, id_size, None if headers else raw, error
             if error:
                 return
             at += size
@@ -224,7 +230,9 @@ def checksum_wrong(raw: bytes, alg: int) -> bool:
     return alg == 1 and zlib.crc32(raw[:-4]) != int.from_bytes(raw[-4:], "little")
 
 
-def batches(part: FileSlice, permissive: bool, keep, verify: bool = False) -> Iterator[pa.RecordBatch]:
+def batches(
+    part: FileSlice, permissive: bool, keep, verify: bool = False, headers: bool = False
+) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(ARROW_FIELDS)
     folder, _, name = part.path.rpartition("/")
     source = folder.rpartition("/")[2]
@@ -236,19 +244,19 @@ def batches(part: FileSlice, permissive: bool, keep, verify: bool = False) -> It
             [pa.array(c, type=t) for c, (_, t) in zip(cols, ARROW_FIELDS)], schema=schema
         )
 
-    for at, (ts, tp, server, size, log_pos, flags), alg, id_size, raw, error in frames(part, permissive):
+    for at, (ts, tp, server, size, log_pos, flags), alg, id_size, raw, error in frames(part, permissive, headers):
         if verify and not error and checksum_wrong(raw, alg):
             error = "checksum mismatch"
             if not permissive:
                 raise CorruptLog(f"{part.path} at {at}: {error}")
-        bound = None if error else maps.see(tp, raw[19 : size - 4 if alg == 1 else size], id_size)
+        bound = None if error or headers else maps.see(tp, raw[19 : size - 4 if alg == 1 else size], id_size)
         if not (error or keep(ts, tp)):
             continue
         stamp = ts * 1_000_000
         rows.append(
             (source, name, at, stamp, tp, server, size, log_pos, flags, alg, id_size, raw, bound, error)
         )
-        held += len(raw)
+        held += len(raw or b"")
         if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
             yield flush()
             rows, held = [], 0
@@ -282,6 +290,9 @@ class BinlogReader(DataSourceReader):
         self.least = int(options.get("minPartitions", 1))
         self.keep = Keep(options)
         self.verify = options.get("verifyChecksum", "false").lower() == "true"
+        self.headers = options.get("headersOnly", "false").lower() == "true"
+        if self.headers and self.verify:
+            raise ValueError("checksums cover bodies: verifyChecksum needs headersOnly=false")
 
     def partitions(self) -> Sequence[InputPartition]:
         slices = [(FileSlice(p, self.start), size) for p, size in list_logs(self.path)]
@@ -289,7 +300,7 @@ class BinlogReader(DataSourceReader):
 
     def read(self, partition):
         for part in partition.slices:
-            yield from batches(part, self.permissive, self.keep, self.verify)
+            yield from batches(part, self.permissive, self.keep, self.verify, self.headers)
 
 
 class BinlogStreamReader(DataSourceStreamReader):
@@ -471,6 +482,7 @@ def read_binlog(
     verify_checksum: bool = False,
     event_types: Sequence[int] = (),
     since: int = 0,
+    headers_only: bool = False,
 ) -> DataFrame:
     """Events of an archive folder or file as ``log_events``.
 
@@ -479,6 +491,9 @@ def read_binlog(
 
     ``verify_checksum`` tests each CRC32 in the reader, whatever columns are asked for.
 
+    ``headers_only`` passes over bodies: ``raw``, ``body`` and ``table_map`` are NULL and no bytes of
+    them reach Spark. It can't be joined with ``verify_checksum``.
+
     FAILFAST stops at the first damaged event; PERMISSIVE keeps it as a row
     with ``error`` (see ``quality.split_quarantine``) and goes on with the next file.
     """
@@ -487,6 +502,7 @@ def read_binlog(
     if event_types:
         reader = reader.option("eventTypes", ",".join(map(str, event_types)))
     reader = reader.option("since", since).option("verifyChecksum", verify_checksum)
+    reader = reader.option("headersOnly", headers_only)
     return as_log(_sized(spark, reader).load(qualified(spark, path)))
 
 
