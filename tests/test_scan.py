@@ -109,3 +109,38 @@ def test_summaries_of_one_key_are_windowed_in_blocks(spark):
 def test_blocks_match_windows(rows, monkeypatch):
     monkeypatch.setattr(scan, "FAN", 4)
     test_matches_windows(rows, 16)
+
+
+def test_following_segments_are_not_read_anew(spark):
+    """A frame from the next row to the end of the key costs the square of the segments."""
+    located = spark.range(2000).select(
+        F.lit("hot").alias("k"), (F.col("id") / 2).cast("bigint").alias("file"), (F.col("id") % 2).alias("pos"), "id"
+    )
+    order = ["file", "pos"]
+    got = scan.ordered_scan(located, ["k"], order, [F.col("file"), F.floor(F.col("pos") / 2)], n=scan.following("id"))
+    want = located.withColumn("n", F.lead("id").over(Window.partitionBy("k").orderBy(*order)))
+    assert sorted(got.collect()) == sorted(want.collect())
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedfollowing$" not in text
+    # Segments of two columns are windowed in blocks, too.
+    along = [line for line in text.splitlines() if "Window [" in line and "windowspecdefinition(__block" not in line]
+    assert any("AS __a_" in line for line in along) and not any("AS __c_" in line for line in along)
+
+
+@pytest.mark.parametrize("fan", [1, 3, 1000])
+def test_segments_of_two_columns_with_nulls(spark, monkeypatch, fan):
+    monkeypatch.setattr(scan, "FAN", fan)
+    places = [(f, p) for f in [None, -7, 0, 1, 5, 6, 40] for p in [None, 0, 1, 9, 20]]
+    data = [(k, f, p, i if i % 3 else None) for i, (k, (f, p)) in enumerate((k, x) for k in ("a", None) for x in places)]
+    rows = spark.createDataFrame(data, "k string, f bigint, p bigint, v int")
+    w = Window.partitionBy("k").orderBy("f", "p")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = rows.select(
+        "*", F.lead("v").over(w).alias("next"), F.lag("v").over(w).alias("prev"), F.last("v", True).over(upto).alias("known"),
+        F.coalesce(F.sum("v").over(upto), F.lit(0)).alias("total"),
+    )
+    got = scan.ordered_scan(
+        rows, ["k"], ["f", "p"], [F.col("f"), F.floor(F.col("p") / 8)], next=scan.following("v"), prev=scan.previous("v"),
+        known=scan.last_known("v"), total=scan.running_sum("v"),
+    )
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

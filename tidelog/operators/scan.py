@@ -20,7 +20,8 @@ shuffled once, by key and segment; summaries are combined before their shuffle.
 Step 2 is split in the same way: segments of a key are grouped into blocks of ``FAN`` segment
 numbers, one row per block is windowed along the key, and segments are windowed inside their block only.
 So a key of 10^6 segments is a window of a thousand blocks and a thousand windows of a
-thousand segments. Segments that aren't told by one integer are windowed as they are.
+thousand segments. Of segments told by several columns the first one deals the blocks; segments
+whose first column is no integer are windowed as they are.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ class Track:
     """One value followed along the order (build with the functions below)."""
 
     summary: Callable[[Column], Column]
-    inherit: Callable[[Column, WindowSpec], Column]
+    # Over the segments in order, or over the same segments in reverse.
+    inherit: Callable[[Column, WindowSpec, WindowSpec], Column]
     local: Callable[[WindowSpec], Column]
     combine: Callable[[Column, Column], Column]
     # Summaries of summaries: one value for a block, and what a segment inherits from the
@@ -72,7 +74,7 @@ def running_sum(value: str | Column, inclusive: bool = True) -> Track:
     x, frame, zero = _col(value), _upto(inclusive), F.lit(0)
     return Track(
         summary=lambda order: F.sum(x),
-        inherit=lambda s, w: F.sum(s).over(w.rowsBetween(_FIRST, -1)),
+        inherit=lambda s, w, back: F.sum(s).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.sum(x).over(w.rowsBetween(*frame)),
         combine=lambda c, v: F.coalesce(c, zero) + F.coalesce(v, zero),
         fold=lambda s, at: F.sum(s),
@@ -89,7 +91,7 @@ def running_max(value: str | Column, inclusive: bool = True) -> Track:
     x, frame = _col(value), _upto(inclusive)
     return Track(
         summary=lambda order: F.max(x),
-        inherit=lambda s, w: F.max(s).over(w.rowsBetween(_FIRST, -1)),
+        inherit=lambda s, w, back: F.max(s).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.max(x).over(w.rowsBetween(*frame)),
         combine=F.greatest,
         fold=lambda s, at: F.max(s),
@@ -102,7 +104,7 @@ def last_known(value: str | Column, inclusive: bool = True) -> Track:
     x, frame = _col(value), _upto(inclusive)
     return Track(
         summary=lambda order: F.max_by(x, F.when(x.isNotNull(), order)),
-        inherit=lambda s, w: F.last(s, True).over(w.rowsBetween(_FIRST, -1)),
+        inherit=lambda s, w, back: F.last(s, True).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.last(x, True).over(w.rowsBetween(*frame)),
         combine=lambda c, v: F.coalesce(v, c),
         fold=lambda s, at: F.max_by(s, F.when(s.isNotNull(), at)),
@@ -115,7 +117,7 @@ def previous(value: str | Column) -> Track:
     boxed = F.struct(_col(value).alias("v"))
     return Track(
         summary=lambda order: F.max_by(boxed, order),
-        inherit=lambda s, w: F.last(s, True).over(w.rowsBetween(_FIRST, -1)),
+        inherit=lambda s, w, back: F.last(s, True).over(w.rowsBetween(_FIRST, -1)),
         local=lambda w: F.lag(boxed).over(w),
         combine=lambda c, v: F.coalesce(v, c)["v"],
         fold=lambda s, at: F.max_by(s, at),
@@ -128,7 +130,8 @@ def following(value: str | Column) -> Track:
     boxed = F.struct(_col(value).alias("v"))
     return Track(
         summary=lambda order: F.min_by(boxed, order),
-        inherit=lambda s, w: F.first(s, True).over(w.rowsBetween(1, _LAST)),
+        # In reverse, as a frame that ends with the key is read anew for each row.
+        inherit=lambda s, w, back: F.last(s, True).over(back.rowsBetween(_FIRST, -1)),
         local=lambda w: F.lead(boxed).over(w),
         combine=lambda c, v: F.coalesce(v, c)["v"],
         fold=lambda s, at: F.min_by(s, at),
@@ -141,7 +144,7 @@ def key_max(value: str | Column) -> Track:
     x = _col(value)
     return Track(
         summary=lambda order: F.max(x),
-        inherit=lambda s, w: F.max(s).over(w.rowsBetween(_FIRST, _LAST)),
+        inherit=lambda s, w, back: F.max(s).over(w.rowsBetween(_FIRST, _LAST)),
         local=lambda w: F.max(x).over(w.rowsBetween(_FIRST, _LAST)),
         combine=lambda c, v: c,
         fold=lambda s, at: F.max(s),
@@ -161,23 +164,27 @@ def inherited(summary: DataFrame, name: str, own: Sequence[str], seg: Sequence[s
     columns ``seg``, and one ``__s_`` column per track.
     """
     key = [F.col(name)[c] for c in own] or [F.lit(0)]
-    at = F.col(name).getField(seg[0])
-    whole = isinstance(summary.select(at).schema[0].dataType, T.IntegralType)
-    if len(seg) > 1 or not whole:
-        along = Window.partitionBy(*key).orderBy(*[F.col(name)[c] for c in seg])
-        return summary.select(name, *[t.inherit(F.col(f"__s_{n}"), along).alias(f"__c_{n}") for n, t in tracks.items()])
-    block = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)], by_width(at, FAN).alias("block"))
+    at = [F.col(name)[c] for c in seg]
+
+    def both(key: Sequence[Column], order: Sequence[Column]) -> tuple[WindowSpec, WindowSpec]:
+        along = Window.partitionBy(*key)
+        return along.orderBy(*order), along.orderBy(*[o.desc() for o in order])
+
+    if not isinstance(summary.select(at[0]).schema[0].dataType, T.IntegralType):
+        along = both(key, at)
+        return summary.select(name, *[t.inherit(F.col(f"__s_{n}"), *along).alias(f"__c_{n}") for n, t in tracks.items()])
+    block = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)], by_width(at[0], FAN).alias("block"))
     dealt = summary.withColumn("__block", block).repartition("__block")
     folded = dealt.groupBy("__block").agg(
-        *[t.fold(F.col(f"__s_{n}"), F.struct(at)).alias(f"__f_{n}") for n, t in tracks.items()]
+        *[t.fold(F.col(f"__s_{n}"), F.struct(*at)).alias(f"__f_{n}") for n, t in tracks.items()]
     )
-    along = Window.partitionBy(*[F.col("__block")[f"k{i}"] for i in range(len(key))]).orderBy(F.col("__block")["block"])
+    along = both([F.col("__block")[f"k{i}"] for i in range(len(key))], [F.col("__block")["block"]])
     around = folded.select(
-        "__block", *[t.inherit(F.col(f"__f_{n}"), along).alias(f"__a_{n}") for n, t in tracks.items()]
+        "__block", *[t.inherit(F.col(f"__f_{n}"), *along).alias(f"__a_{n}") for n, t in tracks.items()]
     )
-    inside = Window.partitionBy("__block").orderBy(at)
+    inside = both([F.col("__block")], at)
     met = dealt.join(around, "__block").withColumns(
-        {f"__i_{n}": t.inherit(F.col(f"__s_{n}"), inside) for n, t in tracks.items()}
+        {f"__i_{n}": t.inherit(F.col(f"__s_{n}"), *inside) for n, t in tracks.items()}
     )
     return met.select(
         name, *[t.merge(F.col(f"__a_{n}"), F.col(f"__i_{n}")).alias(f"__c_{n}") for n, t in tracks.items()]
