@@ -224,18 +224,22 @@ def archive_replay(spark, sf):
 # -- compressed events -------------------------------------------------------------
 
 
-@F.pandas_udf(T.BinaryType())
-def _zstd(plain: pd.Series) -> pd.Series:
+def _zstd_batch(plain: pd.Series) -> pd.Series:
     squeeze = zstandard.ZstdCompressor()
     return plain.map(lambda b: squeeze.compress(bytes(b)))
 
 
-@F.pandas_udf(T.BinaryType())
-def _deflate(plain: pd.Series) -> pd.Series:
+def _deflate_batch(plain: pd.Series) -> pd.Series:
     # Algorithm byte: one length byte follows; its value is not needed to inflate.
     return plain.map(lambda b: b"\x01\x00" + zlib.compress(bytes(b)))
 
 
+# Catalyst takes a Python function for cheap and writes it, with all it is computed from, into each
+# place that reads its result. Marked as not repeatable it stays one column.
+_zstd = F.pandas_udf(_zstd_batch, T.BinaryType()).asNondeterministic()
+_deflate = F.pandas_udf(_deflate_batch, T.BinaryType()).asNondeterministic()
+
+
 def _as_log(df, event_type, body):
     """Rows to a log of one event type, keyed by the group number."""
     return df.select(
