@@ -107,3 +107,27 @@ def test_each_distinct_map_is_resolved_once(spark):
 def test_ranks_are_prefix_sums():
     got = catalog.ranks(np.array([1, 0, 1, 1, 1, 0], bool), np.array([0, 3, 3, 6]))
     assert got.tolist() == [0, -1, 1, 0, 1, -1]
+
+
+def test_equal_maps_are_combined_without_sorting_them(spark):
+    """Maps with their lists are combined as they come; only distinct ones may be sorted."""
+    from tidelog.plans.catalog_queries import table_maps
+
+    maps = table_maps(spark, "/root/testdata/sf0.001")
+    found = catalog.column_catalog(maps, ["event_id"])
+    text = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(text) if "MapInArrow" in line)
+    below = text[at + 1 :]
+    assert any("HashAggregate" in line for line in below)
+    assert not any("SortAggregate" in line or "Sort [" in line for line in below)
+    assert found.count() == found.select("event_id", "ordinal").distinct().count()
+
+
+def test_lists_that_hash_alike_are_one_definition(spark):
+    """xxhash64 passes over NULLs inside lists: no row may come twice for it."""
+    empty = [F.array().cast(t).alias(n) if t.startswith("array") else F.lit(b"").alias(n) for n, t in catalog.LISTS.items() if n != "column_names"]
+    maps = spark.createDataFrame([(1, ["a", None]), (2, [None, "a"]), (3, ["a"])], "id int, column_names array<string>")
+    types, metas = F.lit([3, 3]).cast("array<int>").alias("types"), F.lit([0, 0]).cast("array<int>").alias("metas")
+    maps = maps.select("id", "column_names", types, metas, F.lit(b"\0").alias("null_bitmap"), *empty)
+    got = catalog.column_catalog(maps, ["id"]).groupBy("id").count().collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2), (2, 2), (3, 2)]

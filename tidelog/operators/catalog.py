@@ -156,7 +156,9 @@ def column_catalog(
     there = [F.col(c).isNull().cast("int").alias(f"__n_{c}") for c in content]
     named = table_maps.select(*keys, *content, *there)
     named = named.select(*keys, *content, *content_hash([*content, *(f"__n_{c}" for c in content)]))
-    distinct = named.select("__h0", "__h1", *content).dropDuplicates(["__h0", "__h1"])
+    # Told apart by all columns and not by a first one per hash: aggregating such lists sorts every
+    # row with its content before anything is combined, keys alone are combined as they come.
+    distinct = named.select("__h0", "__h1", *content).distinct()
 
     types, metas, cls = F.col("types"), F.col("metas"), F.col("__classes")
     classes = F.transform(types, lambda t, i: column_class(real_type(t, _at(metas, i)), flavor))
@@ -192,6 +194,8 @@ def column_catalog(
         )
 
     resolved = prepared.select("__h0", "__h1", F.transform(ordinals, entry).alias("__columns"))
+    # One definition per hash, also where a hash takes lists with NULLs inside for the same.
+    resolved = resolved.dropDuplicates(["__h0", "__h1"])
     return named.select(*keys, "__h0", "__h1").join(resolved, ["__h0", "__h1"]).select(*keys, F.inline("__columns"))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,17 +79,14 @@ def table_maps(spark, sf) -> DataFrame:
 
     def pack(flag, n_bytes, msb_first):
         bits = 8 * n_bytes
-
-        def add(acc, i):
-            at = bits - 1 - i if msb_first else i
-            return acc + F.when(flag(i), F.element_at(powers, (at + 1).cast("int"))).otherwise(0)
-
-        powers = F.array(*[F.lit(1 << b).cast("bigint") for b in range(bits)])
-        total = F.aggregate(ints(F.lit(bits)), F.lit(0).cast("bigint"), add)
-        return (bx.to_be if msb_first else bx.to_le)(total, n_bytes)
+        at = [F.when(flag(i), 1 << (bits - 1 - i if msb_first else i)).otherwise(0) for i in range(bits)]
+        return (bx.to_be if msb_first else bx.to_le)(reduce(add, at).cast("bigint"), n_bytes)
 
     def labels(k, prefix, ends):
-        return F.array(*[F.concat(F.lit(prefix), k.cast("string"), F.lit(e)) for e in ends])
+        return F.array(*[F.lit(f"{prefix}{k}{e}") for e in ends])
+
+    def constant(of):
+        return F.array(*[of(k) for k in range(11)])
 
     nothing = F.array().cast("array<bigint>")
     third, keyed = eid() % 3 == 0, F.col("user_id") % 2 == 0
@@ -99,17 +99,17 @@ def table_maps(spark, sf) -> DataFrame:
         pack(lambda i: (eid() + i) % 2 == 0, 2, False).alias("null_bitmap"),
         pack(lambda k: (eid() * 7 + k * 3) % 5 < 2, 2, True).alias("signedness"),
         F.when(third, longs(8, 0, 45, 2, 63)).otherwise(nothing).alias("default_charset"),
-        F.when(third, nothing).otherwise(F.transform(ints(F.lit(11)), lambda k: 33 + k)).alias("column_charset"),
+        F.when(third, nothing).otherwise(longs(*range(33, 44))).alias("column_charset"),
         F.when(eid() % 5 != 0, F.transform(ints(n), lambda i: F.concat(F.lit("c"), i.cast("string"))))
         .otherwise(F.array().cast("array<string>"))
         .alias("column_names"),
-        F.transform(ints(F.lit(11)), lambda k: labels(k, "s", "xyz")).alias("set_values"),
-        F.transform(ints(F.lit(11)), lambda k: labels(k, "e", "ab")).alias("enum_values"),
-        F.transform(ints(F.lit(11)), lambda k: k + 1).alias("geometry_types"),
+        constant(lambda k: labels(k, "s", "xyz")).alias("set_values"),
+        constant(lambda k: labels(k, "e", "ab")).alias("enum_values"),
+        longs(*range(1, 12)).alias("geometry_types"),
         F.when(keyed, longs(2, 0)).otherwise(nothing).alias("pk"),
         F.when(keyed, longs(0, 10)).otherwise(nothing).alias("pk_prefix"),
         F.when(third, nothing).otherwise(longs(9, 1, 48)).alias("enum_set_default_charset"),
-        F.when(third, F.transform(ints(F.lit(11)), lambda k: 100 + k)).otherwise(nothing).alias("enum_set_column_charset"),
+        F.when(third, longs(*range(100, 111))).otherwise(nothing).alias("enum_set_column_charset"),
     )
 
 
