@@ -2,10 +2,12 @@
 
 import json
 import hashlib
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tidelog.llm import chat_format, html_wrapper, license_scan, packing, pieces, pq_dedup
@@ -313,3 +315,47 @@ def test_embeddings_against_brute_force(spark):
         by = {r.vec_id: r for r in got}
         assert by[906].component_id == 905 and by[905].kept and not by[906].kept and by[900].kept
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_examples_are_expanded_in_bounded_pieces(monkeypatch):
+    """Each example has its whole context, whatever lies in memory; the digest is read from the examples."""
+    from tidelog.llm.common import arrow_type
+
+    rnd = random.Random(5)
+    parts = ["<|im_end|>", "<|im_start|>assistant\n", "<\\|", "a\n", "", "é" * 7, "\\", "<"]
+    convs = {}
+    for c in [None, 3, 4, 5, 9]:
+        n = rnd.choice([1, 2, 30])
+        convs[c] = [(rnd.choice(["user", "assistant", "sy\nst\\em"]), "".join(rnd.choices(parts, k=rnd.randint(0, 9)))) for _ in range(n)]
+    convs[11] = [("user", "no reply"), ("user", "")]
+    schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    rows = [{"conv_id": c, "turn": i, "role": r, "text": t} for c, turns in convs.items() for i, (r, t) in enumerate(turns)]
+    formatted = list(chat_format._format(iter(pa.RecordBatch.from_pylist(rows, schema=schema).slice(i, 7) for i in range(0, len(rows), 7))))
+    want, texts = {}, {}
+    for c, turns in convs.items():
+        replies = [t for r, t in turns if r == "assistant"]
+        chunks = [f"<|im_start|>{chat_format.escape_role(r)}\n{chat_format.escape(t)}<|im_end|>\n" for r, t in turns]
+        ends = [i + 1 for i, (r, _) in enumerate(turns) if r == "assistant"]
+        whole = ["".join(chunks[:i]) for i in ends]
+        texts |= {(c, k): t for k, t in enumerate(whole)}
+        if not ends or ends[-1] < len(turns):
+            texts[c, None] = "".join(chunks)
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{r}\n{t}\n" for r, t in turns), "".join(replies))]
+        want[c] = (len(turns), sha[0], len("".join(replies)), sha[1], len("".join(chunks)), len(replies), sum(map(len, whole)))
+    for piece, held in ((1 << 20, 4 << 20), (40, 80), (1, 1)):
+        monkeypatch.setattr(chat_format, "PIECE", piece)
+        monkeypatch.setattr(chat_format, "HELD", held)
+        expanded = list(chat_format._expand(iter(formatted)))
+        assert all(b.schema == arrow_type(chat_format.EXAMPLES) for b in expanded)
+        made = {}
+        for r in (r for b in expanded for r in b.to_pylist()):
+            key = r["conv_id"], r["example_no"]
+            assert r["at"] == len(made.get(key, ""))
+            made[key] = made.get(key, "") + r["piece"]
+        assert made == texts
+        got = {r[0]: r[1:] for b in chat_format._digest(iter(expanded)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+        assert got == want
+        # What the examples don't hold the digest can't know.
+        cut = [b.set_column(3, "piece", pa.array([p.replace("é", "e") for p in b.column("piece").to_pylist()])) for b in expanded]
+        other = {r[0]: r[2] for b in chat_format._digest(iter(cut)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+        assert other != {c: w[1] for c, w in want.items()}

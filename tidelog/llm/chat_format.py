@@ -1,11 +1,12 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn is a training example of its own: all turns before it are
-context, only that reply is under the loss. All examples of one conversation
-are prefixes of the same string, so the operator writes each turn once with its
-place in that string (``format_turns``) and an example is the pair "prefix up to
-here, loss from - to" (``examples``). A conversation of n turns costs n rows, not
-n * n / 2; ``render`` writes out the full texts.
+context, only that reply is under the loss. ``format_turns`` writes each turn once with its
+place in the conversation's text. ``expand`` makes the examples: each with its whole context
+and target, and what follows the last reply as one more text without loss; their
+volume grows with the square of a conversation by its nature, memory doesn't. ``digest``, and with it
+the query, reads everything from the expanded examples. ``examples`` is the
+compact form, "prefix up to here, loss from - to"; ``render`` gives an example a row.
 
 Template of a turn: ``<|im_start|>`` role, line feed, text, ``<|im_end|>``, line
 feed. Inside texts a backslash is put between the ``<`` and ``|`` of a marker (after
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,7 +35,7 @@ from tidelog.llm.common import arrow_type, source
 
 START, END = "<|im_start|>", "<|im_end|>"
 _MARK, _MARKED = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
-_TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n", re.S)
+_TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 
 TURNS = (
     "conv_id long, turn long, is_target boolean, example_no long, chunk string, "
@@ -127,49 +129,166 @@ def render(turns: DataFrame) -> DataFrame:
     )
 
 
+EXAMPLES = (
+    "conv_id long, example_no long, at long, piece string, text_end long, loss_start long, loss_end long"
+)
+# Characters of an example written as one row, and of a context kept in memory; longer ones lie on disk.
+PIECE, HELD = 1 << 20, 4 << 20
+_ROWS = 1000
+
+
+class _Context:
+    """The text of a conversation so far, in pieces of about ``PIECE`` characters, read again for each example."""
+
+    def __init__(self):
+        self.file, self.blocks, self.open, self.size = None, [], [], 0
+
+    def add(self, chunk: str) -> None:
+        self.open.append(chunk)
+        self.size += len(chunk)
+        if self.size >= PIECE:
+            self.blocks.append("".join(self.open))
+            self.open, self.size = [], 0
+        if len(self.blocks) * PIECE >= HELD:
+            self.file = self.file or tempfile.TemporaryFile()
+            self.file.seek(0, 2)
+            for block in self.blocks:
+                data = block.encode()
+                self.file.write(len(data).to_bytes(8, "little") + data)
+            self.blocks = []
+
+    def pieces(self) -> Iterator[str]:
+        if self.file:
+            self.file.seek(0)
+            while size := self.file.read(8):
+                yield self.file.read(int.from_bytes(size, "little")).decode()
+        yield from self.blocks
+        if self.open:
+            self.open = ["".join(self.open)]
+            yield self.open[0]
+
+    def close(self) -> None:
+        if self.file:
+            self.file.close()
+
+
+def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema, now, context, rest = arrow_type(EXAMPLES), object(), _Context(), None
+    out, held = [], 0
+
+    def flush():
+        nonlocal out, held
+        columns = [pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), schema, strict=True)]
+        out, held = [], 0
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def text(example, end, loss):
+        """All pieces of one text: the context so far, with the last turn in it."""
+        nonlocal held
+        at = 0
+        for piece in context.pieces():
+            out.append((now, example, at, piece, end, *loss))
+            at, held = at + len(piece), held + len(piece)
+            if held >= PIECE or len(out) >= _ROWS:
+                yield flush()
+
+    names = ["conv_id", "chunk", "end", "is_target", "example_no", "loss_start", "loss_end"]
+    for batch in batches:
+        for conv, chunk, end, target, example, begin, stop in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+            if conv != now:
+                if rest is not None:
+                    yield from text(None, rest, (None, None))
+                context.close()
+                now, context = conv, _Context()
+            context.add(chunk)
+            rest = end
+            if target:
+                yield from text(example, end, (begin, stop))
+                rest = None
+    if rest is not None:
+        yield from text(None, rest, (None, None))
+    context.close()
+    if out:
+        yield flush()
+
+
+def expand(formatted: DataFrame) -> DataFrame:
+    """The examples written out: context and target of each, in pieces that begin at ``at``.
+
+    Turns behind the last reply come as a text with their context and without number and loss.
+    """
+    return formatted.mapInArrow(_expand, EXAMPLES)
+
+
 DIGEST = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
     "formatted_chars long, n_examples long, example_chars long"
 )
 
 
+class _Reader:
+    """Turns and loss of one conversation as its examples give them."""
+
+    def __init__(self, conv: int | None):
+        self.conv, self.turns, self.loss_chars, self.n_examples, self.example_chars = conv, 0, 0, 0, 0
+        self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        # How much of the text has been read into turns, what is left over of the last piece, and the last turn.
+        self.read, self.left, self.last = 0, "", (0, "")
+
+    def piece(self, example: int | None, at: int, piece: str, end: int, begin: int | None, stop: int | None) -> None:
+        new = self.read + len(self.left)
+        if example is not None:
+            self.example_chars += len(piece)
+        if at + len(piece) > new:
+            self.left += piece[new - at :]
+            done = 0
+            for turn in _TURN.finditer(self.left):
+                self.all.update(f"{unescape_role(turn[1])}\n{unescape(turn[2])}\n".encode())
+                self.turns, self.last, done = self.turns + 1, (self.read + turn.start(), turn[0]), turn.end()
+            self.read, self.left = self.read + done, self.left[done:]
+        if example is not None and at + len(piece) == end:
+            first, chunk = self.last
+            reply = unescape(chunk[begin - first : stop - first])
+            self.loss.update(reply.encode())
+            self.loss_chars, self.n_examples = self.loss_chars + len(reply), self.n_examples + 1
+
+    def result(self) -> tuple:
+        return (
+            self.conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.read, self.n_examples,
+            self.example_chars,
+        )
+
+
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema, open_ = arrow_type(DIGEST), None
+    schema, reader, done = arrow_type(DIGEST), None, []
 
-    def close(c):
-        return (c["id"], c["n"], c["all"].hexdigest(), c["loss_n"], c["loss"].hexdigest(), c["chars"], c["ex"], c["ex_chars"])
+    def flush():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t.type) for c, t in zip(zip(*done, strict=True), schema, strict=True)], schema=schema
+        )
 
     for batch in batches:
-        done = []
-        for r in batch.to_pylist():
-            if open_ is None or r["conv_id"] != open_["id"]:
-                if open_ is not None:
-                    done.append(close(open_))
-                open_ = {"id": r["conv_id"], "n": 0, "all": hashlib.sha256(), "loss_n": 0, "loss": hashlib.sha256()}
-                open_ |= {"chars": 0, "ex": 0, "ex_chars": 0}
-            role, text = _TURN.fullmatch(r["chunk"]).groups()
-            open_["n"] += 1
-            open_["all"].update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
-            open_["chars"] += len(r["chunk"])
-            if r["loss_start"] is not None:
-                reply = unescape(r["chunk"][r["loss_start"] - r["start"] : r["loss_end"] - r["start"]])
-                open_["loss"].update(reply.encode())
-                open_["loss_n"] += len(reply)
-                open_["ex"] += 1
-                open_["ex_chars"] += r["end"]
-        if done:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t.type) for c, t in zip(zip(*done, strict=True), schema, strict=True)], schema=schema
-            )
-    if open_ is not None:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v], t.type) for v, t in zip(close(open_), schema, strict=True)], schema=schema
-        )
+        for conv, *piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if reader is None or conv != reader.conv:
+                if reader is not None:
+                    done.append(reader.result())
+                reader = _Reader(conv)
+            reader.piece(*piece)
+        if len(done) >= _ROWS:
+            yield flush()
+            done = []
+    if reader is not None:
+        done.append(reader.result())
+    if done:
+        yield flush()
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """Per conversation, read back from the formatted turns (in the order ``format_turns`` gives)."""
-    return formatted.mapInArrow(_digest, DIGEST)
+    """Per conversation, read back from its expanded examples (of turns in the order ``format_turns`` gives).
+
+    Examples are read where they are expanded, so their volume is never shuffled or held.
+    """
+    return formatted.mapInArrow(lambda batches: _digest(_expand(batches)), DIGEST)
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
