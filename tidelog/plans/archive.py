@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.binary import to_le
 from tidelog.plans import encode as enc
 from tidelog.plans.views import div
-from tidelog.session import new_folder, settle, spread_table
+from tidelog.session import new_folder, spread_table
 from tidelog.sources.binlog import MAGIC, open_fs, qualified
 
 ORDERS_PER_FILE = 2000
@@ -100,13 +100,10 @@ def order_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     update = F.concat(nulls, full["o_orderkey"], nulls, changed["o_orderstatus"], changed["o_totalprice"])
     key = F.col("o_orderkey")
     orders = spread_table(spark, sf_dir, "orders").withColumn("g", div("o_orderkey", PER_TX))
+    # A delete shows the image of the insert, which is made once.
     images = orders.select(
-        "g",
-        key.alias("k"),
-        insert.alias("insert"),
-        F.when(key % PER_TX == 1, update).alias("update"),
-        F.when(key % PER_TX == 2, insert).alias("delete"),
-    )
+        "g", key.alias("k"), insert.alias("insert"), F.when(key % PER_TX == 1, update).alias("update")
+    ).withColumn("delete", F.when(F.col("k") % PER_TX == 2, F.col("insert")))
     joined = F.aggregate(
         F.array_sort(F.collect_list(F.struct("k", "insert"))),
         F.unhex(F.lit("")),
@@ -154,7 +151,8 @@ def transaction_events(groups: DataFrame) -> DataFrame:
 def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed events of all files: ``file, start_pos, raw``."""
     per_file = ORDERS_PER_FILE // PER_TX
-    body = transaction_events(order_groups(spark, sf_dir)).withColumn("file_no", div("g", per_file))
+    groups, file_no = order_groups(spark, sf_dir), div("g", per_file)
+    body = transaction_events(groups).withColumn("file_no", file_no)
     last = 10**15
 
     def event(o: int, tp: int, bytes_: Column) -> Column:
@@ -172,7 +170,8 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         event(-1, 50, enc.raw("CAFE")),
         event(last, 4, F.concat(to_le(F.lit(4), 8), enc.utf8(successor))),
     )
-    edges = body.select("file_no").distinct().select("file_no", F.inline(edge))
+    # Every group has a transaction, so files are known without images.
+    edges = groups.select(file_no.alias("file_no")).distinct().select("file_no", F.inline(edge))
     events = body.select("file_no", (F.col("g") * 16 + F.col("n")).alias("o"), "event_type", "body").unionByName(edges)
     # A file holds a fixed number of orders, so this window is bounded.
     before = Window.partitionBy("file_no").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
@@ -229,6 +228,6 @@ def archive(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         folder = new_folder(spark, "archive") + "/srv1"
-        write_files(settle(archive_events(spark, sf_dir), "frames"), qualified(spark, folder))
+        write_files(archive_events(spark, sf_dir), qualified(spark, folder))
         _written[key] = folder
     return _written[key]
