@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidelog.operators import catalog
+from tidelog.session import spread_table
 
 LISTS = ", ".join(f"{n} {t}" for n, t in catalog.LISTS.items())
 SCHEMA = f"id int, types array<int>, metas array<int>, null_bitmap binary, {LISTS}"
@@ -131,3 +132,15 @@ def test_lists_that_hash_alike_are_one_definition(spark):
     maps = maps.select("id", "column_names", types, metas, F.lit(b"\0").alias("null_bitmap"), *empty)
     got = catalog.column_catalog(maps, ["id"]).groupBy("id").count().collect()
     assert sorted(tuple(r) for r in got) == [(1, 2), (2, 2), (3, 2)]
+
+
+def test_spread_rows_are_dealt_by_content(spark, tmp_path):
+    """Whole rows, nulls and repeats too; equal rows lie in one file, so no split was sorted to deal them in turn."""
+    rows = [(k % 300 if k % 7 else None, f"v{k % 300}", k % 300 / 4) for k in range(900)]
+    made = spark.createDataFrame(rows, "id long, name string, value double").coalesce(1)
+    made.write.parquet(str(tmp_path / "made.parquet"))
+    found = spread_table(spark, str(tmp_path), "made")
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, rows))
+    files = found.withColumn("file", F.input_file_name()).groupBy("id", "name", "value")
+    assert found.select(F.input_file_name()).distinct().count() > 1
+    assert {r["n"] for r in files.agg(F.countDistinct("file").alias("n")).collect()} == {1}
