@@ -11,7 +11,7 @@ from tidelog.llm import fuzzy_lines, ngram_join, quality_rules, substring_dedup
 from tidelog.llm.common import source
 from tidelog.llm.edit_distance import within
 from tidelog.llm.fm_index import FMIndex
-from tidelog.llm.groups import components
+from tidelog.llm.groups import components, star_and_rest
 from tidelog.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -30,6 +30,33 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)}
 
 
+def test_groups_of_which_the_smallest_key_links_with_few_are_no_square(spark):
+    """Two lists of 300 keys; half of the pairs of one link, of the other those of one residue, three keys of both meet."""
+    family = {0: range(0, 300), 1: range(297, 597)}
+    items = spark.createDataFrame([(g, k, 1) for g, keys in family.items() for k in keys], "gram long, key long, size int")
+    tried = []
+
+    def linked(a, b):
+        return (a * 7919 + b * 104729) % 101 < 50 if b < 300 else a >= 297 and (a - b) % 5 == 0
+
+    def verify(pairs):
+        rows = [(r["a"], r["b"]) for r in pairs.collect()]
+        tried.extend(rows)
+        return spark.createDataFrame([r for r in rows if linked(*r)], "a long, b long")
+
+    links = star_and_rest(items, ["size"], lambda x, y: x["size"] == y["size"], verify)
+    found = {r["id"]: r["component"] for r in components(links).collect()}
+    label = list(range(597))
+    every = [(a, b) for keys in family.values() for a in keys for b in keys if a < b and linked(a, b)]
+    while any(label[a] != label[b] for a, b in every):
+        for a, b in every:
+            label[a] = label[b] = min(label[a], label[b])
+    assert [found.get(k, k) for k in range(597)] == label
+    assert len(tried) == len(set(tried))
+    # All pairs of the first list are 44,850.
+    assert sum(b < 300 for a, b in tried) < 3000
+
+
 def test_quality_edge_cases(docs):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c d e f g h " * 10), (5, LONG), (5, LONG), (None, LONG)]
     got = quality_rules.judge(docs(*rows)).drop("print", "template").collect()
