@@ -43,6 +43,9 @@ BITS = 18
 BLOCKS = 16
 FRAGMENTS = 8
 
+#: N-grams of segments handed on at once, and sets that one row has to meet (on average).
+LOAD, HOMES = 500_000, 256
+
 #: Bits of a set's mark, and the longs of the short mark it folds to.
 MARK_BITS, SHORT = 1024, 4
 
@@ -172,26 +175,39 @@ def prefixes(docs: DataFrame, order: Order, n: int, num: int, den: int) -> DataF
 
 
 def segments(texts: DataFrame, order: Order, n: int) -> DataFrame:
-    """(key, fragment, grams): the set of each row (text, key) cut along the order.
+    """(home, fragment, key, size, grams): the set of each row (text, key, homes) cut along the order, for each home.
 
-    A text that only shares its id with the one wanted has another key and is left out.
+    ``homes`` are the smaller keys of the pairs that a set is in; one that is its own home is there
+    for others to meet. A text that only shares its id with the one wanted has another key and is left out.
     """
+    ddl = "home binary, fragment int, key binary, size int, grams array<long>"
 
-    def run(batch: pa.RecordBatch):
-        keys, parts, grams = [], [], []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = shingles(text, n)
-            key = xxhash.xxh3_128_digest(own.tobytes())
-            if key != wanted:
-                continue
-            where = order.fragments(own)
-            for f in np.unique(where).tolist():
-                keys.append(key)
-                parts.append(f)
-                grams.append(own[where == f].view(np.int64))
-        return [keys, parts, list_array(grams, pa.int64())] if keys else None
-
-    return map_batches(texts, run, "key binary, fragment int, grams array<long>")
+    def run(batches):
+        schema = arrow_type(ddl)
+        for batch in batches:
+            out, weight = [], 0
+            for text, wanted, homes in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                own = shingles(text, n)
+                if xxhash.xxh3_128_digest(own.tobytes()) != wanted:
+                    continue
+                where = order.fragments(own)
+                parts = [(f, own[where == f].view(np.int64)) for f in np.unique(where).tolist()]
+                for home in homes:
+                    out += [(home, f, wanted, len(own), part) for f, part in parts]
+                    weight += len(own)
+                    if weight > LOAD:
+                        yield _segment_batch(out, schema)
+                        out, weight = [], 0
+            if out:
+                yield _segment_batch(out, schema)
+
+    return texts.mapInArrow(run, ddl)
+
+
+def _segment_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    *flat, grams = zip(*rows, strict=True)
+    columns = [pa.array(c, f.type) for c, f in zip(flat, schema, strict=False)]
+    return pa.RecordBatch.from_arrays([*columns, list_array(list(grams), pa.int64())], schema=schema)
 
 
 def _may_link(x: dict, y: dict, num: int, den: int):
@@ -236,24 +252,28 @@ def promising(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataF
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: Order, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b, size_a, size_b) of classes that link."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = settle(classes.join(wanted, "key", "left_semi"), "wanted")
+    """The pairs (a, b) of classes that link."""
+    ends = pairs.select("a", F.explode(F.array("a", "b")).alias("key")).distinct()
+    # A set of very many homes is several rows.
+    many = ends.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / HOMES).alias("parts"))
+    dealt = ends.join(many, "key").withColumn("part", F.pmod(F.xxhash64("a"), "parts"))
+    homes = dealt.groupBy("key", "part").agg(F.collect_list("a").alias("homes")).drop("part")
+    wanted = settle(classes.join(homes, "key"), "wanted")
     # The comparison lets Spark test ids against a Bloom filter before texts are shuffled.
     wanted = wanted.filter(F.col("doc_id") >= F.lit(-(1 << 63)))
-    texts = docs.join(wanted, "doc_id").select("text", "key")
+    texts = docs.join(wanted, "doc_id").select("text", "key", "homes")
+    # Each set is sent once to each set it is to meet, and nothing with n-grams is shuffled twice.
     parts = settle(segments(texts, order, n), "segments")
-    one = parts.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    two = parts.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    partial = pairs.join(one, "b").join(two, ["a", "fragment"])
-    partial = partial.withColumn("overlap", F.size(F.array_intersect("grams_a", "grams_b")))
+    own = parts.filter("home = key").select("home", "fragment", F.col("grams").alias("grams_a"), F.col("size").alias("size_a"))
+    partial = parts.filter("home <> key").join(own, ["home", "fragment"])
+    partial = partial.withColumn("overlap", F.size(F.array_intersect("grams_a", "grams")))
     # Repeated rows give a segment twice, hence the maximum per fragment.
     return (
-        partial.groupBy("a", "fragment", "b", "size_a", "size_b")
+        partial.groupBy(F.col("home").alias("a"), "fragment", F.col("key").alias("b"), "size_a", "size")
         .agg(F.max("overlap").alias("overlap"))
-        .groupBy("a", "b", "size_a", "size_b")
+        .groupBy("a", "b", "size_a", "size")
         .agg(F.sum("overlap").alias("overlap"))
-        .filter(F.col("overlap") * den >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * num)
+        .filter(F.col("overlap") * den >= (F.col("size_a") + F.col("size") - F.col("overlap")) * num)
         .select("a", "b")
     )
 
