@@ -6,12 +6,13 @@ import random
 import numpy as np
 import pytest
 from compare import canonical, oracle_rows
+from pyspark.sql import functions as F
 
 from tidelog.llm import fuzzy_lines, groups, ngram_join, quality_rules, substring_dedup
 from tidelog.llm.common import source
 from tidelog.llm.edit_distance import within
 from tidelog.llm.fm_index import FMIndex
-from tidelog.llm.groups import components, star_and_rest
+from tidelog.llm.groups import components, meetings, star_and_rest
 from tidelog.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -85,6 +86,22 @@ def test_pairs_of_the_smallest_key_are_made_once_and_marked_ones_not_verified(sp
     assert sorted(asked) == [(10 * g, 10 * g + 2) for g in range(1, 50, 2)]
 
 
+def test_keys_that_share_many_grams_meet_once(spark):
+    rows = [(g, k, k) for k in (5, 7, 9) for g in range(10)] + [(20, 5, 5), (20, 8, 8), (30, 9, 9), (30, 8, 8)]
+    met = meetings(spark.createDataFrame(rows, "gram long, key long, size long"), F.lit(True))
+    assert sorted((r[0], r[1]) for r in met.select("x.key", "y.key").collect()) == [(5, 7), (5, 8), (5, 9), (7, 9), (8, 9)]
+
+
+def test_marks_of_large_sets_rule_pairs_out():
+    rng, mark, differ = np.random.default_rng(7), ngram_join.mark, ngram_join.marks_differ
+    one, two = (rng.integers(0, 1 << 63, 6000).astype(np.uint64) for _ in range(2))
+    near = np.concatenate((one[:5800], two[:200]))
+    allowed = 12000 - 2 * -(-12000 * 90 // 190)
+    assert differ(mark(one), mark(two)) > allowed >= differ(mark(one), mark(near))
+    # Marks of other lengths are folded, and differ no more than the sets.
+    assert differ(mark(one), mark(one[:4000])) <= 2000
+
+
 def test_marks_and_runs_never_rule_out_a_link():
     rng = random.Random(8)
     for size in (9, 12, 19, 25, 60, 99, 100, 130, 250):

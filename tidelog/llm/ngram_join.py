@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import arrow_type, gram_hashes, hashes, list_array, map_batches, mix, ready, source
 from tidelog.llm.groups import components, star_and_rest
-from tidelog.session import settle
+from tidelog.session import settle, settle_alone
 
 BITS = 18
 BLOCKS = 16
@@ -46,8 +46,8 @@ FRAGMENTS = 8
 #: N-grams of segments handed on at once, and sets that one row has to meet (on average).
 LOAD, HOMES = 500_000, 256
 
-#: Bits of a set's mark, and the longs of the short mark it folds to.
-MARK_BITS, SHORT = 1024, 4
+#: Least and most bits of a set's mark, in between one per n-gram at least, and the longs of the short mark it folds to.
+MARK_BITS, MOST_BITS, SHORT = 1024, 1 << 20, 4
 
 SETS = (
     "doc_id long, n_shingles long, key binary, mark binary, "
@@ -67,11 +67,23 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 def mark(grams: np.ndarray) -> np.ndarray:
-    """Parity of the n-grams in each hash bucket, as bits."""
-    counts = np.bincount((mix(grams) >> np.uint64(32)).astype(np.int64) % MARK_BITS, minlength=MARK_BITS)
+    """Parity of the n-grams in each hash bucket, as bits. Their number is a power of two."""
+    bits = min(MOST_BITS, max(MARK_BITS, 1 << max(0, len(grams) - 1).bit_length()))
+    counts = np.bincount((mix(grams) >> np.uint64(32)).astype(np.int64) % bits, minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
 
 
+def folded(mark: np.ndarray, size: int) -> np.ndarray:
+    """The mark in ``size`` longs: folding xors buckets together, which keeps parities."""
+    return np.bitwise_xor.reduce(mark.reshape(-1, size), axis=0)
+
+
+def marks_differ(one: np.ndarray, two: np.ndarray) -> int:
+    """Bits in which two marks differ, the longer one folded."""
+    size = min(len(one), len(two))
+    return int(np.bitwise_count(folded(one, size) ^ folded(two, size)).sum())
+
+
 def _bucket(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -91,8 +103,7 @@ def sets(docs: DataFrame, n: int) -> DataFrame:
                 sizes.append(len(grams))
                 keys.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
                 marks.append(mark(grams))
-            # Folding xors buckets together, which keeps parities.
-            short = np.bitwise_xor.reduce(np.array(marks, np.uint64).reshape(len(marks), -1, SHORT), axis=1).view(np.int64)
+            short = np.array([folded(m, SHORT) for m in marks], np.uint64).reshape(-1, SHORT).view(np.int64)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -230,8 +241,9 @@ def _close(x: dict, y: dict, num: int, den: int):
 def promising(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose marks differ no more than linked sets may differ.
 
-    A mark is the parity of a set's n-grams in each of ``MARK_BITS`` hash buckets, so two
-    sets differ in at least as many n-grams as their marks do in bits.
+    A mark is the parity of a set's n-grams in each hash bucket, so two sets differ in at
+    least as many n-grams as their marks do in bits. Large sets have longer marks, as all
+    bits of a short one may differ by chance and rule nothing out.
     """
     marks = classes.select("key", "mark")
     one, two = (marks.withColumnsRenamed({"key": s, "mark": f"mark_{s}"}) for s in "ab")
@@ -240,12 +252,11 @@ def promising(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataF
     def run(batch: pa.RecordBatch):
         if not batch.num_rows:
             return None
-        left, right = (
-            np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (4, 5)
-        )
+        left, right = ([np.frombuffer(m, np.uint64) for m in batch.column(k).to_pylist()] for k in (4, 5))
+        differ = np.array([marks_differ(x, y) for x, y in zip(left, right, strict=True)])
         both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
         allowed = both - 2 * -(-both * num // (num + den))
-        keep = pa.array(np.bitwise_count(left ^ right).sum(1) <= allowed)
+        keep = pa.array(differ <= allowed)
         return [batch.column(k).filter(keep) for k in range(4)]
 
     return map_batches(met, run, "a binary, b binary, size_a int, size_b int")
@@ -280,7 +291,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order: Order
 
 def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, fragments: int = FRAGMENTS) -> DataFrame:
     """Per row (doc_id, n_shingles, component_id): documents link when ``den`` times the
-    intersection is at least ``num`` times the union of their n-word sets."""
+    intersection is at least ``num`` times the union of their n-word sets. What else it writes is dropped."""
+    return settle_alone(lambda: _similar_groups(docs, n, num, den, fragments), "groups")
+
+
+def _similar_groups(docs: DataFrame, n: int, num: int, den: int, fragments: int) -> DataFrame:
     rows = settle(sets(docs, n), "sets")
     order = Order(frequencies(rows), fragments)
     rows = rows.filter("block is null").drop("block", "counts")
@@ -300,14 +315,17 @@ def similar_groups(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, f
         few = settle(promising(pairs, classes, num, den), "promising")
         return verified(few, texts, classes.select("key", "doc_id"), order, n, num, den)
 
-    links = star_and_rest(
-        prefixes(texts, order, n, num, den),
-        ["size", "pos"],
-        lambda x, y: _may_link(x, y, num, den),
-        verify,
-        classes.select("key", *shorts),
-        lambda x, y: _close(x, y, num, den),
-    )
+    def found() -> DataFrame:
+        return star_and_rest(
+            prefixes(texts, order, n, num, den),
+            ["size", "pos"],
+            lambda x, y: _may_link(x, y, num, den),
+            verify,
+            classes.select("key", *shorts),
+            lambda x, y: _close(x, y, num, den),
+        )
+
+    links = settle_alone(found, "set_links")
     grouped = components(links).withColumnRenamed("id", "key").join(classes, "key")
     smallest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(smallest, "component").select("key", "component_id")
