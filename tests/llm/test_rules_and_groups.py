@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ from tidelog.llm.edit_distance import within
 from tidelog.llm.fm_index import FMIndex
 from tidelog.llm.groups import components, meetings, star_and_rest
 from tidelog.llm.queries import ORACLES, QUERIES
+from tidelog.session import shared_folder
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{i}" for i in range(300))
@@ -92,6 +94,21 @@ def test_keys_that_share_many_grams_meet_once(spark):
     assert sorted((r[0], r[1]) for r in met.select("x.key", "y.key").collect()) == [(5, 7), (5, 8), (5, 9), (7, 9), (8, 9)]
 
 
+def test_what_operators_write_for_themselves_is_dropped(spark, docs):
+    text = LONG + "\n" + LONG.replace("w5 ", "other ")
+    rows = docs((1, text), (2, text), (3, text.replace("w9 ", "x ")), (4, None))
+
+    def written():
+        return {f.name for f in Path(shared_folder(spark).removeprefix("file:")).iterdir()}
+
+    for run, left in ((ngram_join.similar_groups, "groups"), (fuzzy_lines.remove_lines, "line_marks"), (substring_dedup.remove_repeats, "spans")):
+        before = written()
+        assert run(rows).count() == 4
+        assert [name.rpartition("-")[0] for name in written() - before] == [left]
+    # Nor are shuffle files kept.
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
 def test_marks_of_large_sets_rule_pairs_out():
     rng, mark, differ = np.random.default_rng(7), ngram_join.mark, ngram_join.marks_differ
     one, two = (rng.integers(0, 1 << 63, 6000).astype(np.uint64) for _ in range(2))

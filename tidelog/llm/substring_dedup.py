@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import gram_hashes, hashes, map_batches, mix, source, words_of
 from tidelog.llm.fm_index import FMIndex
 from tidelog.llm.rewrite import keyed, rewrite
-from tidelog.session import settle
+from tidelog.session import settle, settle_alone
 
 WIDTH = 50
 ANCHOR = 12
@@ -162,16 +162,29 @@ def late_windows(windows: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD_WORDS) -> DataFrame:
-    """(doc_id, print, marks): the words [a, b) of each document that go."""
+    """(doc_id, print, marks): the words [a, b) of each document that go. What else it writes is dropped."""
+    return settle_alone(lambda: _repeated_spans(docs, width, anchor, hot, shard), "spans")
+
+
+def _shared(docs: DataFrame, width: int, anchor: int) -> DataFrame:
+    """Passages whose anchor several documents have."""
     rows = settle(passages(docs, width, anchor), "passages")
     shared = rows.groupBy("anchor").agg((F.min("doc_id") != F.max("doc_id")).alias("shared")).filter("shared")
     # Written first, so that both sides of the joins by anchor are plain shuffles, which can be split at a hot anchor.
-    shared = settle(shared.select("anchor"), "shared_anchors")
-    rows = settle(rows.join(shared, "anchor"), "shared")
+    return rows.join(settle(shared.select("anchor"), "shared_anchors"), "anchor")
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """Each distinct passage with its first place and how many its anchor has."""
     one = F.min(F.struct("doc_id", "print", "first", "last")).alias("one")
     classes = settle(rows.groupBy("anchor", "passage").agg(one), "classes")
     many = settle(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchors")
-    classes = settle(classes.join(many, "anchor").select("anchor", "passage", "n", "one.*"), "passage_classes")
+    return classes.join(many, "anchor").select("anchor", "passage", "n", "one.*")
+
+
+def _repeated_spans(docs: DataFrame, width: int, anchor: int, hot: int, shard: int) -> DataFrame:
+    rows = settle_alone(lambda: _shared(docs, width, anchor), "shared")
+    classes = settle_alone(lambda: _classes(rows), "passage_classes")
 
     whole = rows.join(classes.select("anchor", "passage", F.col("doc_id").alias("owner")), ["anchor", "passage"])
     whole = whole.filter("doc_id > owner").select("doc_id", "print", F.col("first").alias("a"), (F.col("last") + width).alias("b"))
