@@ -9,7 +9,7 @@ import pytest
 from compare import canonical, oracle_rows
 from pyspark.sql import functions as F
 
-from tidelog.llm import fuzzy_lines, groups, ngram_join, quality_rules, substring_dedup
+from tidelog.llm import edit_distance, fuzzy_lines, groups, ngram_join, quality_rules, substring_dedup
 from tidelog.llm.common import source
 from tidelog.llm.edit_distance import within
 from tidelog.llm.fm_index import FMIndex
@@ -135,6 +135,46 @@ def test_marks_and_runs_never_rule_out_a_link():
             assert [within(a, b, k) for k in (far - 1, far)] == [False, True]
 
 
+def test_pairs_are_verified_together_as_one_by_one():
+    rng = random.Random(9)
+    pairs = [("", "", 0), ("a", "b", 0), ("a", "b", 1), ("x" * 64, "y" * 64, 64), ("x" * 65, "x" * 64, 0), ("ab" * 40, "ba" * 40, 8)]
+    for size in (5, 63, 64, 65, 130, 260, 500):
+        for far in range(0, 2 + size // 4, 1 + size // 40):
+            a = "".join(rng.choice("abc d\u00e9\u4e00") for _ in range(size))
+            b = list(a)
+            for _ in range(far):
+                at = rng.randrange(len(b) + 1)
+                b[at : at + rng.randrange(2)] = rng.choice(["", "z", "a"])
+            pairs.append((a, "".join(b), size // 10))
+            pairs.append((a, a[: size // 2] + "".join(rng.sample(a[size // 2 :], size - size // 2)), size // 10))
+    want = [edits(a, b) <= most for a, b, most in pairs]
+    assert edit_distance.all_within(pairs) == want and 20 < sum(want) < len(want) - 20
+
+
+def test_lists_of_shared_keys_are_of_about_one_length(spark, monkeypatch):
+    """Keys of one class go, and lines that can't link by length meet in no list; before, they did."""
+    monkeypatch.setattr(fuzzy_lines, "BLOCK", 40)
+    monkeypatch.setattr(fuzzy_lines, "HELD", 100)
+    rng = np.random.default_rng(3)
+    rows = []
+    for cls in range(300):
+        keys = rng.integers(0, 400, int(rng.integers(0, 6))) | (rng.integers(0, 27) << 32)
+        rows.append(((cls % 3 << 33) + cls, int(rng.integers(9, 300)), np.unique(keys).astype(np.int64)))
+    packs = fuzzy_lines._packed(np.concatenate([r[2] for r in rows]), np.array([len(r[2]) for r in rows])).to_pylist()
+    frame = spark.createDataFrame([(*r[:2], x) for r, x in zip(rows, packs, strict=True)], "cls long, size int, grams binary")
+    sizes, met = {r[0]: r[1] for r in rows}, {}
+    for r in fuzzy_lines.shared_keys(frame).collect():
+        met.setdefault(r.gram, []).append(r.key)
+    got = {(a, b) for keys in met.values() for a in keys for b in keys if a < b}
+    share = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and set(a[2].tolist()) & set(b[2].tolist())}
+    link = {(a, b) for a, b in share if abs(sizes[a] - sizes[b]) <= max(sizes[a], sizes[b]) // 10}
+    assert link <= got <= share and len(got) < len(share) and all(len(x) > 1 for x in met.values())
+    for keys in met.values():
+        own = sorted(sizes[k] for k in keys)
+        assert all(b <= a * 1.25 for a, b in zip(own, own[1:]))
+    assert fuzzy_lines.shared_keys(frame.limit(0)).count() == 0
+
+
 def test_quality_edge_cases(docs):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c d e f g h " * 10), (5, LONG), (5, LONG), (None, LONG)]
     got = quality_rules.judge(docs(*rows)).drop("print", "template").collect()
