@@ -175,6 +175,18 @@ def test_lists_of_shared_keys_are_of_about_one_length(spark, monkeypatch):
     assert fuzzy_lines.shared_keys(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1, 7, 1 << 26])
+def test_wanted_lines_are_fetched_once_whatever_the_bitmap_holds(docs, monkeypatch, bits):
+    monkeypatch.setattr(fuzzy_lines, "MOST_BITS", bits)
+    rows = [(k, f"First  Line {k}\n\nother {k}\nLAST line") for k in range(30)] + [(3, "First  Line 3\n\nother 3\nLAST line"), (90, None), (91, "")]
+    frame = docs(*rows)
+    lines = fuzzy_lines.line_rows(frame, 1, wide=False).filter("doc_id % 7 = 3 and line <> 2").distinct()
+    wanted = lines.select((F.col("doc_id") * 10 + F.col("line")).alias("cls"), "doc_id", "print", "line")
+    got = [(r.cls, r.words) for r in fuzzy_lines.line_texts(frame, wanted).collect()]
+    assert sorted(got) == sorted((10 * k + n, x) for k in (3, 10, 17, 24) for n, x in ((0, f"first line {k}"), (3, "last line")))
+    assert fuzzy_lines.line_texts(frame, wanted.limit(0)).count() == 0
+
+
 def test_quality_edge_cases(docs):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c d e f g h " * 10), (5, LONG), (5, LONG), (None, LONG)]
     got = quality_rules.judge(docs(*rows)).drop("print", "template").collect()
